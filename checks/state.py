@@ -1,0 +1,337 @@
+"""Aggregations, ledger, streams and the composed plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS, REPOS, RUN_LOG, done_objects,
+                           link_log, media_pages, objects, repos, run_log, sql_text, table, utc_text, with_sql)
+from checks.planning import page_slices
+from checks.registry import query
+from gleaner.operators import aggregate, ledger
+from gleaner.operators.numbering import slices_of, slices_of_text
+from gleaner.plans import archive, catalogue, content, media
+from gleaner.operators.dedup import first_seen
+from gleaner.operators.extract import extract_images
+from gleaner.session import fresh_dir, stage
+from gleaner.streaming import ingest
+from gleaner.streaming import state as live
+
+def link_slices():
+    return slices_of_text(F.col("link"), 1, 2)
+
+
+# --- aggregations ---------------------------------------------------------------
+
+@query("folder_stats", """
+  SELECT l_suppkey, count(*) AS total_count, sum(l_quantity)::BIGINT AS total_size FROM lineitem GROUP BY l_suppkey""")
+def folder_stats(spark, d):
+    listing = table(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").cast("bigint").alias("size"))
+    return aggregate.folder_stats(listing, "l_suppkey", "size")
+
+
+SUMMARY = f"""
+  SELECT item, count(*) AS total_links, count(*) FILTER (status = 'success') AS total_files,
+         count(*) FILTER (status = 'failed') AS failed_files,
+         coalesce(sum(size) FILTER (status = 'success'), 0)::BIGINT AS folder_size,
+         {sql_text('min(ts)')} AS start_time, {sql_text('max(ts)')} AS end_time
+  FROM latest GROUP BY item"""
+
+
+@query("item_summary", with_sql(LATEST, select=SUMMARY))
+def item_summary(spark, d):
+    latest = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
+    return aggregate.item_summary(latest, ["item"]).withColumns(
+        {"start_time": utc_text("start_time"), "end_time": utc_text("end_time")})
+
+
+@query("link_lists", with_sql(LATEST, """numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY item ORDER BY link) - 1) // 20 AS chunk FROM latest)""", select="""
+  SELECT item, chunk, string_agg(link, ',' ORDER BY link) AS download_links,
+         coalesce(string_agg(link, ',' ORDER BY link) FILTER (status = 'failed'), '') AS failed_links
+  FROM numbered GROUP BY item, chunk"""))
+def link_lists(spark, d):
+    latest = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
+    lists = aggregate.link_lists(latest, ["item"], ["link"], "link", slices=link_slices(), size=20)
+    return lists.withColumns({c: F.array_join(c, ",") for c in ("download_links", "failed_links")})
+
+
+NESTED = """first AS (
+  SELECT * FROM images QUALIFY row_number() OVER (PARTITION BY host, media_url ORDER BY page_id, pos) = 1),
+numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY host ORDER BY page_id, pos) - 1) // 3 AS chunk FROM first)"""
+
+
+def unique_images(spark, d):
+    images = extract_images(media_pages(spark, d)).select("host", "media_url", "page_id", "pos", "alt")
+    return stage(first_seen(images, ["host", "media_url"], ["page_id", "pos"]), "images")
+
+
+@query("folder_documents", with_sql(MEDIA_PAGES, IMAGES, NESTED, select="""
+  SELECT host, chunk, count(*) AS n,
+         string_agg(media_url || '#' || coalesce(alt, ''), '|' ORDER BY page_id, pos) AS images
+  FROM numbered GROUP BY host, chunk"""))
+def folder_documents(spark, d):
+    docs = aggregate.folder_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], ["media_url", "alt"],
+                                      slices=page_slices(), size=3)
+    flat = F.transform("images", lambda r: F.concat(r["media_url"], F.lit("#"), F.coalesce(r["alt"], F.lit(""))))
+    return docs.select("host", "chunk", F.size("images").cast("bigint").alias("n"),
+                       F.array_join(flat, "|").alias("images"))
+
+
+@query("keyword_documents", with_sql(MEDIA_PAGES, IMAGES, NESTED, select="""
+  SELECT host, chunk, string_agg(media_url, '|' ORDER BY page_id, pos) AS links,
+         string_agg(coalesce(alt, '-'), '|' ORDER BY page_id, pos) AS alts
+  FROM numbered GROUP BY host, chunk"""))
+def keyword_documents(spark, d):
+    docs = aggregate.keyword_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], "media_url", "alt",
+                                       slices=page_slices(), size=3)
+    return docs.select("host", "chunk", F.array_join("links", "|").alias("links"),
+                       F.array_join("alts", "|", "-").alias("alts"))
+
+
+@query("progress_counts", with_sql(RUN_LOG, select="""
+  SELECT item, count(*) AS total, count(*) FILTER (status = 'completed') AS done,
+         count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'started') AS open
+  FROM run_log GROUP BY item"""))
+def progress_counts(spark, d):
+    return aggregate.progress_counts(run_log(spark, d), ["item"], F.col("status"))
+
+
+@query("partition_plan", """
+  SELECT l_returnflag, count(*) AS total_rows, count(*) // 800 + 1 AS partitions FROM lineitem GROUP BY l_returnflag""")
+def partition_plan(spark, d):
+    return aggregate.partition_plan(table(spark, d, "lineitem"), ["l_returnflag"], 800)
+
+
+# --- ledger ---------------------------------------------------------------------
+
+@query("latest_status", with_sql(LATEST, select=f"SELECT item, link, status, size, seq, {sql_text('ts')} AS ts FROM latest"))
+def latest_status(spark, d):
+    last = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
+    return last.withColumn("ts", utc_text("ts"))
+
+
+@query("upsert_documents", """
+  WITH changes AS (
+    SELECT doc_id, quality, CASE WHEN toxic = 1 THEN 'toxic' END AS lang FROM labels
+    UNION ALL SELECT item_id + 1000000000, 1, 'new' FROM benchmark)
+  SELECT doc_id, coalesce(c.lang, d.lang) AS lang, d.n_chars, c.quality
+  FROM documents d FULL JOIN changes c USING (doc_id)""")
+def upsert_documents(spark, d):
+    current = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    # Each label arrives as two events: the quality first, then the rest.
+    labels = table(spark, d, "labels")
+    none = F.lit(None)
+    events = (
+        labels.select("doc_id", "quality", none.cast("string").alias("lang"), F.lit(1).alias("seq"))
+        .unionByName(labels.select("doc_id", none.cast("int").alias("quality"),
+                                   F.when(F.col("toxic") == 1, "toxic").alias("lang"), F.lit(2).alias("seq")))
+        .unionByName(table(spark, d, "benchmark").select(
+            (F.col("item_id") + 1_000_000_000).alias("doc_id"), F.lit(1).alias("quality"),
+            F.lit("new").alias("lang"), F.lit(1).alias("seq"))))
+    changes = ledger.merge_changes(events, ["doc_id"], ["seq"])
+    root = fresh_dir(spark, "documents")
+    ledger.save_version(ledger.upsert_documents(current, changes, ["doc_id"]), root, 1)
+    return ledger.read_version(spark, root, 1)
+
+
+@query("link_status_map", with_sql(LATEST, """numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY item ORDER BY link) - 1) // 20 AS chunk FROM latest)""", select="""
+  SELECT item, chunk, string_agg(link || '=' || status, ',' ORDER BY link) AS download_status
+  FROM numbered GROUP BY item, chunk"""))
+def link_status_map(spark, d):
+    latest = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
+    maps = ledger.link_status_map(latest, ["item"], "link", slices=link_slices(), size=20)
+    entries = F.transform(F.array_sort(F.map_entries("download_status")),
+                          lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return maps.withColumn("download_status", F.array_join(entries, ","))
+
+
+@query("open_runs", with_sql(LATEST, select="SELECT item, link, seq FROM latest WHERE status = 'started'"))
+def open_runs(spark, d):
+    return ledger.open_runs(run_log(spark, d), ["item", "link"], ["ts", "seq"]).select("item", "link", "seq")
+
+
+@query("start_events", with_sql(LATEST, select="""
+  SELECT DISTINCT item, link, 'started' AS status, TRUE AS open FROM link_log"""))
+def start_events(spark, d):
+    items = link_log(spark, d).select("item", "link").distinct()
+    started = ledger.start_events(items, F.current_timestamp())
+    return started.select("item", "link", "status", F.col("end_time").isNull().alias("open"))
+
+
+@query("snapshot_status", with_sql(LATEST, select=f"""
+  SELECT link, count(*) AS files, count(*) FILTER (status = 'success') AS completed_files,
+         count(*) FILTER (status = 'failed') AS failed_files,
+         {sql_text('min(ts)')} AS start_time, {sql_text('max(ts)')} AS end_time,
+         CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed'
+              WHEN count(*) FILTER (status = 'success') = count(*) THEN 'completed' ELSE 'started' END AS status
+  FROM latest GROUP BY link"""))
+def snapshot_status(spark, d):
+    files = ledger.latest_status(run_log(spark, d), ["item", "link"], ["ts", "seq"])
+    timed = files.withColumns({"start_time": F.col("ts"), "end_time": F.col("ts")})
+    return ledger.snapshot_status(timed, ["link"]).withColumns(
+        {"start_time": utc_text("start_time"), "end_time": utc_text("end_time")})
+
+
+RETRY = """attempt AS (
+  SELECT item, link, count(*) FILTER (status = 'failed') AS failures, bool_or(status = 'completed') AS succeeded,
+         max(ts) AS last_attempt FROM run_log GROUP BY item, link),
+decided AS (
+  SELECT *, CASE WHEN succeeded THEN 'done' WHEN failures = 0 THEN 'wait' WHEN failures < 2 THEN 'retry'
+                 ELSE 'failed' END AS action FROM attempt)"""
+RETRY_SELECT = f"""
+  SELECT item, link, failures, succeeded, {sql_text('last_attempt')} AS last_attempt, action,
+         CASE WHEN action = 'retry' THEN {sql_text('last_attempt + to_seconds(pow(2, failures - 1))')} END AS next_at
+  FROM decided"""
+
+
+@query("retry_plan", with_sql(RUN_LOG, RETRY, select=RETRY_SELECT))
+def retry_plan(spark, d):
+    plan = ledger.retry_plan(run_log(spark, d), ["item", "link"], max_tries=2)
+    return plan.withColumns({"last_attempt": utc_text("last_attempt"), "next_at": utc_text("next_at")})
+
+
+@query("orphans", with_sql(OBJECTS, DONE, select="""
+  SELECT key, size FROM objects WHERE key IN (SELECT key FROM done WHERE quality = 0)"""))
+def orphans(spark, d):
+    failed = done_objects(spark, d).filter("quality = 0")
+    return ledger.orphans(objects(spark, d), failed).select("key", "size")
+
+
+# --- streams --------------------------------------------------------------------
+
+def event_stream(spark, d):
+    """The events file as a file stream; the pattern makes it a folder scan."""
+    schema = table(spark, d, "events").schema
+    return ingest.read_stream(spark, f"{d}/event[s].parquet", schema)
+
+
+def streamed_log(spark, d):
+    kind = F.col("event_type")
+    log = event_stream(spark, d).select(
+        F.col("user_id").alias("item"), F.get_json_object("props", "$.k").alias("link"),
+        F.when(kind == "error", "failed").when(kind == "purchase", "completed").otherwise("started").alias("status"),
+        "ts", F.col("event_id").alias("seq"))
+    return ingest.as_event_time(log)
+
+
+def folders(spark, name):
+    root = fresh_dir(spark, name)
+    return f"{root}/out", f"{root}/checkpoint"
+
+
+@query("stream_ingest", f"SELECT event_id, {sql_text('ts')} AS ts, user_id, event_type, value, props FROM events")
+def stream_ingest(spark, d):
+    target, checkpoint = folders(spark, "ingest")
+    # The second run finds nothing new.
+    for _ in range(2):
+        ingest.stream_ingest(event_stream(spark, d), target, checkpoint)
+    return spark.read.parquet(target).withColumn("ts", utc_text("ts"))
+
+
+@query("stream_status", with_sql(RUN_LOG, select=f"""
+  SELECT item, link, status, {sql_text('ts')} AS ts, seq FROM run_log
+  QUALIFY row_number() OVER (PARTITION BY item, link ORDER BY ts DESC, seq DESC) = 1"""))
+def stream_status(spark, d):
+    target, checkpoint = folders(spark, "status")
+    keys = ["item", "link"]
+    live.write_updates(live.status_updates(streamed_log(spark, d), keys, ["ts", "seq"]), target, checkpoint)
+    return live.current(spark, target, keys).withColumn("ts", utc_text("ts"))
+
+
+@query("stream_dedup", with_sql(RUN_LOG, select=f"""
+  SELECT link, {sql_text('ts')} AS ts, seq FROM run_log
+  QUALIFY row_number() OVER (PARTITION BY link ORDER BY ts, seq) = 1"""))
+def stream_dedup(spark, d):
+    target, checkpoint = folders(spark, "dedup")
+    live.write_updates(live.first_seen_updates(streamed_log(spark, d), ["link"], ["ts", "seq"]), target, checkpoint)
+    first = live.current(spark, target, ["link"])
+    return first.select("link", utc_text("first.ts").alias("ts"), "first.seq")
+
+
+@query("stream_rate", f"""
+  SELECT {sql_text("date_trunc('minute', ts)")} AS window_start, count(*) AS requests,
+         count(*) > 2 AS over_budget FROM events GROUP BY 1""")
+def stream_rate(spark, d):
+    target, checkpoint = folders(spark, "rate")
+    live.write_updates(live.rate_updates(ingest.as_event_time(event_stream(spark, d)), limit=2), target, checkpoint)
+    return live.current(spark, target, ["window_start"]).select(
+        utc_text("window_start").alias("window_start"), "requests", "over_budget")
+
+
+@query("stream_retry", with_sql(RUN_LOG, RETRY, select=RETRY_SELECT))
+def stream_retry(spark, d):
+    target, checkpoint = folders(spark, "retry")
+    keys = ["item", "link"]
+    live.write_updates(live.retry_updates(streamed_log(spark, d), keys), target, checkpoint)
+    plan = live.retry_schedule(spark, target, keys, max_tries=2)
+    return plan.withColumns({"last_attempt": utc_text("last_attempt"), "next_at": utc_text("next_at")})
+
+
+# --- composed plans ---------------------------------------------------------------
+
+@query("content_enrichment", with_sql(OBJECTS, DONE, select="""
+  SELECT source, count(*) AS files, 0::BIGINT AS missing,
+         sum(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')))::BIGINT AS words
+  FROM documents JOIN objects USING (doc_id)
+  WHERE (key LIKE '%.en' OR key LIKE '%.de') AND doc_id NOT IN (SELECT doc_id FROM done) GROUP BY source"""))
+def content_enrichment(spark, d):
+    listing = objects(spark, d).filter(F.col("key").endswith(".en") | F.col("key").endswith(".de"))
+    done = done_objects(spark, d).select(F.col("done_key").alias("key"))
+    todo = content.remaining_objects(listing, done, "", marker="tmp/")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    meta = todo.select("doc_id", F.col("folder").alias("source"))
+    return content.content_stats(content.enrich_content(meta, docs, "doc_id", content_unique=True), "source")
+
+
+@query("media_harvest", with_sql(MEDIA_PAGES, IMAGES, """first AS (
+  SELECT * FROM images WHERE media_url LIKE 'http%'
+  QUALIFY row_number() OVER (PARTITION BY host, media_url ORDER BY page_id, pos) = 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id, pos) - 1 AS number FROM first)""", select="""
+  SELECT host, page_id, media_url, number,
+         'image_' || number || '_' || translate(alt, ' /', '__') || '.jpg' AS media_name,
+         'media/' || host || '/image_' || number || '_' || translate(alt, ' /', '__') || '.jpg' AS object_key
+  FROM numbered"""))
+def media_harvest(spark, d):
+    candidates = stage(media.media_candidates(media_pages(spark, d), wanted_class="thumb"), "candidates")
+    records = media.media_records(candidates, "host", "media", slices=page_slices())
+    return records.select("host", "page_id", "media_url", "number", "media_name", "object_key")
+
+
+@query("archive_items", with_sql(MEDIA_PAGES, NAV_LINKS, """links AS (
+  SELECT page_id, href FROM nav WHERE contains(text, 'PDF')
+  UNION ALL SELECT page_id, '/f/' || page_id || '.pdf' FROM media_pages WHERE has_body)""", select="""
+  SELECT page_id, split_part(rtrim(url, '/'), '/', -1) AS item, 'https://docs.example.org' || href AS doc_url,
+         'archive/' || split_part(rtrim(url, '/'), '/', -1) || '/' || split_part(href, '/', -1) AS key
+  FROM links JOIN media_pages USING (page_id)"""))
+def archive_items(spark, d):
+    links = archive.item_links(media_pages(spark, d), "https://docs.example.org", "archive")
+    return links.select("page_id", "item", "doc_url", "key")
+
+
+@query("archive_documents", with_sql(LATEST, select=SUMMARY))
+def archive_documents(spark, d):
+    return archive.item_documents(link_log(spark, d), "item", "link").withColumns(
+        {"start_time": utc_text("start_time"), "end_time": utc_text("end_time")})
+
+
+@query("repo_catalogue", with_sql(REPOS, """windowed AS (
+  SELECT name, stars, lang, least(size // 11, 9) * 11 AS window_low, pos FROM repos
+  WHERE size BETWEEN 0 AND 100 AND stars > 900)""", select="""
+  SELECT name, stars, lang, window_low, pos FROM windowed
+  QUALIFY row_number() OVER (PARTITION BY name, stars, lang ORDER BY window_low, pos) = 1"""))
+def repo_catalogue(spark, d):
+    return catalogue.repo_catalogue(repos(spark, d), min_stars=900)
+
+
+@query("catalogue_top", with_sql(REPOS, """windowed AS (
+  SELECT name, stars, lang, size // 11 * 11 AS window_low, pos FROM repos
+  WHERE size BETWEEN 0 AND 100 AND stars > 900),
+first AS (
+  SELECT * FROM windowed
+  QUALIFY row_number() OVER (PARTITION BY name, stars, lang ORDER BY window_low, pos) = 1)""", select="""
+  SELECT name, stars, lang FROM first ORDER BY window_low, pos, name LIMIT 10"""))
+def catalogue_top(spark, d):
+    return catalogue.top_of_catalogue(catalogue.repo_catalogue(repos(spark, d), min_stars=900))

@@ -1,0 +1,182 @@
+"""Sources and sinks: each query writes what it derives from the tables and reads it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.inputs import (DONE, OBJECTS, REPOS, done_objects, objects, repos, table, with_sql)
+from checks.registry import query
+from checks.scalars import gzip_store
+from gleaner.functions.blobs import with_decoded
+from gleaner.operators.numbering import first_rows, number_rows, slices_of, slices_of_text
+from gleaner.session import fresh_dir
+from gleaner.sources import blobs, listings, manifests, sinks, tables
+
+
+@query("scan_merged", """
+  SELECT doc_id, lang, NULL::INTEGER AS quality FROM documents
+  UNION ALL SELECT doc_id, NULL, quality FROM labels""")
+def scan_merged(spark, d):
+    root = fresh_dir(spark, "merged")
+    sinks.write_parquet(table(spark, d, "documents").select("doc_id", "lang"), f"{root}/part=a")
+    sinks.write_parquet(table(spark, d, "labels").select("doc_id", "quality"), f"{root}/part=b")
+    return tables.scan_merged(spark, root).select("doc_id", "lang", "quality")
+
+
+@query("scan_batched", "SELECT doc_id, strlen(text) AS n_bytes FROM documents")
+def scan_batched(spark, d):
+    def measure(batch):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        lengths = pc.binary_length(batch.column("text")).cast(pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), lengths], ["doc_id", "n_bytes"])
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return tables.scan_batched(docs, measure, "doc_id bigint, n_bytes bigint", 1000)
+
+
+@query("list_objects", """
+  SELECT 'source=' || source AS folder, sum(strlen(text) + 1)::BIGINT AS size FROM documents GROUP BY source""")
+def list_objects(spark, d):
+    root = fresh_dir(spark, "listing")
+    sinks.write_keyed(table(spark, d, "documents").select("source", "text"), root, "source", "text")
+    listed = listings.list_objects(spark, root, ".txt")
+    return listed.groupBy(F.substring_index("key", "/", 1).alias("folder")).agg(F.sum("size").alias("size"))
+
+
+@query("list_snapshot_files", """
+  SELECT 'data/' || lang || '/' || doc_id || '.txt' AS key FROM documents WHERE lang = 'en'""")
+def list_snapshot_files(spark, d):
+    files = table(spark, d, "documents").select(F.format_string("data/%s/%d.txt", "lang", "doc_id").alias("key"))
+    return listings.list_snapshot_files(files, "en")
+
+
+@query("read_manifest_csv", with_sql(REPOS, select="SELECT name, stars, lang FROM repos"))
+def read_manifest_csv(spark, d):
+    root = fresh_dir(spark, "manifest")
+    sinks.write_catalog_csv(repos(spark, d).select("name", "stars", "lang"), root)
+    return manifests.read_manifest_csv(spark, root)
+
+
+@query("read_manifest_json", """
+  SELECT p_name AS value, (row_number() OVER (ORDER BY p_partkey) - 1) % 500 AS position FROM part""")
+def read_manifest_json(spark, d):
+    root = fresh_dir(spark, "keywords")
+    sinks.write_json_array(table(spark, d, "part"), root, ["p_partkey"], F.col("p_name"),
+                           slices=slices_of(F.col("p_partkey"), 10**6, 10**3), size=500)
+    return manifests.read_manifest_json(spark, root).select("value", F.col("position").cast("bigint").alias("position"))
+
+
+@query("read_link_lines", "SELECT page_id, url AS link FROM pages WHERE url LIKE 'https://blog.%'")
+def read_link_lines(spark, d):
+    lines = table(spark, d, "pages").select(
+        "page_id", F.concat(F.lit("  <link>"), F.col("url"), F.lit("</link>\t")).alias("value"))
+    return manifests.read_link_lines(lines, "https://blog.")
+
+
+def search_pages(spark, d):
+    """Search responses of up to 100 repositories per brand, as JSON text."""
+    found = repos(spark, d).withColumn("brand", F.substring_index("name", "/", 1))
+    numbered = number_rows(found, ["brand"], ["pos"], "n", slices=slices_of(F.col("pos"), 10**6, 10**3),
+                           total="total_count")
+    item = F.struct("n", F.struct(F.col("name").alias("full_name"), F.col("stars").alias("stargazers_count"),
+                                  "size", F.col("lang").alias("language")).alias("item"))
+    paged = numbered.groupBy("brand", "total_count", F.floor(F.col("n") / 100).alias("page")).agg(
+        F.array_sort(F.collect_list(item)).alias("rows"))
+    items = F.transform("rows", lambda r: r["item"])
+    return paged.select("brand", "page", F.to_json(F.struct("total_count", items.alias("items"))).alias("response"))
+
+
+@query("flatten_search_page", with_sql(REPOS, """numbered AS (
+  SELECT *, split_part(name, '/', 1) AS brand,
+         row_number() OVER (PARTITION BY split_part(name, '/', 1) ORDER BY pos) - 1 AS n,
+         count(*) OVER (PARTITION BY split_part(name, '/', 1)) AS total_count FROM repos)""", select="""
+  SELECT brand, n // 100 AS page, n % 100 AS pos, total_count, name, stars, size, lang FROM numbered"""))
+def flatten_search_page(spark, d):
+    pages = manifests.parse_search_pages(search_pages(spark, d), "response")
+    flat = manifests.flatten_search_page(pages, "brand", "page")
+    return flat.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("scan_blobs", """
+  SELECT role, count(*) AS n_lines, sum(len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')))::BIGINT AS words
+  FROM conversations GROUP BY role""")
+def scan_blobs(spark, d):
+    root = fresh_dir(spark, "blobs")
+    one_line = table(spark, d, "conversations").select("role", F.translate("text", "\n\r", "  ").alias("text"))
+    (one_line.write.partitionBy("role").option("compression", "gzip").option("maxRecordsPerFile", 2000).text(root))
+    stored = blobs.scan_blobs(spark, f"{root}/role=*")
+    decoded = with_decoded(stored.withColumn("src_encoding", F.lit("utf-8")))
+    return decoded.groupBy(F.regexp_extract("path", "role=([^/]+)", 1).alias("role")).agg(
+        F.sum(F.regexp_count("text", F.lit("\n"))).alias("n_lines"), F.sum("word_count").alias("words"))
+
+
+@query("write_parquet", "SELECT doc_id, text, lang FROM documents")
+def write_parquet(spark, d):
+    root = fresh_dir(spark, "parquet")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    sinks.write_parquet(docs, root)
+    return spark.read.schema(docs.schema).parquet(root)
+
+
+@query("write_metadata_csv", """
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT item_id, -1, 'benchmark', text FROM benchmark""")
+def write_metadata_csv(spark, d):
+    root = fresh_dir(spark, "metadata")
+    first = table(spark, d, "conversations").select("conv_id", "turn", "text", "role")
+    more = table(spark, d, "benchmark").select(
+        F.col("item_id").alias("conv_id"), F.lit(-1).cast("bigint").alias("turn"), "text",
+        F.lit("benchmark").alias("role"))
+    sinks.write_metadata_csv(first, root, "role")
+    sinks.write_metadata_csv(more, root, "role")
+    return spark.read.schema(first.schema).csv(root, header=True, escape='"', multiLine=True)
+
+
+@query("write_catalog_csv", with_sql(REPOS, select="SELECT name, stars, lang FROM repos ORDER BY pos LIMIT 10"))
+def write_catalog_csv(spark, d):
+    root = fresh_dir(spark, "catalogue")
+    sinks.write_catalog_csv(first_rows(repos(spark, d), ["pos"], 10).select("name", "stars", "lang"), root)
+    return manifests.read_manifest_csv(spark, root)
+
+
+@query("write_json_array", """
+  SELECT (row_number() OVER (ORDER BY item_id) - 1) % 50 AS position, text AS value FROM benchmark""")
+def write_json_array(spark, d):
+    root = fresh_dir(spark, "array")
+    sinks.write_json_array(table(spark, d, "benchmark"), root, ["item_id"], F.col("text"),
+                           slices=slices_of(F.col("item_id"), 10**6, 10**3), size=50)
+    read = manifests.read_manifest_json(spark, root)
+    return read.select(F.col("position").cast("bigint").alias("position"), "value")
+
+
+@query("write_keyed", "SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders")
+def write_keyed(spark, d):
+    root = fresh_dir(spark, "keyed")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    sinks.write_keyed(orders, root, ["o_orderpriority", "o_orderstatus"])
+    return spark.read.schema(orders.schema).parquet(root)
+
+
+@query("bundle_groups", """
+  WITH files AS (SELECT source, lpad(doc_id::VARCHAR, 12, '0') || '.' || lang AS name, strlen(text) AS size FROM documents),
+  placed AS (
+    SELECT source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY name
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 65536 AS part FROM files)
+  SELECT source, part::INTEGER AS part, count(*) AS n_files, sum(size)::BIGINT AS raw_bytes, TRUE AS zipped
+  FROM placed GROUP BY source, part""")
+def bundle_groups(spark, d):
+    files = table(spark, d, "documents").select(
+        "source", F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("."), F.col("lang")).alias("name"),
+        F.encode("text", "UTF-8").alias("content"))
+    bundles = sinks.bundle_groups(files, "source", slices=slices_of_text(F.col("name"), 6, 9), max_bytes=65536)
+    return bundles.select("source", "part", "n_files", "raw_bytes",
+                          (F.octet_length("zip") > 0).alias("zipped"))
+
+
+@query("pending_uploads", with_sql(OBJECTS, DONE, select="""
+  SELECT key, 'backup/' || key AS target_key FROM objects
+  WHERE key LIKE '%.en' AND key NOT IN (SELECT key FROM done)"""))
+def pending_uploads(spark, d):
+    there = done_objects(spark, d).select(F.concat(F.lit("backup/"), F.col("key")).alias("key"))
+    return listings.pending_uploads(objects(spark, d), there, "backup", ".en").select("key", "target_key")
