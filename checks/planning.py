@@ -9,7 +9,8 @@ from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS
 from checks.registry import query
 from gleaner.functions.text import word_count
 from gleaner.operators import dedup, extract, joins, ledger, numbering
-from gleaner.operators.numbering import slices_of, slices_of_text, slices_of_time
+from gleaner.operators.numbering import slices_of, slices_of_time
+from gleaner.session import stage
 
 
 def _long(*columns):
@@ -172,7 +173,7 @@ def failed_links(spark, d):
   SELECT host, page_id, CAST(pos AS BIGINT) AS pos,
          row_number() OVER (PARTITION BY host ORDER BY page_id, pos) - 1 AS number FROM images"""))
 def media_number(spark, d):
-    images = extract.extract_images(media_pages(spark, d))
+    images = stage(extract.extract_images(media_pages(spark, d)).select("host", "page_id", "pos"), "images")
     numbered = numbering.number_rows(images, ["host"], ["page_id", "pos"], "number", slices=page_slices())
     return numbered.select("host", "page_id", *_long("pos"), "number")
 
@@ -222,7 +223,7 @@ flagged AS (
     SELECT host, page_id, max(stop::INT) OVER (PARTITION BY host ORDER BY page_id) AS stopped FROM flagged)
   WHERE stopped = 0"""))
 def stop_at_repeat(spark, d):
-    pages = extract.page_signature(media_pages(spark, d))
+    pages = stage(extract.page_signature(media_pages(spark, d)), "signatures")
     kept = numbering.stop_at_repeat(pages, ["host"], ["page_id"], "signature", "n_images", slices=page_slices())
     return kept.select("host", "page_id")
 

@@ -278,9 +278,8 @@ def stream_retry(spark, d):
   FROM documents JOIN objects USING (doc_id)
   WHERE (key LIKE '%.en' OR key LIKE '%.de') AND doc_id NOT IN (SELECT doc_id FROM done) GROUP BY source"""))
 def content_enrichment(spark, d):
-    listing = objects(spark, d).filter(F.col("key").endswith(".en") | F.col("key").endswith(".de"))
     done = done_objects(spark, d).select(F.col("done_key").alias("key"))
-    todo = content.remaining_objects(listing, done, "", marker="tmp/")
+    todo = content.remaining_objects(objects(spark, d), done, ".en", ".de", marker="tmp/")
     docs = table(spark, d, "documents").select("doc_id", "text")
     meta = todo.select("doc_id", F.col("folder").alias("source"))
     return content.content_stats(content.enrich_content(meta, docs, "doc_id", content_unique=True), "source")

@@ -8,7 +8,7 @@ from checks.inputs import (DONE, OBJECTS, REPOS, done_objects, objects, repos, t
 from checks.registry import query
 from checks.scalars import gzip_store
 from gleaner.functions.blobs import with_decoded
-from gleaner.operators.numbering import first_rows, number_rows, slices_of, slices_of_text
+from gleaner.operators.numbering import first_rows, int_div, number_rows, slices_of, slices_of_text
 from gleaner.session import fresh_dir
 from gleaner.sources import blobs, listings, manifests, sinks, tables
 
@@ -81,7 +81,7 @@ def search_pages(spark, d):
                            total="total_count")
     item = F.struct("n", F.struct(F.col("name").alias("full_name"), F.col("stars").alias("stargazers_count"),
                                   "size", F.col("lang").alias("language")).alias("item"))
-    paged = numbered.groupBy("brand", "total_count", F.floor(F.col("n") / 100).alias("page")).agg(
+    paged = numbered.groupBy("brand", "total_count", int_div(F.col("n"), 100).alias("page")).agg(
         F.array_sort(F.collect_list(item)).alias("rows"))
     items = F.transform("rows", lambda r: r["item"])
     return paged.select("brand", "page", F.to_json(F.struct("total_count", items.alias("items"))).alias("response"))

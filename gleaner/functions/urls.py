@@ -42,12 +42,12 @@ def prefix_always(base: Column, href: Column) -> Column:
     return F.concat(base, href)
 
 
-def _tidy_path(path: Column) -> Column:
-    """Path without ``.``, ``..`` and empty inner segments."""
+def _tidy_path(path: Column, rooted: Column) -> Column:
+    """Path without ``.`` and ``..``; a path that is not ``rooted`` loses empty inner segments too."""
     parts = F.split(path, "/")
     last = F.element_at(parts, -1)
     inner = F.filter(
-        parts, lambda p, i: (i == 0) | (i == F.size(parts) - 1) | (p != ""))
+        parts, lambda p, i: rooted | (i == 0) | (i == F.size(parts) - 1) | (p != ""))
     # A final "." or ".." names a folder, hence the closing "/".
     closed = F.when(last.isin(".", ".."), F.concat(inner, F.array(F.lit("")))).otherwise(inner)
     kept = F.aggregate(
@@ -76,7 +76,7 @@ def resolve_url(base: Column, href: Column) -> Column:
         F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
     # The fold over segments runs only where a segment needs it.
     needs_fold = merged.rlike(r"/\.\.?(/|$)|//")
-    resolved = F.when(needs_fold, _tidy_path(merged)).otherwise(merged)
+    resolved = F.when(needs_fold, _tidy_path(merged, path.startswith("/"))).otherwise(merged)
     return (
         F.when(href.isNull() | (href == ""), base)
         .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.operators.numbering import number_rows
+from gleaner.operators.numbering import int_div, number_rows
 from gleaner.operators.skew import HOT_ROWS
 
 
@@ -25,7 +25,7 @@ def numbered_lists(df: DataFrame, group: Sequence[str], order: Sequence[str], it
     """
     numbered = number_rows(df.withColumn("_item", item), group, order, "_n",
                            slices=slices, hot_rows=hot_rows)
-    chunked = numbered.withColumn("chunk", F.floor(F.col("_n") / F.lit(size)).cast("bigint"))
+    chunked = numbered.withColumn("chunk", int_div(F.col("_n"), size))
     lists = chunked.groupBy(*group, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("_n", "_item"))).alias("_list"))
     return lists.withColumn(out, F.transform("_list", lambda x: x["_item"])).drop("_list")
@@ -97,4 +97,4 @@ def partition_plan(df: DataFrame, group: Sequence[str], rows_per_partition: int
     by adaptive execution.
     """
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias("total_rows")).withColumn(
-        "partitions", F.floor(F.col("total_rows") / F.lit(rows_per_partition)).cast("bigint") + 1)
+        "partitions", int_div(F.col("total_rows"), rows_per_partition) + 1)

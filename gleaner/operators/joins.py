@@ -82,7 +82,7 @@ def size_window(size: Column, low: int = 0, high: int = 100, step: int = 10) ->
     window follows from the size, so the range join needs no shuffle.
     """
     width = step + 1
-    start = F.lit(low) + F.floor((size - F.lit(low)) / F.lit(width)).cast("bigint") * F.lit(width)
+    start = size - F.pmod(size - F.lit(low), F.lit(width))
     end = F.greatest(start + 1, F.least(F.lit(high), start + step))
     # A window that would open at `high` itself is never asked for.
     inside = (size >= low) & (start < high) & (size <= end)

@@ -11,16 +11,20 @@ offset, and only a slice is sorted in one task. Groups with fewer than
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.operators.skew import HOT_ROWS, hot_keys, mark_hot, same
+from gleaner.operators.skew import HOT_ROWS, hot_keys, mark_hot
+
+
+def int_div(number: Column, width) -> Column:
+    """Exact integer quotient of a non-negative number."""
+    return F.call_function("div", number, F.lit(width) if isinstance(width, int) else width)
 
 
 def slices_of(column: Column, *widths: int) -> list[Column]:
-    """Slices of a number by falling widths, for example ``slices_of(c, 10**6, 10**3)``."""
-    return [F.floor(column / F.lit(w)).cast("bigint") for w in widths]
+    """Slices of a whole number by falling widths, for example ``slices_of(c, 10**6, 10**3)``."""
+    return [column - F.pmod(column, F.lit(w)) for w in widths]
 
 
 def slices_of_time(ts: Column, *units: str) -> list[Column]:
@@ -33,14 +37,17 @@ def slices_of_text(text: Column, *lengths: int) -> list[Column]:
     return [F.left(text, F.lit(n)) for n in lengths]
 
 
-def _sliced(df: DataFrame, group: Sequence[str], slices: Sequence[Column],
-            hot_rows: int) -> tuple[DataFrame, list[str]]:
+def _sliced(df: DataFrame, group: Sequence[str], slices: Sequence[Column], hot_rows: int,
+            hot: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    """Add the slice columns (null in groups that are not hot) and ``_key``, group and slice as one."""
     names = [f"_s{i}" for i in range(len(slices))]
-    if not group:
-        return df.withColumns(dict(zip(names, slices))).withColumn("_hot", F.lit(True)), names
-    marked = mark_hot(df, hot_keys(df, group, hot_rows), group, "_hot")
-    return marked.withColumns(
-        {n: F.when(F.col("_hot"), s) for n, s in zip(names, slices)}), names
+    if group:
+        hot = hot_keys(df, group, hot_rows) if hot is None else hot
+        marked = mark_hot(df, hot, group, "_hot")
+        parts = [F.when(F.col("_hot"), s) for s in slices]
+    else:
+        marked, parts = df.withColumn("_hot", F.lit(True)), slices
+    return marked.withColumns(dict(zip(names, parts))).withColumn("_key", F.struct(*group, *names)), names
 
 
 def _before(keys: Sequence[str], order: Sequence):
@@ -48,56 +55,65 @@ def _before(keys: Sequence[str], order: Sequence):
             .rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Null-safe join on ``keys`` that keeps the columns of ``big`` once."""
-    other = small.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return big.join(other, same(big, other, keys, "_r_"), how).drop(*[f"_r_{k}" for k in keys])
-
-
 def _offsets(totals: DataFrame, group: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """From ``_sum`` per finest slice to ``_offset`` and the group's ``_total``."""
+    """From ``_sum`` per finest slice to ``_key``, ``_offset`` and the group's ``_total``.
+
+    Level by level: a coarse slice starts after the coarse slices before it, a
+    fine slice after the fine slices before it in the same coarse one.
+    """
     out = None
     for level in range(1, len(names) + 1):
-        keys = [*group, *names[:level]]
+        keys, parent = [*group, *names[:level]], [*group, *names[:level - 1]]
         sums = totals if level == len(names) else totals.groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
-        parent = [*group, *names[:level - 1]]
-        step = sums.withColumn(
-            f"_off{level}", F.coalesce(F.sum("_sum").over(_before(parent, [names[level - 1]])), F.lit(0)))
-        if level == 1:
-            step = step.withColumn("_total", F.sum("_sum").over(Window.partitionBy(*parent)))
-        step = step.drop("_sum")
-        out = step if out is None else _attach(step, out, parent, "inner")
-    offset = reduce(lambda a, b: a + b, [F.col(f"_off{i + 1}") for i in range(len(names))])
-    return out.select(*group, *names, offset.alias("_offset"), "_total")
+        before = F.coalesce(F.sum("_sum").over(_before(parent, [names[level - 1]])), F.lit(0))
+        if out is None:
+            out = sums.withColumns({"_offset": before,
+                                    "_total": F.sum("_sum").over(Window.partitionBy(*parent))})
+        else:
+            # Structs compare null fields as equal, so a null group keeps its offset.
+            coarse = out.select(F.struct(*parent).alias("_parent"), F.col("_offset").alias("_start"), "_total")
+            inner = sums.withColumns({"_inside": before, "_parent": F.struct(*parent)}).join(coarse, "_parent")
+            out = inner.withColumn("_offset", F.col("_start") + F.col("_inside")).select(
+                *keys, "_offset", "_total")
+    return out.select(F.struct(*group, *names).alias("_key"), "_offset", "_total")
+
+
+def _prefix(df: DataFrame, group: Sequence[str], order: Sequence, value: Column | None, out: str,
+            slices: Sequence[Column], hot_rows: int, total: str | None, hot: DataFrame | None) -> DataFrame:
+    one = F.lit(1).cast("bigint")
+    sliced, names = _sliced(df.withColumn("_value", one if value is None else value),
+                            group, slices, hot_rows, hot)
+    totals = sliced.filter("_hot").groupBy(*group, *names).agg(F.sum("_value").alias("_sum"))
+    # Join and window share the partitioning by _key: one shuffle of the table.
+    joined = sliced.join(_offsets(totals, group, names), "_key", "left")
+    if value is None:
+        inside = F.row_number().over(Window.partitionBy("_key").orderBy(*order)).cast("bigint") - 1
+    else:
+        inside = F.coalesce(F.sum("_value").over(_before(["_key"], order)), F.lit(0))
+    result = joined.withColumn(out, F.coalesce("_offset", F.lit(0)) + inside)
+    if total is not None:
+        result = result.withColumn(
+            total, F.coalesce("_total", F.sum("_value").over(Window.partitionBy("_key"))))
+    return result.drop("_value", "_hot", "_offset", "_total", "_key", *names)
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence, value: Column, out: str, *,
                   slices: Sequence[Column], hot_rows: int = HOT_ROWS,
-                  total: str | None = None) -> DataFrame:
+                  total: str | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before this one in its group.
 
     ``order`` must name each row of a group uniquely. ``total`` adds the sum
     of the whole group under that name. An empty ``group`` orders the table.
+    ``hot`` passes the hot groups where they are known already.
     """
-    sliced, names = _sliced(df.withColumn("_value", value), group, slices, hot_rows)
-    keys = [*group, *names]
-    totals = sliced.filter("_hot").groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    offsets = _offsets(totals, group, names)
-    joined = _attach(sliced, offsets, keys)
-    inside = F.coalesce(F.sum("_value").over(_before(keys, order)), F.lit(0))
-    result = joined.withColumn(out, F.coalesce(F.col("_offset"), F.lit(0)) + inside)
-    if total is not None:
-        result = result.withColumn(
-            total, F.coalesce(F.col("_total"), F.sum("_value").over(Window.partitionBy(*keys))))
-    return result.drop("_value", "_hot", "_offset", "_total", *names)
+    return _prefix(df, group, order, value, out, slices, hot_rows, total, hot)
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "number", *,
                 start: int = 0, slices: Sequence[Column], hot_rows: int = HOT_ROWS,
-                total: str | None = None) -> DataFrame:
+                total: str | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Dense number per group in the given order, counted from ``start``."""
-    numbered = running_total(df, group, order, F.lit(1).cast("bigint"), out,
-                             slices=slices, hot_rows=hot_rows, total=total)
+    numbered = _prefix(df, group, order, None, out, slices, hot_rows, total, hot)
     return numbered.withColumn(out, F.col(out) + F.lit(start)) if start else numbered
 
 
@@ -124,14 +140,14 @@ def upload_batches(df: DataFrame, group: Sequence[str], order: Sequence, size: i
                    out: str = "batch", **sliced) -> DataFrame:
     """Batch number per group: every ``size`` rows, the last batch may be short."""
     numbered = number_rows(df, group, order, "_n", **sliced)
-    return numbered.withColumn(out, F.floor(F.col("_n") / F.lit(size)).cast("bigint")).drop("_n")
+    return numbered.withColumn(out, int_div(F.col("_n"), size)).drop("_n")
 
 
 def rate_budget(df: DataFrame, order: Sequence, start: Column, requests: int = 30,
                 pause_seconds: int = 60, *, slices: Sequence[Column]) -> DataFrame:
     """Requests in order get ``slot`` and ``not_before``: ``requests`` per slot, then a pause."""
     numbered = number_rows(df, [], order, "_n", slices=slices)
-    slot = F.floor(F.col("_n") / F.lit(requests)).cast("bigint")
+    slot = int_div(F.col("_n"), requests)
     return numbered.withColumns({
         "slot": slot,
         "not_before": start + F.make_dt_interval(secs=slot * F.lit(pause_seconds)),
@@ -142,40 +158,46 @@ def work_chunks(df: DataFrame, order: Sequence, chunks: int, out: str = "chunk",
                 slices: Sequence[Column]) -> DataFrame:
     """Cut the ordered table into ``chunks`` even parts, numbered from 1; each row in exactly one."""
     numbered = number_rows(df, [], order, "_n", slices=slices, total="_all")
-    small = F.floor(F.col("_all") / F.lit(chunks))
+    small = int_div(F.col("_all"), chunks)
     larger = F.col("_all") % F.lit(chunks)          # so many chunks have one row more
     border = larger * (small + 1)
-    chunk = F.when(F.col("_n") < border, F.floor(F.col("_n") / (small + 1))).otherwise(
-        larger + F.floor((F.col("_n") - border) / F.greatest(small, F.lit(1))))
+    chunk = F.when(F.col("_n") < border, int_div(F.col("_n"), small + 1)).otherwise(
+        larger + int_div(F.col("_n") - border, F.greatest(small, F.lit(1))))
     return numbered.withColumn(out, (chunk + 1).cast("bigint")).drop("_n", "_all")
 
 
 def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str, *,
-                   slices: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+                   slices: Sequence[Column], hot_rows: int = HOT_ROWS,
+                   hot: DataFrame | None = None) -> DataFrame:
     """Add ``out``: ``value`` of the row before this one in its group.
 
     Within a slice this is ``lag``; the first row of a slice takes the last
     value of the slice before.
     """
-    sliced, names = _sliced(df, group, slices, hot_rows)
-    keys = [*group, *names]
-    last = sliced.filter("_hot").groupBy(*keys).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
-    carry = last.withColumn(
-        "_carry", F.lag("_last").over(Window.partitionBy(*group).orderBy(*names))).drop("_last")
-    joined = _attach(sliced, carry, keys)
-    here = F.lag(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*keys).orderBy(*order))
-    return joined.withColumn(out, F.coalesce(here, F.col("_carry"))["v"]).drop("_carry", "_hot", *names)
+    sliced, names = _sliced(df, group, slices, hot_rows, hot)
+    # The value sits in a struct: a null value and "no row" stay apart.
+    boxed = F.struct(F.col(value).alias("v"))
+    last = sliced.filter("_hot").groupBy(*group, *names).agg(
+        F.max_by(boxed, F.struct(*order)).alias("_last"))
+    carry = last.select(
+        F.struct(*group, *names).alias("_key"),
+        F.lag("_last").over(Window.partitionBy(*group).orderBy(*names)).alias("_carry"))
+    joined = sliced.join(carry, "_key", "left")
+    here = F.lag(boxed).over(Window.partitionBy("_key").orderBy(*order))
+    return joined.withColumn(out, F.coalesce(here, F.col("_carry"))["v"]).drop("_carry", "_hot", "_key", *names)
 
 
 def stop_at_repeat(df: DataFrame, group: Sequence[str], order: Sequence[str], signature: str,
                    items: str, *, slices: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Pages of each group before the first one that is empty or repeats its predecessor."""
-    with_prev = previous_value(df, group, order, signature, "_prev", slices=slices, hot_rows=hot_rows)
+    """Pages of each group before the first one that is empty or repeats its predecessor.
+
+    ``df`` is read several times; pass a staged table if signatures come from parsing.
+    """
+    sliced = {"slices": slices, "hot": hot_keys(df, group, hot_rows) if group else None}
+    with_prev = previous_value(df, group, order, signature, "_prev", **sliced)
     stop = F.coalesce((F.col(items) == 0) | (F.col(signature) == F.col("_prev")), F.lit(False))
     flagged = with_prev.withColumn("_stop", stop.cast("bigint")).drop("_prev")
-    counted = running_total(flagged, group, order, F.col("_stop"), "_stops",
-                            slices=slices, hot_rows=hot_rows)
+    counted = running_total(flagged, group, order, F.col("_stop"), "_stops", **sliced)
     return counted.filter((F.col("_stops") == 0) & (F.col("_stop") == 0)).drop("_stop", "_stops")
 
 

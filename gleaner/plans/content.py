@@ -9,9 +9,9 @@ from gleaner.functions.text import word_count
 from gleaner.operators.joins import join_content, todo_by_basename
 
 
-def remaining_objects(listing: DataFrame, done: DataFrame, suffix: str, marker: str | None = None) -> DataFrame:
-    """Listed objects with the suffix and without the marker whose name is not in ``done``."""
-    wanted = listing.filter(has_suffix(F.col("key"), suffix))
+def remaining_objects(listing: DataFrame, done: DataFrame, *suffixes: str, marker: str | None = None) -> DataFrame:
+    """Listed objects with a suffix and without the marker whose name is not in ``done``."""
+    wanted = listing.filter(has_suffix(F.col("key"), *suffixes))
     if marker:
         wanted = wanted.filter(lacks(F.col("key"), marker))
     return todo_by_basename(wanted, done, F.col("key"), F.col("key"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.aggregate import numbered_lists
-from gleaner.operators.numbering import running_total
+from gleaner.operators.numbering import int_div, running_total
 from gleaner.operators.skew import HOT_ROWS
 
 
@@ -85,7 +85,7 @@ def bundle_groups(files: DataFrame, group: str, *, slices, max_bytes: int = 64 <
     # Positions come from names and sizes; payloads join the plan once, below.
     placed = running_total(sized.select(group, "name", "size"), [group], ["name"], F.col("size"), "_before",
                            slices=slices, hot_rows=hot_rows)
-    parts = placed.select(group, "name", F.floor(F.col("_before") / F.lit(max_bytes)).cast("int").alias("part"))
+    parts = placed.select(group, "name", int_div(F.col("_before"), max_bytes).cast("int").alias("part"))
     with_part = sized.join(parts, [group, "name"])
     kind = dict(files.dtypes)[group]
     schema = f"`{group}` {kind}, part int, n_files bigint, raw_bytes bigint, zip binary"
