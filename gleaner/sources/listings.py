@@ -11,7 +11,8 @@ def list_objects(spark: SparkSession, root: str, suffix: str | None = None) -> D
     """``key`` (relative to ``root``), ``size``, ``modified`` of every object below ``root``.
 
     The content column is pruned, so objects are listed, never opened. The
-    suffix filter runs at listing time.
+    suffix filter runs at listing time. Spark's file sources leave out objects
+    of zero bytes, and so does this listing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if suffix:
