@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS, REPOS, done_objects,
                            link_log, media_pages, objects, repos, sql_text, table, utc_text, with_sql)
 from checks.registry import query
-from gleaner.functions.text import word_count
 from gleaner.operators import dedup, extract, joins, ledger, numbering
 from gleaner.operators.numbering import slices_of, slices_of_time
 from gleaner.session import stage
@@ -93,10 +92,10 @@ def page_signature(spark, d):
   FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def join_content(spark, d):
     docs = table(spark, d, "documents")
-    content = docs.join(table(spark, d, "labels"), "doc_id", "left_semi").select(
-        "doc_id", "text", word_count(F.col("text")).cast("bigint").alias("word_count"))
+    content = docs.join(table(spark, d, "labels"), "doc_id", "left_semi").select("doc_id", "text")
     # The store holds labelled documents, each twice: rows out stay rows in.
-    return joins.join_content(docs.select("doc_id", "lang"), content.unionByName(content), "doc_id")
+    joined = joins.join_content(docs.select("doc_id", "lang"), content.unionByName(content), "doc_id")
+    return joined.withColumn("word_count", F.col("word_count").cast("bigint"))
 
 
 @query("todo_by_basename", with_sql(OBJECTS, DONE, select="""

@@ -51,13 +51,3 @@ def with_decoded(df, content: str = "content", encoding: str = "src_encoding"):
             "error": F.col("_decoded.error"),
         }).drop("_decoded", content)
     )
-
-
-def content_or_empty(df):
-    """Failure rows after a left join: no text becomes ``""`` and 0 words, with a status that says so."""
-    return df.withColumns({
-        "status": F.when(F.col("text").isNull(), "missing").otherwise(F.coalesce("status", F.lit("ok")))
-        if "status" in df.columns else F.when(F.col("text").isNull(), "missing").otherwise("ok"),
-        "text": F.coalesce("text", F.lit("")),
-        "word_count": F.coalesce("word_count", F.lit(0)),
-    })

@@ -1,10 +1,12 @@
 """Links, images and videos out of landed HTML pages.
 
-The native route works on columns: comments, scripts and styles are removed,
-tags are matched with quoted attribute values respected, and attributes are
-read token by token, so ``data-src`` or a value that holds ``src=`` is never
-taken for ``src``. One page is one row all the way, so nothing is shuffled.
-Scopes that depend on nesting take the parser route (:func:`scoped_links`).
+The native route works on columns. One regular expression walks over a page:
+comments, scripts and styles are consumed without result, wanted tags are
+matched with quoted attribute values respected. Attributes are then read token
+by token, so ``data-src`` or a value that holds ``src=`` is never taken for
+``src``. One page is one row all the way, so nothing is shuffled. All loops in
+the expressions are possessive: they neither backtrack nor recurse. Scopes that depend on nesting take the parser route
+(:func:`scoped_links`).
 """
 
 from __future__ import annotations
@@ -15,68 +17,83 @@ from gleaner.functions.names import media_src
 from gleaner.functions.predicates import class_matches, has_suffix, trimmed_text_equals
 from gleaner.functions.urls import prefix_unless_http, resolve_url
 
-_NOISE = (r"(?is)<!--.*?-->|<script\b[^>]*+>.*?</script\s*>|<style\b[^>]*+>.*?</style\s*>")
-_ATTRIBUTES = r"""(?:[^>"']*+(?:"[^"]*+"|'[^']*+')?+)*+"""
-_TOKEN = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
+# What a page leaves open reaches to its end, so every scan moves on: a page
+# is read once however broken it is.
+_NOISE = (r"!--.*?(?:-->|\z)"
+          r"|script\b[^>]*+(?:>.*?(?:</script\s*+>|\z)|\z)"
+          r"|style\b[^>]*+(?:>.*?(?:</style\s*+>|\z)|\z)")
+_NAME = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+)?+"""
+_TOKEN = rf"{_NAME}(?:\s*+=\s*+{_VALUE})?+"
+_TOKEN_PARTS = r"""(?s)^(.[^\s=]*+)\s*+=\s*+(?:"(.*)"|'(.*)'|(.*))$"""
+# An anchor ends at its end tag, at the next anchor or with the page.
+_ANCHOR_BODY = r"(?:[^<]++|<!--.*?(?:-->|\z)|<(?!/?a[\s/>]))*+(?:</a\s*+>)?+"
 
 
-def clean_html(html: Column) -> Column:
-    """HTML without comments, scripts and styles. ``regexp_replace`` runs only where one may occur."""
-    return F.when(html.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(html, _NOISE, "")).otherwise(html)
+def _opening(tag: str) -> str:
+    """An opening tag without its first ``<``; cut off by the end of the page it has no ``>``."""
+    return rf"{tag}(?=[\s/>])(?:[\s/]++|{_TOKEN})*+(?:>|\z)"
 
 
-def _tag(name: str) -> str:
-    return rf"(?is)<{name}(?=[\s/>]){_ATTRIBUTES}>"
+def find_elements(html: Column, pattern: str) -> Column:
+    """Array of the complete elements that match ``pattern`` (given without the first ``<``), outside of noise."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{_NOISE}|({pattern}))"), F.lit(1))
+    return F.filter(found, lambda e: e.contains(">"))
 
 
 def unescape(text: Column) -> Column:
     """The named entities that occur in attribute values and link texts, and the decimal apostrophe."""
     out = text
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+                         ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return F.when(text.contains("&"), out).otherwise(text)
 
 
-def attribute_tokens(tag: Column) -> Column:
-    """The attributes of an opening tag, in order, as ``name`` or ``name=value``."""
-    return F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]++", ""), F.lit(_TOKEN), F.lit(0))
+def attribute_tokens(element: Column) -> Column:
+    """The attributes of an opening tag, in order, as ``name`` or ``name=value`` without quotes."""
+    body = F.regexp_replace(element, r"^[^\s/>]++", "")
+    tokens = F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(0))
+    plain = F.transform(tokens, lambda t: F.regexp_replace(t, _TOKEN_PARTS, "$1=$2$3$4"))
+    return F.transform(plain, unescape)
 
 
 def attribute(tokens: Column, name: str) -> Column:
     """Value of the first attribute with this name: null if absent, empty if it has no value."""
-    found = F.try_element_at(
-        F.filter(tokens, lambda t: t.rlike(rf"(?is)^{name}(\s*=|$)")), F.lit(1))
-    value = F.regexp_replace(found, r"(?s)^[^=]*+(=\s*+|$)", "")
-    bare = F.when(value.startswith('"') | value.startswith("'"),
-                  F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-    return unescape(bare)
+    head = F.lit(len(name) + 1)
+    found = F.filter(tokens, lambda t: F.lower(F.left(t, head)).isin(f"{name}=", name))
+    return F.substr(F.try_element_at(found, F.lit(1)), F.lit(len(name) + 2))
 
 
-def tag_text(element: Column) -> Column:
-    """Text of an element without the tags inside it."""
-    return unescape(F.regexp_replace(element, rf"</?+[a-zA-Z!]{_ATTRIBUTES}>", ""))
+def _text(element: Column, tag: str) -> Column:
+    """Text of an element (given without its first ``<``): no tags, no noise."""
+    inner = F.regexp_replace(element, rf"(?is)^{_opening(tag)}", "")
+    return F.regexp_replace(inner, rf"(?is)<(?:{_NOISE}|/?+[a-z!](?:[\s/]++|{_TOKEN})*+>)", "")
 
 
 def _elements(pages: DataFrame, pattern: str, html: str) -> DataFrame:
-    found = F.regexp_extract_all(clean_html(F.col(html)), F.lit(pattern), F.lit(0))
     keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, F.posexplode(found).alias("pos", "_element"))
+    return pages.select(*keep, F.posexplode(find_elements(F.col(html), pattern)).alias("pos", "_element"))
+
+
+def _anchors(pages: DataFrame, html: str) -> DataFrame:
+    found = _elements(pages, _opening("a") + _ANCHOR_BODY, html)
+    opening = F.regexp_extract("_element", rf"(?is)^{_opening('a')}", 0)
+    return found.withColumn("_tokens", attribute_tokens(opening))
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per ``<a href>`` in document order: ``pos, href, text, class``."""
-    anchors = _elements(pages, _tag("a") + r"(?:(?!<a[\s>]).)*?(?:</a\s*+>|(?=<a[\s>])|\z)", html)
-    opening = F.regexp_extract(F.col("_element"), _tag("a"), 0)
     return (
-        anchors.withColumn("_tokens", attribute_tokens(opening))
+        _anchors(pages, html)
         .withColumns({
             "href": attribute(F.col("_tokens"), "href"),
             "class": attribute(F.col("_tokens"), "class"),
-            "text": tag_text(F.col("_element")),
+            "_text": _text(F.col("_element"), "a"),
         })
         .filter(F.col("href").isNotNull())
-        .drop("_element", "_tokens")
+        .withColumn("text", unescape(F.col("_text")))
+        .drop("_element", "_tokens", "_text")
     )
 
 
@@ -96,7 +113,7 @@ def extract_doc_links(pages: DataFrame, base: str, suffix: str = ".pdf", html: s
 
 def _media(pages: DataFrame, tag: str, wanted_class: str | None, html: str) -> DataFrame:
     media = (
-        _elements(pages, _tag(tag), html)
+        _elements(pages, _opening(tag), html)
         .withColumn("_tokens", attribute_tokens(F.col("_element")))
         .withColumns({
             "src": attribute(F.col("_tokens"), "src"),
@@ -122,26 +139,26 @@ def extract_videos(pages: DataFrame, wanted_class: str | None = None, html: str
 
 def extract_linked_images(pages: DataFrame, wanted_class: str, base: Column, html: str = "html") -> DataFrame:
     """The first image inside each anchor of a class, with its URL resolved against ``base``."""
-    anchors = _elements(pages, _tag("a") + r"(?:(?!<a[\s>]).)*?(?:</a\s*+>|(?=<a[\s>])|\z)", html)
-    opening = F.regexp_extract(F.col("_element"), _tag("a"), 0)
-    image = F.regexp_extract(F.col("_element"), _tag("img"), 0)
+    image = F.try_element_at(find_elements(F.col("_element"), _opening("img")), F.lit(1))
     return (
-        anchors.filter(class_matches(attribute(attribute_tokens(opening), "class"), wanted_class))
-        .withColumn("_tokens", attribute_tokens(image))
-        .filter(image != "")
+        _anchors(pages, html)
+        .filter(class_matches(attribute(F.col("_tokens"), "class"), wanted_class))
+        .withColumn("_image", image)
+        .filter(F.col("_image").isNotNull())
+        .withColumn("_tokens", attribute_tokens(F.col("_image")))
         .withColumns({
             "src": attribute(F.col("_tokens"), "src"),
             "alt": attribute(F.col("_tokens"), "alt"),
         })
         .withColumn("media_url", F.when(F.col("src").isNotNull(), resolve_url(base, F.col("src"))))
-        .drop("_element", "_tokens")
+        .drop("_element", "_tokens", "_image")
     )
 
 
 def image_sources(html: Column) -> Column:
     """All ``img`` sources of a page in document order, as an array in the page's own row."""
-    tags = F.regexp_extract_all(clean_html(html), F.lit(_tag("img")), F.lit(0))
-    sources = F.transform(tags, lambda t: attribute(attribute_tokens(t), "src"))
+    sources = F.transform(find_elements(html, _opening("img")),
+                          lambda t: attribute(attribute_tokens(t), "src"))
     return F.filter(sources, lambda s: s.isNotNull())
 
 

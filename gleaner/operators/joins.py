@@ -6,26 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.functions.blobs import content_or_empty
+from gleaner.functions.text import word_count
 from gleaner.operators.skew import HOT_ROWS, skew_join
 
 
 def join_content(metadata: DataFrame, content: DataFrame, on: str = "blob_id", *,
-                 content_unique: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every metadata row once, with its text, word count and status.
+                 content_unique: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Every metadata row once, with its ``text``, ``word_count`` and ``status``.
 
-    ``content_unique`` says the content table holds an id once already and
-    saves the grouping. A blob that a large share of the rows refer to is
-    spread over several tasks.
+    ``content`` holds ``on, text``. ``content_unique`` says it holds an id once
+    already and saves the grouping. A blob that a large share of the rows
+    refer to is spread over several tasks. Words are counted after the join,
+    so only in texts that are asked for.
     """
+    content = content.select(on, "text")
     if not content_unique:
         content = content.dropDuplicates([on])
-    return content_or_empty(skew_join(metadata, content, [on], "left", hot_rows))
+    joined = skew_join(metadata, content, [on], "left", hot_rows)
+    return joined.withColumns({
+        "status": F.when(F.col("text").isNull(), "missing").otherwise("ok"),
+        "text": F.coalesce("text", F.lit("")),
+        "word_count": F.coalesce(word_count(F.col("text")), F.lit(0)),
+    })
 
 
 def todo_by_basename(keys: DataFrame, done: DataFrame, key: Column, done_key: Column,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose file name is not among the processed ones, whatever the folder."""
+                     hot_rows: int | None = None) -> DataFrame:
+    """Rows whose file name is not among the processed ones, whatever the folder.
+
+    The rows are narrow, so a name that occurs in very many folders is left to
+    the skew handling of adaptive execution; ``hot_rows`` salts it instead.
+    """
     names = done.select(F.substring_index(done_key, "/", -1).alias("_name")).distinct()
     named = keys.withColumn("_name", F.substring_index(key, "/", -1))
     return skew_join(named, names, ["_name"], "left_anti", hot_rows).drop("_name")

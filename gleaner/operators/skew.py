@@ -41,13 +41,17 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> D
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-              hot_rows: int = HOT_ROWS, salt: int = 32) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS, salt: int = 32) -> DataFrame:
     """Equi-join whose left side may have hot keys (nulls included).
 
     Rows of a hot key are spread over ``salt`` tasks and only the matching
     right rows are repeated ``salt`` times; all other keys join as usual.
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. With
+    ``hot_rows=None`` nothing is salted: adaptive execution splits partitions
+    that turn out too large.
     """
+    if hot_rows is None:
+        return left.join(right, list(on), how)
     hot = hot_keys(left, on, hot_rows)
     spread = mark_hot(left, hot, on, "_hot").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salt))).otherwise(0)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions.predicates import has_suffix, lacks
-from gleaner.functions.text import word_count
 from gleaner.operators.joins import join_content, todo_by_basename
 
 
@@ -19,9 +18,8 @@ def remaining_objects(listing: DataFrame, done: DataFrame, *suffixes: str, marke
 
 def enrich_content(metadata: DataFrame, content: DataFrame, on: str = "blob_id",
                    content_unique: bool = False) -> DataFrame:
-    """Each metadata row with ``text, word_count, status``; words are counted once per content row."""
-    counted = content.withColumn("word_count", word_count(F.col("text")))
-    return join_content(metadata, counted, on, content_unique=content_unique)
+    """Each metadata row with ``text, word_count, status``."""
+    return join_content(metadata, content, on, content_unique=content_unique)
 
 
 def content_stats(enriched: DataFrame, group: str) -> DataFrame:

@@ -32,8 +32,7 @@ def test_hot_keys_are_bounded(spark):
 
 def test_join_content_keeps_rows(spark):
     meta = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("x", 5)], "blob_id string, n int")
-    content = spark.createDataFrame([("a", "t u", 2), ("a", "t u", 2), ("b", "", 0)],
-                                    "blob_id string, text string, word_count int")
+    content = spark.createDataFrame([("a", "t u"), ("a", "t u"), ("b", "")], "blob_id string, text string")
     for hot_rows in (1, 100):
         out = {r.n: (r.text, r.word_count, r.status)
                for r in joins.join_content(meta, content, hot_rows=hot_rows).collect()}
