@@ -265,6 +265,5 @@ def repo_filter(spark, d):
   SELECT page_id, CAST(pos AS BIGINT) AS pos, href FROM nav WHERE trim(text) = 'The'
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) = 1"""))
 def anchor_text_equals(spark, d):
-    links = extract.extract_links(table(spark, d, "pages"))
-    first = extract.first_link_with_text(links, "page_id", "The")
+    first = extract.first_link_with_text(table(spark, d, "pages"), "The")
     return first.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")

@@ -299,6 +299,38 @@ def media_harvest(spark, d):
     return records.select("host", "page_id", "media_url", "number", "media_name", "object_key")
 
 
+@query("media_by_digest", with_sql(MEDIA_PAGES, IMAGES, """first AS (
+  SELECT * FROM images WHERE media_url LIKE 'http%'
+  QUALIFY row_number() OVER (PARTITION BY host, media_url ORDER BY page_id, pos) = 1),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id, pos) AS n FROM first
+  QUALIFY row_number() OVER (PARTITION BY host ORDER BY page_id, pos) <= 2)""", select="""
+  SELECT host, page_id, n - 1 AS number,
+         'media/' || host || '/image_' || n || '_' || md5(media_url) || '.jpg' AS object_key FROM numbered"""))
+def media_by_digest(spark, d):
+    candidates = stage(media.media_candidates(media_pages(spark, d)), "candidates")
+    records = media.media_records(candidates, "host", "media", slices=page_slices(), cap=2, by_digest=True)
+    return records.select("host", "page_id", "number", "object_key")
+
+
+@query("video_totals", with_sql(MEDIA_PAGES, OBJECTS, """videos AS (
+  SELECT host, page_id, 'https://cdn.example.org/' || n || '.mp4' AS media_url, 'v_' || n AS token
+  FROM media_pages WHERE has_body
+  QUALIFY row_number() OVER (PARTITION BY host, n ORDER BY page_id) = 1),
+named AS (
+  SELECT host, 'media/' || host || '/video_' || (row_number() OVER (PARTITION BY host ORDER BY page_id) - 1)
+         || '_' || token || '.mp4' AS object_key FROM videos),
+stored AS (SELECT object_key, length(object_key) AS size FROM named)""", select="""
+  SELECT host, count(*) AS total_images, sum(size)::BIGINT AS total_size FROM named JOIN stored USING (object_key)
+  GROUP BY host"""))
+def video_totals(spark, d):
+    candidates = stage(media.media_candidates(media_pages(spark, d), kind="video", wanted_class="clip"), "candidates")
+    records = stage(media.media_records(candidates, "host", "media", slices=page_slices(),
+                                        kind="video", extension=".mp4"), "records")
+    stored = records.select(F.col("object_key").alias("key"), F.length("object_key").cast("bigint").alias("size"))
+    return media.folder_totals(records, stored, "host")
+
+
 @query("archive_items", with_sql(MEDIA_PAGES, NAV_LINKS, """links AS (
   SELECT page_id, href FROM nav WHERE contains(text, 'PDF')
   UNION ALL SELECT page_id, '/f/' || page_id || '.pdf' FROM media_pages WHERE has_body)""", select="""

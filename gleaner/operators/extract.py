@@ -76,10 +76,13 @@ def _elements(pages: DataFrame, pattern: str, html: str) -> DataFrame:
     return pages.select(*keep, F.posexplode(find_elements(F.col(html), pattern)).alias("pos", "_element"))
 
 
+def _opening_of(anchor: Column) -> Column:
+    return F.regexp_extract(anchor, rf"(?is)^{_opening('a')}", 0)
+
+
 def _anchors(pages: DataFrame, html: str) -> DataFrame:
     found = _elements(pages, _opening("a") + _ANCHOR_BODY, html)
-    opening = F.regexp_extract("_element", rf"(?is)^{_opening('a')}", 0)
-    return found.withColumn("_tokens", attribute_tokens(opening))
+    return found.withColumn("_tokens", attribute_tokens(_opening_of(F.col("_element"))))
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -97,12 +100,21 @@ def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
-def first_link_with_text(links: DataFrame, page: str, wanted: str) -> DataFrame:
-    """The first link per page whose trimmed text is ``wanted``."""
-    hits = links.filter(trimmed_text_equals(F.col("text"), wanted))
-    rest = [c for c in hits.columns if c not in (page, "pos")]
-    first = hits.groupBy(page).agg(F.min(F.struct("pos", *rest)).alias("_f"))
-    return first.select(page, *[F.col("_f")[c].alias(c) for c in ["pos", *rest]])
+def first_link_with_text(pages: DataFrame, wanted: str, html: str = "html") -> DataFrame:
+    """The first link per page whose trimmed text is ``wanted``: ``pos, href``.
+
+    The links of a page stay in its row, so no shuffle is needed to compare them.
+    """
+    anchors = find_elements(F.col(html), _opening("a") + _ANCHOR_BODY)
+    links = F.transform(anchors, lambda a, i: F.struct(
+        i.alias("pos"),
+        attribute(attribute_tokens(_opening_of(a)), "href").alias("href"),
+        unescape(_text(a, "a")).alias("text")))
+    hits = F.filter(links, lambda a: a["href"].isNotNull() & trimmed_text_equals(a["text"], wanted))
+    return (pages.withColumn("_first", F.try_element_at(hits, F.lit(1)))
+            .filter(F.col("_first").isNotNull())
+            .withColumns({"pos": F.col("_first.pos"), "href": F.col("_first.href")})
+            .drop("_first", html))
 
 
 def extract_doc_links(pages: DataFrame, base: str, suffix: str = ".pdf", html: str = "html") -> DataFrame:

@@ -5,7 +5,8 @@ group is cut into *slices*: expressions that never decrease in the sort order
 (for example ``page_id div 1000``), listed from coarse to fine. Totals per
 slice are aggregated first (map-side), their running sums give each slice its
 offset, and only a slice is sorted in one task. Groups with fewer than
-``hot_rows`` rows are one slice each.
+``hot_rows`` rows are one slice each. The slice columns must not be null where
+the group is hot.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.operators.skew import HOT_ROWS, hot_keys, mark_hot
+from gleaner.operators.skew import HOT_ROWS, hot_keys, number_hot
 
 
 def int_div(number: Column, width) -> Column:
@@ -39,15 +40,20 @@ def slices_of_text(text: Column, *lengths: int) -> list[Column]:
 
 def _sliced(df: DataFrame, group: Sequence[str], slices: Sequence[Column], hot_rows: int,
             hot: DataFrame | None) -> tuple[DataFrame, list[str]]:
-    """Add the slice columns (null in groups that are not hot) and ``_key``, group and slice as one."""
+    """Add ``_hot`` (number of the hot group, else null), the slice columns and ``_hash`` over group and slice.
+
+    Slices are null in groups that are not hot, so such a group is one slice.
+    Returns the frame and the columns that name a slice.
+    """
     names = [f"_s{i}" for i in range(len(slices))]
     if group:
         hot = hot_keys(df, group, hot_rows) if hot is None else hot
-        marked = mark_hot(df, hot, group, "_hot")
-        parts = [F.when(F.col("_hot"), s) for s in slices]
+        marked = number_hot(df, hot, group, "_hot")
+        parts = [F.when(F.col("_hot").isNotNull(), s) for s in slices]
     else:
-        marked, parts = df.withColumn("_hot", F.lit(True)), slices
-    return marked.withColumns(dict(zip(names, parts))).withColumn("_key", F.struct(*group, *names)), names
+        marked, parts = df.withColumn("_hot", F.lit(0)), slices
+    sliced = marked.withColumns(dict(zip(names, parts)))
+    return sliced.withColumn("_hash", F.xxhash64(*group, *names)), ["_hash", "_hot", *names]
 
 
 def _before(keys: Sequence[str], order: Sequence):
@@ -55,46 +61,47 @@ def _before(keys: Sequence[str], order: Sequence):
             .rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _offsets(totals: DataFrame, group: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """From ``_sum`` per finest slice to ``_key``, ``_offset`` and the group's ``_total``.
+def _offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+    """From ``_sum`` per finest slice of the hot groups to ``_offset`` and the group's ``_total``.
 
     Level by level: a coarse slice starts after the coarse slices before it, a
     fine slice after the fine slices before it in the same coarse one.
     """
     out = None
     for level in range(1, len(names) + 1):
-        keys, parent = [*group, *names[:level]], [*group, *names[:level - 1]]
+        keys, parent = ["_hot", *names[:level]], ["_hot", *names[:level - 1]]
         sums = totals if level == len(names) else totals.groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
         before = F.coalesce(F.sum("_sum").over(_before(parent, [names[level - 1]])), F.lit(0))
         if out is None:
             out = sums.withColumns({"_offset": before,
-                                    "_total": F.sum("_sum").over(Window.partitionBy(*parent))})
+                                    "_total": F.sum("_sum").over(Window.partitionBy("_hot"))})
         else:
-            # Structs compare null fields as equal, so a null group keeps its offset.
-            coarse = out.select(F.struct(*parent).alias("_parent"), F.col("_offset").alias("_start"), "_total")
-            inner = sums.withColumns({"_inside": before, "_parent": F.struct(*parent)}).join(coarse, "_parent")
-            out = inner.withColumn("_offset", F.col("_start") + F.col("_inside")).select(
-                *keys, "_offset", "_total")
-    return out.select(F.struct(*group, *names).alias("_key"), "_offset", "_total")
+            coarse = out.select(*parent, F.col("_offset").alias("_start"), "_total")
+            inner = sums.withColumn("_inside", before).join(coarse, parent)
+            out = inner.withColumn("_offset", F.col("_start") + F.col("_inside"))
+    return out
 
 
 def _prefix(df: DataFrame, group: Sequence[str], order: Sequence, value: Column | None, out: str,
             slices: Sequence[Column], hot_rows: int, total: str | None, hot: DataFrame | None) -> DataFrame:
     one = F.lit(1).cast("bigint")
-    sliced, names = _sliced(df.withColumn("_value", one if value is None else value),
-                            group, slices, hot_rows, hot)
-    totals = sliced.filter("_hot").groupBy(*group, *names).agg(F.sum("_value").alias("_sum"))
-    # Join and window share the partitioning by _key: one shuffle of the table.
-    joined = sliced.join(_offsets(totals, group, names), "_key", "left")
+    sliced, keys = _sliced(df.withColumn("_value", one if value is None else value),
+                           group, slices, hot_rows, hot)
+    totals = sliced.filter("_hot is not null").groupBy(*keys).agg(F.sum("_value").alias("_sum"))
+    offsets = _offsets(totals, keys[2:]).select(*keys, "_offset", "_total")
+    # Join and window share one partitioning: the table is shuffled once. Rows
+    # of other groups have no partner and are spread by their hash.
+    joined = sliced.join(offsets, keys, "left")
+    window = [*keys, *group]
     if value is None:
-        inside = F.row_number().over(Window.partitionBy("_key").orderBy(*order)).cast("bigint") - 1
+        inside = F.row_number().over(Window.partitionBy(*window).orderBy(*order)).cast("bigint") - 1
     else:
-        inside = F.coalesce(F.sum("_value").over(_before(["_key"], order)), F.lit(0))
+        inside = F.coalesce(F.sum("_value").over(_before(window, order)), F.lit(0))
     result = joined.withColumn(out, F.coalesce("_offset", F.lit(0)) + inside)
     if total is not None:
         result = result.withColumn(
-            total, F.coalesce("_total", F.sum("_value").over(Window.partitionBy("_key"))))
-    return result.drop("_value", "_hot", "_offset", "_total", "_key", *names)
+            total, F.coalesce("_total", F.sum("_value").over(Window.partitionBy(*window))))
+    return result.drop("_value", "_offset", "_total", *keys)
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence, value: Column, out: str, *,
@@ -117,23 +124,30 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence, out: str =
     return numbered.withColumn(out, F.col(out) + F.lit(start)) if start else numbered
 
 
-def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence, limit: int | None,
-                  fan_in: int = 64) -> DataFrame:
+def _first_of(df: DataFrame, keys: Sequence[str], order: Sequence, limit: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+
+
+def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence, limit: int | None, *,
+                  fan_in: int = 64, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """First ``limit`` rows of each group; ``None`` or 0 keeps all.
 
     Each map task keeps at most ``limit`` rows of a group before the shuffle
-    (window group limit). A first round over ``fan_in`` parts of a group keeps
-    what reaches the last task at ``fan_in * limit`` rows.
+    (window group limit). A hot group sends that much from every task of a
+    large job, so it is capped in ``fan_in`` parts first. ``hot_rows=None``
+    skips the look for hot groups; otherwise ``df`` is read three times.
     """
     if not limit:
         return df
-    parts = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-    first = parts.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
-    ).filter(F.col("_rank") <= limit).drop("_rank", "_part")
-    return first.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    ).filter(F.col("_rank") <= limit).drop("_rank")
+    if hot_rows is None:
+        return _first_of(df, group, order, limit)
+    marked = number_hot(df, hot_keys(df, group, hot_rows), group, "_hot")
+    cold = _first_of(marked.filter("_hot is null"), group, order, limit)
+    parts = marked.filter("_hot is not null").withColumn(
+        "_part", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    hot = _first_of(_first_of(parts, [*group, "_part"], order, limit), group, order, limit)
+    return cold.unionByName(hot.drop("_part")).drop("_hot")
 
 
 def upload_batches(df: DataFrame, group: Sequence[str], order: Sequence, size: int = 100,
@@ -174,17 +188,16 @@ def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], va
     Within a slice this is ``lag``; the first row of a slice takes the last
     value of the slice before.
     """
-    sliced, names = _sliced(df, group, slices, hot_rows, hot)
+    sliced, keys = _sliced(df, group, slices, hot_rows, hot)
     # The value sits in a struct: a null value and "no row" stay apart.
     boxed = F.struct(F.col(value).alias("v"))
-    last = sliced.filter("_hot").groupBy(*group, *names).agg(
+    last = sliced.filter("_hot is not null").groupBy(*keys).agg(
         F.max_by(boxed, F.struct(*order)).alias("_last"))
     carry = last.select(
-        F.struct(*group, *names).alias("_key"),
-        F.lag("_last").over(Window.partitionBy(*group).orderBy(*names)).alias("_carry"))
-    joined = sliced.join(carry, "_key", "left")
-    here = F.lag(boxed).over(Window.partitionBy("_key").orderBy(*order))
-    return joined.withColumn(out, F.coalesce(here, F.col("_carry"))["v"]).drop("_carry", "_hot", "_key", *names)
+        *keys, F.lag("_last").over(Window.partitionBy("_hot").orderBy(*keys[2:])).alias("_carry"))
+    joined = sliced.join(carry, keys, "left")
+    here = F.lag(boxed).over(Window.partitionBy(*keys, *group).orderBy(*order))
+    return joined.withColumn(out, F.coalesce(here, F.col("_carry"))["v"]).drop("_carry", *keys)
 
 
 def stop_at_repeat(df: DataFrame, group: Sequence[str], order: Sequence[str], signature: str,

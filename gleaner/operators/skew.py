@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key is worth special care from this many rows on.
 HOT_ROWS = 1_000_000
@@ -31,13 +31,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS,
     )
 
 
-def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """Add a boolean column that tells whether the row's key is in ``hot``."""
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(flag))
+def number_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Add the number of the row's key in the list ``hot``, null for any other key."""
+    # A window over at most MAX_HOT rows.
+    numbered = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys],
+                          F.row_number().over(Window.orderBy(*keys)).alias(out))
     # Safe broadcast: hot_keys() ends in a limit of MAX_HOT rows of key columns.
-    joined = df.join(F.broadcast(marks), same(df, marks, keys, "_hot_"), "left")
-    return joined.drop(*[f"_hot_{k}" for k in keys]).withColumn(
-        flag, F.coalesce(F.col(flag), F.lit(False)))
+    joined = df.join(F.broadcast(numbered), same(df, numbered, keys, "_hot_"), "left")
+    return joined.drop(*[f"_hot_{k}" for k in keys])
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -53,11 +54,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     if hot_rows is None:
         return left.join(right, list(on), how)
     hot = hot_keys(left, on, hot_rows)
-    spread = mark_hot(left, hot, on, "_hot").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salt))).otherwise(0)
-    ).drop("_hot")
-    copies = mark_hot(right, hot, on, "_hot").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt - 1)))
-                           .otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    is_hot = F.col("_hot").isNotNull()
+    spread = number_hot(left, hot, on, "_hot").withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salt))).otherwise(0)).drop("_hot")
+    copies = number_hot(right, hot, on, "_hot").withColumn(
+        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt - 1)))
+                           .otherwise(F.array(F.lit(0))))).drop("_hot")
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")

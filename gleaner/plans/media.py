@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.functions.names import alt_token, md5_name, media_name
 from gleaner.functions.predicates import valid_media_url
@@ -27,12 +27,17 @@ def media_records(candidates: DataFrame, folder: str, prefix: str, order: Sequen
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """One record per folder and URL: ``number, media_name, object_key``, numbered from 0 in page order.
 
-    ``candidates`` is read three times when hot folders are looked for; pass a
-    staged table if it comes from parsing.
+    ``candidates`` is read three times, since hot folders are looked for; pass
+    a staged table if it comes from parsing.
     """
     unique = first_seen(candidates, [folder, "media_url"], list(order))
-    capped = cap_per_group(unique, [folder], list(order), cap)
-    numbered = number_rows(capped, [folder], list(order), "number", slices=slices, hot_rows=hot_rows)
+    if cap:
+        # At most `cap` rows of a folder are left, so a plain window will do.
+        capped = cap_per_group(unique, [folder], list(order), cap, hot_rows=hot_rows)
+        number = F.row_number().over(Window.partitionBy(folder).orderBy(*order)).cast("bigint") - 1
+        numbered = capped.withColumn("number", number)
+    else:
+        numbered = number_rows(unique, [folder], list(order), "number", slices=slices, hot_rows=hot_rows)
     if by_digest:
         name = md5_name(F.col("number") + 1, F.col("media_url"), kind, extension)
     else:

@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages and blobs are large rows: keep Arrow batches small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.streaming.stateStore.providerClass":

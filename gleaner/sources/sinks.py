@@ -16,9 +16,18 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
+def clustered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a folder brought together, so that a folder gets few files.
+
+    Adaptive execution splits a folder that is too large for one task and
+    merges small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def write_metadata_csv(df: DataFrame, path: str, folder: str = "folder_name", mode: str = "append") -> None:
     """CSV with header, one folder per ``folder`` value."""
-    df.write.mode(mode).partitionBy(folder).csv(path, header=True, escape='"')
+    clustered(df, folder).write.mode(mode).partitionBy(folder).csv(path, header=True, escape='"')
 
 
 def write_catalog_csv(df: DataFrame, path: str) -> None:
@@ -47,7 +56,7 @@ def write_keyed(df: DataFrame, path: str, group: str | Sequence[str], fmt: str =
                 max_records: int = 1_000_000) -> None:
     """``<path>/<group>=<value>/part`` layout; a big group becomes several files."""
     names = [group] if isinstance(group, str) else list(group)
-    (df.write.mode("overwrite").partitionBy(*names)
+    (clustered(df, *names).write.mode("overwrite").partitionBy(*names)
      .option("maxRecordsPerFile", max_records).format(fmt).save(path))
 
 

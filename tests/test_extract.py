@@ -69,7 +69,7 @@ def test_scopes(spark):
 
 def test_first_link_with_text(spark):
     df = pages(spark, '<a href="/1">x</a><a href="/2"> Get it </a><a href="/3">Get it</a>')
-    hits = extract.first_link_with_text(extract.extract_links(df), "page_id", "Get it").collect()
+    hits = extract.first_link_with_text(df, "Get it").collect()
     assert [r.href for r in hits] == ["/2"]
 
 

@@ -89,9 +89,11 @@ def test_stop_at_repeat(spark, hot_rows):
 
 
 @pytest.mark.parametrize("limit", [None, 0, 1, 7])
-def test_cap(spark, limit):
+@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
+def test_cap(spark, limit, hot_rows):
     data = rows(5)
-    got = sorted(r.i for r in numbering.cap_per_group(frame(spark, data), ["g"], ["i"], limit, fan_in=3).collect())
+    capped = numbering.cap_per_group(frame(spark, data), ["g"], ["i"], limit, fan_in=3, hot_rows=hot_rows)
+    got = sorted(r.i for r in capped.collect())
     assert got == sorted(r[1] for m in grouped(data).values() for r in (m[:limit] if limit else m))
 
 

@@ -35,7 +35,7 @@ def test_skip_is_an_anti_join(spark, sf_dir, name):
     assert "LeftAnti" in plan(QUERIES[name](spark, sf_dir))
 
 
-@pytest.mark.parametrize("name", ["size_windows", "extract_links", "extract_images", "page_signature", "seed_pages",
+@pytest.mark.parametrize("name", ["size_windows", "extract_links", "extract_images", "page_signature", "seed_pages", "anchor_text_equals",
                                   "byte_ranges"])
 def test_row_work_does_not_shuffle(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir)).split("Initial Plan")[0]
