@@ -23,7 +23,7 @@ _NOISE = (r"!--.*?(?:-->|\z)"
           r"|script\b[^>]*+(?:>.*?(?:</script\s*+>|\z)|\z)"
           r"|style\b[^>]*+(?:>.*?(?:</style\s*+>|\z)|\z)")
 _NAME = r"[^\s/>][^\s/>=]*+"
-_VALUE = r"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+)?+"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
 _TOKEN = rf"{_NAME}(?:\s*+=\s*+{_VALUE})?+"
 _TOKEN_PARTS = r"""(?s)^(.[^\s=]*+)\s*+=\s*+(?:"(.*)"|'(.*)'|(.*))$"""
 # An anchor ends at its end tag, at the next anchor or with the page.
