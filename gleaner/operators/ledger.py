@@ -104,7 +104,8 @@ def attempt_state(attempts: DataFrame, keys: Sequence[str], ts: str = "ts") -> D
 
 def retry_decision(state: DataFrame, max_tries: int = 5) -> DataFrame:
     """``action`` (done, retry, failed, wait) and ``next_at`` from :func:`attempt_state`."""
-    delay = backoff_seconds(F.col("failures") - 1)
+    # Bounded: a key far beyond its tries gets no waiting time anyway.
+    delay = backoff_seconds(F.least(F.col("failures") - 1, F.lit(max_tries)))
     action = (F.when(F.col("succeeded"), "done")
               .when(F.col("failures") == 0, "wait")
               .when(F.col("failures") < max_tries, "retry")
