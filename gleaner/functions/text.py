@@ -11,7 +11,7 @@ WIDE_SPACE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}
 
 # One white-space character. Listed singly, the Latin ones are looked up in a
 # bit set; the range in front keeps letters away from the wide ones. Measured
-# on 25 million characters this is four times faster than one flat class.
+# on 25 million characters this is more than three times faster than one flat class.
 SPACE = rf"[[\x{{1680}}-\x{{3000}}&&[{WIDE_SPACE}]]{LATIN_SPACE}]"
 
 
