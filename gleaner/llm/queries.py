@@ -30,9 +30,9 @@ s AS MATERIALIZED (
     ELSE list_distinct([array_to_string(w[i:i+2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s FROM w),
 n AS MATERIALIZED (SELECT doc_id, len(s) AS n FROM s),
 x AS MATERIALIZED (SELECT doc_id, unnest(s) AS g FROM s),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b USING (g)
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b USING (g)
          WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-link AS MATERIALIZED (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+link AS MATERIALIZED (SELECT a, b FROM pair JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
          WHERE 100 * k >= 85 * (p.n + q.n - k)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
 SELECT a AS doc_id, n AS n_shingles, min(b) AS component_id, min(b) = a AS kept
