@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import near
+from gleaner.llm import grace, near, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,26 @@ FROM reach JOIN n ON doc_id = a GROUP BY a, n""")
 def op10_minhash_near_dedup(spark, sf_dir):
     """Links at 85 of 100 shared 3-word shingles, confirmed on full sets; every document with its component."""
     return near.near_duplicates(_table(spark, sf_dir, "documents"), n_words=3, percent=85)
+
+
+@_query("""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, b, sha1(b) AS hex FROM p),
+d AS (SELECT page_id, n, min(page_id) OVER (PARTITION BY b) AS first_id, array_to_string([
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([((instr('0123456789abcdef', hex[j // 4 + 1]) - 1)
+    >> (3 - j % 4) & 1) << (4 - (j - 5 * i)) FOR j IN range(5 * i, 5 * i + 5)])::INT, 1) FOR i IN range(32)], '')
+  AS payload_digest FROM h)
+SELECT page_id, n AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d""")
+def op1_warc_normaliser(spark, sf_dir):
+    """Pages as WARC archives, normalised to a member per record with an index, and read back."""
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
+@_query("""
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+  sha256(coalesce(text, '')) AS text_sha256 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""")
+def op4_grace_exact_dedup(spark, sf_dir):
+    """Equal texts by Grace hashing; the largest doc_id of a group stays."""
+    return grace.exact_duplicates(_table(spark, sf_dir, "documents"))
