@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from gleaner.llm import grace, near, warc
+import public_tokenizers
+
+from gleaner.llm import grace, near, packing, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +65,9 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 def op4_grace_exact_dedup(spark, sf_dir):
     """Equal texts by Grace hashing; the largest doc_id of a group stays."""
     return grace.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op8_best_fit_packing(spark, sf_dir):
+    """Every document as ids and a closing id 2, in sequences of at most 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), end_id=2)
