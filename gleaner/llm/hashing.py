@@ -37,8 +37,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _words_of(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    space = (buf == 32) | ((buf >= 9) & (buf <= 13))
+def _blank(buf: np.ndarray) -> np.ndarray:
+    return (buf == 32) | ((buf >= 9) & (buf <= 13))
+
+
+def _mark(buf: np.ndarray) -> np.ndarray:
+    """True between letters and digits; bytes beyond ASCII count as letters."""
+    return ~(((buf >= 48) & (buf <= 57)) | ((buf >= 65) & (buf <= 90)) | ((buf >= 97) & (buf <= 122)) | (buf >= 128))
+
+
+def _words_of(buf: np.ndarray, split=_blank) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    space = split(buf)
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
     start, end = edges[0::2], edges[1::2]
     low = buf + ((buf >= 65) & (buf <= 90)).view(np.uint8) * np.uint8(32)
@@ -61,7 +70,12 @@ def _pieces(text: bytes):
         at = cut
 
 
-def words(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def tokens(texts: list[bytes]) -> list[np.ndarray]:
+    """Per text: hashes of its runs of letters and digits, A-Z lower-cased."""
+    return [h for h, _, _ in words(texts, _mark)]
+
+
+def words(texts: list[bytes], split=_blank) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per text: hash, first byte and end byte of each word ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
     out: list = [None] * len(texts)
     group: list[int] = []
@@ -72,7 +86,7 @@ def words(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]
             return
         buf = np.frombuffer(b" ".join(texts[i] for i in group), dtype=np.uint8)
         first = np.cumsum([0] + [len(texts[i]) + 1 for i in group])
-        h, s, e = _words_of(buf)
+        h, s, e = _words_of(buf, split)
         cuts = np.searchsorted(s, first)
         for k, i in enumerate(group):
             part = slice(cuts[k], cuts[k + 1])
@@ -81,7 +95,7 @@ def words(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     for i, text in enumerate(texts):
         if len(text) > CHUNK:
-            parts = [(at, _words_of(np.frombuffer(x, dtype=np.uint8))) for at, x in _pieces(text)]
+            parts = [(at, _words_of(np.frombuffer(x, dtype=np.uint8), split)) for at, x in _pieces(text)]
             out[i] = (np.concatenate([p[0] for _, p in parts]), np.concatenate([p[1] + at for at, p in parts]),
                       np.concatenate([p[2] + at for at, p in parts]))
             continue

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gleaner.llm import grace, near, packing, warc
+from gleaner.llm import grace, near, packing, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,9 @@ def op4_grace_exact_dedup(spark, sf_dir):
 def op8_best_fit_packing(spark, sf_dir):
     """Every document as ids and a closing id 2, in sequences of at most 1024 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), end_id=2)
+
+
+@_query()
+def op3_ordinal_quality(spark, sf_dir):
+    """Expected grade, tail probability and selection of every document."""
+    return quality.judge(_table(spark, sf_dir, "documents"), quality.grades_of(_table(spark, sf_dir, "labels")))
