@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.llm.hashing import mix, texts_of, tokens
+from gleaner.llm.hashing import texts_of, tokens
 
 WIDTH = 1 << 18        # hashed words
 SHAPES, STEPS = 6, 12  # shape features of a text and the steps of each

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from gleaner.llm import grace, near, packing, quality, warc
+from pyspark.sql import functions as F
+
+from gleaner.llm import contamination, grace, near, packing, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +79,13 @@ def op8_best_fit_packing(spark, sf_dir):
 def op3_ordinal_quality(spark, sf_dir):
     """Expected grade, tail probability and selection of every document."""
     return quality.judge(_table(spark, sf_dir, "documents"), quality.grades_of(_table(spark, sf_dir, "labels")))
+
+
+@_query()
+def op5_benchmark_decontamination(spark, sf_dir):
+    """Every document: the benchmark item it holds a copy of, the score, and the number of such items."""
+    docs = _table(spark, sf_dir, "documents")
+    found = contamination.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    return (docs.select("doc_id").join(found, "doc_id", "left")
+            .select("doc_id", F.col("score").isNotNull().alias("contaminated"), "item_id", "score",
+                    F.coalesce("items", F.lit(0)).alias("items")))
