@@ -59,7 +59,8 @@ def _words_of(buf: np.ndarray, split=_blank) -> tuple[np.ndarray, np.ndarray, np
     return mix((total[end] - total[start]) * down[start]), start, end
 
 
-def _pieces(text: bytes):
+def pieces(text: bytes):
+    """Place and bytes of the parts of a long text, cut at white space."""
     at = 0
     while at < len(text):
         cut = len(text)
@@ -77,6 +78,14 @@ def tokens(texts: list[bytes]) -> list[np.ndarray]:
 
 def words(texts: list[bytes], split=_blank) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per text: hash, first byte and end byte of each word ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
+    return over(texts, lambda buf: _words_of(buf, split))
+
+
+def over(texts: list[bytes], run) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per text what ``run(bytes)`` gives: values of words, first bytes, end bytes.
+
+    Short texts are joined by a space and long ones cut at white space, so ``run`` gets about ``CHUNK`` bytes.
+    """
     out: list = [None] * len(texts)
     group: list[int] = []
     size = 0
@@ -86,7 +95,7 @@ def words(texts: list[bytes], split=_blank) -> list[tuple[np.ndarray, np.ndarray
             return
         buf = np.frombuffer(b" ".join(texts[i] for i in group), dtype=np.uint8)
         first = np.cumsum([0] + [len(texts[i]) + 1 for i in group])
-        h, s, e = _words_of(buf, split)
+        h, s, e = run(buf)
         cuts = np.searchsorted(s, first)
         for k, i in enumerate(group):
             part = slice(cuts[k], cuts[k + 1])
@@ -95,7 +104,7 @@ def words(texts: list[bytes], split=_blank) -> list[tuple[np.ndarray, np.ndarray
 
     for i, text in enumerate(texts):
         if len(text) > CHUNK:
-            parts = [(at, _words_of(np.frombuffer(x, dtype=np.uint8), split)) for at, x in _pieces(text)]
+            parts = [(at, run(np.frombuffer(x, dtype=np.uint8))) for at, x in pieces(text)]
             out[i] = (np.concatenate([p[0] for _, p in parts]), np.concatenate([p[1] + at for at, p in parts]),
                       np.concatenate([p[2] + at for at, p in parts]))
             continue

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import contamination, grace, near, packing, quality, warc
+from gleaner.llm import contamination, grace, language, near, packing, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,13 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return (docs.select("doc_id").join(found, "doc_id", "left")
             .select("doc_id", F.col("score").isNotNull().alias("contaminated"), "item_id", "score",
                     F.coalesce("items", F.lit(0)).alias("items")))
+
+
+@_query()
+def op7_language_id(spark, sf_dir):
+    """Language of every document, learned from four fifths of those whose language is given."""
+    docs = _table(spark, sf_dir, "documents")
+    fold = language.held_out()
+    model = language.train(docs.where(~fold & F.col("doc_id").isNotNull()))
+    return (language.identify(docs, model).withColumn("held_out", fold)
+            .select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")))
