@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import contamination, grace, language, near, packing, quality, warc
+from gleaner.llm import contamination, grace, language, lines, near, packing, quality, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,41 @@ def op7_language_id(spark, sf_dir):
     model = language.train(docs.where(~fold & F.col("doc_id").isNotNull()))
     return (language.identify(docs, model).withColumn("held_out", fold)
             .select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans")))
+
+
+@_query(r"""
+WITH l AS MATERIALIZED (
+  SELECT doc_id, unnest(x) AS value, unnest(range(len(x))) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
+m AS MATERIALIZED (
+  SELECT doc_id, line, value, len(t) AS n, t, t[1:3] AS head FROM (SELECT *, [CASE WHEN regexp_matches(x, '[0-9]')
+    THEN '<*>' ELSE x END FOR x IN regexp_extract_all(value, '[^ 	
+]+')] AS t FROM l)),
+shared AS MATERIALIZED (
+  SELECT m.* FROM m JOIN (SELECT n, head FROM m WHERE n >= 3 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5)
+  USING (n, head)),
+different AS MATERIALIZED (SELECT n, head, t, count(DISTINCT doc_id) AS docs FROM shared GROUP BY ALL),
+tok AS MATERIALIZED (SELECT n, head, t, docs, unnest(t) AS token, unnest(range(n)) AS place FROM different),
+constant AS (SELECT n, head, place, token FROM tok GROUP BY ALL HAVING sum(docs) >= 5),
+tpl AS MATERIALIZED (
+  SELECT n, head, t, CASE WHEN kept >= 0.7 * n THEN parts ELSE t END AS tpl, kept >= 0.7 * n AS general FROM (
+    SELECT n, head, t, count(constant.token) AS kept,
+      list(CASE WHEN constant.token IS NULL THEN chr(0) ELSE tok.token END ORDER BY tok.place) AS parts
+    FROM tok LEFT JOIN constant USING (n, head, place, token) GROUP BY n, head, t)),
+placed AS MATERIALIZED (
+  SELECT doc_id, line, n, head, tpl, general FROM shared JOIN tpl USING (n, head, t)),
+first AS (SELECT n, head, tpl, general FROM placed GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
+copies AS MATERIALIZED (
+  SELECT doc_id FROM (SELECT doc_id, sum(n) AS held FROM placed JOIN first USING (n, head, tpl, general) GROUP BY 1)
+  JOIN (SELECT doc_id, sum(n) AS every FROM m GROUP BY 1) USING (doc_id) WHERE held > 0.5 * every),
+others AS MATERIALIZED (SELECT * FROM placed WHERE doc_id NOT IN (SELECT doc_id FROM copies)),
+last AS (SELECT n, head, tpl, general FROM others GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5),
+dropped AS (SELECT doc_id, line FROM others JOIN last USING (n, head, tpl, general))
+SELECT doc_id, count(*)::INTEGER AS n_lines, count(dropped.line)::INTEGER AS n_dropped,
+  sha256(coalesce(string_agg(value, chr(10) ORDER BY line) FILTER (dropped.line IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN dropped USING (doc_id, line) GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, sha256('') FROM documents WHERE text IS NULL""")
+def op2_template_line_dedup(spark, sf_dir):
+    """Every document: its lines, those dropped as recurring templates, and the digest of what stays."""
+    kept = lines.drop_recurring_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
