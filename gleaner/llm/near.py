@@ -11,7 +11,7 @@ from gleaner.llm.hashing import Minima, mix, shingles, texts_of, words
 from gleaner.session import stage
 
 BANDS, ROWS = 20, 6       # a pair at the threshold of 0.85 shares a band but for 8 in 100,000
-BLOCK = 1000              # members of a bucket that are compared in one task
+BLOCK = 500               # members of a bucket that are compared in one task
 SLACK = 0.13              # four standard deviations of the estimate from BANDS * ROWS minima
 
 
@@ -55,47 +55,71 @@ def _alike(percent: int):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep = [_linked(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent)
+                    for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _compare(percent: int):
-    """Pairs of different components inside a block of a bucket, by their signatures."""
+def _partners(percent: int):
+    """Per member of a block: those of other components that look alike and share no earlier band with it."""
     def run(batches):
         for batch in batches:
-            out: list[tuple[int, int]] = []
-            for members, (i, j) in zip(batch.column("members"), zip(batch.column("i").to_pylist(),
-                                                                    batch.column("j").to_pylist())):
+            rows: list[tuple] = []
+            for band, key, i, j, members in zip(*(batch.column(c).to_pylist() for c in ("band", "key", "i", "j")),
+                                                batch.column("members")):
                 m = pa.RecordBatch.from_struct_array(members.values)
                 ids, comp, n, blk = (m.column(c).to_numpy() for c in ("id", "comp", "n", "blk"))
                 sig = np.frombuffer(b"".join(m.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+                named = set()
+                found = {}
                 for k in range(len(ids)):
                     other = np.flatnonzero((comp != comp[k]) & (ids > ids[k]) & ((blk != blk[k]) | (i == j))
                                            & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k])))
-                    if len(other):
-                        close = other[(sig[other] == sig[k]).mean(axis=1) >= percent / 100 - SLACK]
-                        out += [(ids[k], x) for x in ids[close]]
-            pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    same = sig[other] == sig[k]
+                    close = same.mean(axis=1) >= percent / 100 - SLACK
+                    first = same[close].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                    near = ids[other[close][first == band]]
+                    if len(near):
+                        found[ids[k]] = near
+                        named.update(near.tolist())
+                rows += [(band, key, i, j, x, found.get(x, ())) for x in sorted(named | found.keys())]
+            cols = list(zip(*rows)) or [()] * 6
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                             ["band", "key", "i", "j", "id", "partners"])
     return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n_words: int, percent: int) -> DataFrame:
+def _confirm_block(percent: int):
+    def run(batches):
+        for batch in batches:
+            out = []
+            for members in batch.column(0):
+                m = pa.RecordBatch.from_struct_array(members.values)
+                sets: dict[int, list[np.ndarray]] = {}
+                for x, s in zip(m.column("id").to_pylist(), m.column("s").to_pylist()):
+                    sets.setdefault(x, []).append(np.frombuffer(s, dtype=np.uint64))
+                out += [(x, y) for x, ys in zip(m.column("id").to_pylist(), m.column("partners").to_pylist())
+                        for y in ys if any(_linked(s, t, percent) for s in sets[x] for t in sets[y])]
+            cols = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+    return run
+
+
+def _star_links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda c, v: classes.select(F.col("id").alias(c), F.col("sig").alias(v), F.col("n").alias("n" + v))
     near = (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
             .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
             .select("a", "b", "x", "y").mapInArrow(_alike(percent), "a bigint, b bigint").distinct())
-    near = stage(near, "near-pairs")
-    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    sets = stage(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(n_words), "id bigint, s binary"), "near-sets")
     return stage(near.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
                  .join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
                  .select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a bigint, b bigint").distinct(),
@@ -133,8 +157,12 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
                                                  F.count("*").alias("size")).where("lead < last").drop("last"))
     members = stage(banded.join(buckets, ["band", "key"]), "near-members")
 
+    # Dealt by id at every size, so that the cost stays in proportion to the input.
+    sets = stage(texts.join(members.select("id").distinct().hint("merge"), "id", "left_semi")
+                 .mapInArrow(_sets(n_words), "id bigint, s binary"), "near-sets")
+
     pairs = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(pairs, classes, texts, n_words, percent)
+    links = _star_links(pairs, classes, sets, percent)
     comps = components(links, "near-first")
 
     placed = (members.join(comps.withColumnRenamed("node", "id"), "id", "left")
@@ -142,14 +170,16 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     mixed = (placed.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .where("low < high").select("band", "key"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = ["band", "key", "i", "j"]
     open_ = (placed.join(mixed, ["band", "key"]).join(classes.select("id", "n", "sig"), "id")
              .withColumn("blk", F.pmod(F.xxhash64("id"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .groupBy("band", "key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-             .agg(F.collect_list(F.struct("id", "comp", "n", "blk", "sig")).alias("members")))
-    more = (open_.select("i", "j", "members").mapInArrow(_compare(percent), "a bigint, b bigint").distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    links = links.union(_verified(stage(more, "near-more"), classes, texts, n_words, percent))
+             .withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
+             .groupBy(*block).agg(F.collect_list(F.struct("id", "comp", "n", "blk", "sig")).alias("members")))
+    alike = open_.mapInArrow(_partners(percent), "band int, key bigint, i int, j int, id bigint, partners array<bigint>")
+    more = stage(alike.join(sets, "id").groupBy(*block).agg(F.collect_list(F.struct("id", "partners", "s")).alias("m"))
+                 .select("m").mapInArrow(_confirm_block(percent), "a bigint, b bigint"), "near-more")
+    links = links.union(more)
     comps = components(links, "near-last")
 
     return (sketches.select("id", "n", "k1", "k2")
