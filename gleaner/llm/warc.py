@@ -211,7 +211,10 @@ def normalise(raw: str, root: str, decisions: DataFrame) -> DataFrame:
     where. An archive that breaks off keeps the records before the break and
     adds a row with ``error``.
     """
-    return stage(decisions.groupBy("archive").applyInArrow(_normalise(raw, root), _INDEX), "warc-index")
+    # The decisions are slim but their archives are not: a task per archive, whatever the size of the shuffle.
+    archives = decisions.select("archive").distinct().count()
+    return stage(decisions.repartition(max(archives, 1), "archive").groupBy("archive")
+                 .applyInArrow(_normalise(raw, root), _INDEX), "warc-index")
 
 
 def _read(root: str):
@@ -241,7 +244,9 @@ def _read(root: str):
 
 def read_records(index: DataFrame, root: str) -> DataFrame:
     """Every indexed record, read by its offset; the digest of a response is checked against its payload."""
-    return (index.where("error IS NULL").select("path", "offset", "length")
+    found = index.where("error IS NULL").select("path", "offset", "length")
+    files = found.select("path").distinct().count()
+    return (found.repartition(max(files, 1), "path").sortWithinPartitions("path", "offset")
             .mapInArrow(_read(root), "page_id bigint, payload_bytes bigint, payload_digest string, "
                                      "record_type string, refers_to bigint"))
 
