@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import contamination, grace, language, lines, near, packing, quality, warc
+from gleaner.llm import contamination, grace, language, lines, near, packing, quality, substrings, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -108,7 +108,8 @@ WITH l AS MATERIALIZED (
 m AS MATERIALIZED (
   SELECT doc_id, line, value, len(t) AS n, t, t[1:3] AS head FROM (SELECT *, [CASE WHEN regexp_matches(x, '[0-9]')
     THEN '<*>' ELSE x END FOR x IN regexp_extract_all(value, '[^ 	
-]+')] AS t FROM l)),
+
+]+')] AS t FROM l)),
 shared AS MATERIALIZED (
   SELECT m.* FROM m JOIN (SELECT n, head FROM m WHERE n >= 3 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5)
   USING (n, head)),
@@ -137,3 +138,25 @@ def op2_template_line_dedup(spark, sf_dir):
     """Every document: its lines, those dropped as recurring templates, and the digest of what stays."""
     kept = lines.drop_recurring_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@_query("""
+WITH b AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+x AS MATERIALIZED (SELECT doc_id, unnest(range(len(h) // 2 - 49)) AS i, h FROM b WHERE len(h) >= 100),
+s AS MATERIALIZED (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS k FROM x),
+m AS (SELECT k, min(doc_id) AS first FROM s GROUP BY k HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, i FROM s JOIN m USING (k) WHERE first < doc_id),
+run AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM hit),
+span AS (SELECT doc_id, n, min(i) AS a, max(i) + 50 AS z FROM (
+  SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM run)
+  GROUP BY doc_id, n),
+cut AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM span),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS last,
+  string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS k FROM cut JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN k IS NULL THEN h ELSE k || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id)""")
+def op6_suffix_array_dedup(spark, sf_dir):
+    """Bytes covered by a 50-byte string that also starts in a document with a smaller doc_id, removed."""
+    found = substrings.repeated_spans(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
