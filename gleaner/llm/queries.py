@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import contamination, grace, language, lines, near, packing, quality, substrings, warc
+from gleaner.llm import contamination, grace, language, lines, near, packing, passages, quality, substrings, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,11 @@ def op6_suffix_array_dedup(spark, sf_dir):
     """Bytes covered by a 50-byte string that also starts in a document with a smaller doc_id, removed."""
     found = substrings.repeated_spans(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+@_query()
+def op9_compact_windows(spark, sf_dir):
+    """Every document: the class that near-duplicate passages put it in, and the words of such passages."""
+    found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_dup_words", F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans"),
+                        F.to_json("spans").alias("spans"))
