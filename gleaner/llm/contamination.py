@@ -47,7 +47,7 @@ def _count(wanted: np.ndarray):
     return run
 
 
-def prepare(rows: list[tuple[int, bytes]], docs: DataFrame) -> Items | None:
+def prepare(rows: list[tuple[int, bytes]], docs: DataFrame) -> Items:
     """Seeds and weights of a block of items from counts over all documents.
 
     Of an item's n-grams, those held by no more documents than its median
@@ -90,10 +90,12 @@ def align(item: np.ndarray, weight: np.ndarray, passage: np.ndarray) -> tuple[fl
     return best, end
 
 
-def _search(items: Items, least: float):
+def _finder(items: Items, least: float):
+    """``item number, score, end`` of each item that a text holds a copy of."""
     totals = [float(w.sum()) for w in items.weights]
 
-    def hits(h: np.ndarray):
+    def hits(h: np.ndarray) -> dict[int, list[int]]:
+        """First words of passages, by the diagonals of seeds, of each item that a text shares a seed with."""
         g = _grams(h)
         low, high = np.searchsorted(items.seeds, g, "left"), np.searchsorted(items.seeds, g, "right")
         places = np.flatnonzero(high > low)
@@ -107,24 +109,31 @@ def _search(items: Items, least: float):
             found.setdefault(k, []).append(s)
         return found
 
+    def find(h: np.ndarray):
+        for k, starts in hits(h).items():
+            word, weight, at, best = items.words[k], items.weights[k], 0, (0.0, 0)
+            while at < len(starts):                 # windows of neighbouring diagonals become one
+                low = max(starts[at] - SLACK, 0)
+                high = starts[at] + len(word) + SLACK
+                while at < len(starts) and starts[at] - SLACK <= high:
+                    high = starts[at] + len(word) + SLACK
+                    at += 1
+                passage = h[low:high]
+                if weight[np.isin(word, passage)].sum() >= least * totals[k]:
+                    score, end = align(word, weight, passage)
+                    best = max(best, (score, low + end))
+            if best[0] >= least * totals[k]:
+                yield k, best[0] / totals[k], best[1]
+    return find
+
+
+def _search(items: Items, least: float):
     def run(batches):
+        find = _finder(items, least)
         for batch in batches:
-            rows = []
-            for doc, h in zip(batch.column(0).to_pylist(), tokens(texts_of(batch.column(1)))):
-                for k, starts in hits(h).items():
-                    word, weight, at, best = items.words[k], items.weights[k], 0, (0.0, 0)
-                    while at < len(starts):                 # windows of neighbouring diagonals become one
-                        low = max(starts[at] - SLACK, 0)
-                        high = starts[at] + len(word) + SLACK
-                        while at < len(starts) and starts[at] - SLACK <= high:
-                            high = starts[at] + len(word) + SLACK
-                            at += 1
-                        passage = h[low:high]
-                        if weight[np.isin(word, passage)].sum() >= least * totals[k]:
-                            score, end = align(word, weight, passage)
-                            best = max(best, (score, low + end))
-                    if best[0] >= least * totals[k]:
-                        rows.append((doc, items.ids[k], best[0] / totals[k], best[1]))
+            rows = [(doc, items.ids[k], score, end)
+                    for doc, h in zip(batch.column(0).to_pylist(), tokens(texts_of(batch.column(1))))
+                    for k, score, end in find(h)]
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64()))],
@@ -132,6 +141,27 @@ def _search(items: Items, least: float):
     return run
 
 
+def _without(items: Items, least: float):
+    def run(batches):
+        find = _finder(items, least)
+        for batch in batches:
+            clean = [next(find(h), None) is None for h in tokens(texts_of(batch.column("text")))]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+    return run
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame):
+    """The benchmark in blocks of bounded size, prepared with counts over ``docs``."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = 1 + 2 * size // BLOCK_BYTES
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    for k in range(blocks):
+        rows = [(r["item_id"], r["text"].encode()) for r in items.where(part == k).collect()]
+        if any(len(h) >= N for h in tokens([t for _, t in rows])):
+            yield prepare(rows, docs)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """``doc_id, item_id, score, end_word``: a row per row of ``docs`` and item that it holds a copy of.
 
@@ -145,24 +175,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFr
     nothing; repeated items and rows give repeated rows. Other columns are
     ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + 2 * size // BLOCK_BYTES
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    found = None
-    for k in range(blocks):
-        rows = [(r["item_id"], r["text"].encode()) for r in items.where(part == k).collect()]
-        if not any(len(h) >= N for h in tokens([t for _, t in rows])):
-            continue
-        block = docs.mapInArrow(_search(prepare(rows, docs), least),
-                                "doc_id bigint, item_id bigint, score double, end_word bigint")
+    docs, found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), None
+    for items in _blocks(docs, benchmark):
+        block = docs.mapInArrow(_search(items, least), "doc_id bigint, item_id bigint, score double, end_word bigint")
         found = block if found is None else found.union(block)
     if found is None:
         found = docs.where("false").selectExpr("doc_id", "doc_id AS item_id", "0D AS score", "doc_id AS end_word")
     return found
 
 
+def remove(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` that hold a copy of no item, with all their columns; text stays in its task."""
+    kept = docs
+    for items in _blocks(docs, benchmark):
+        kept = kept.mapInArrow(_without(items, least), docs.schema)
+    return kept
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """One row per document that holds an item: ``doc_id, item_id`` of the best score, ``score, items``.
 

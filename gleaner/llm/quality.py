@@ -105,19 +105,30 @@ def train(docs: DataFrame, grades: DataFrame, grade_count: int, max_rows: int =
     return fit(found["grade"].to_numpy().astype(np.int64), rows, grade_count)
 
 
-def _judge(model: Ordinal | None, grade_count: int, least: float):
+def _scores(model: Ordinal, texts: list[bytes]) -> np.ndarray:
+    return model.tails(np.array([model.weights[features(t, h)].sum() for t, h in zip(texts, tokens(texts))]).reshape(-1))
+
+
+def _judge(model: Ordinal | None, least: float):
     def run(batches):
         for batch in batches:
             texts = texts_of(batch.column(1))
             if model is None:
-                tails, known = np.zeros((len(texts), grade_count - 1)), np.zeros(len(texts), dtype=bool)
+                none = pa.nulls(len(texts), pa.float64())
+                tail, grade, selected = none, none, pa.array([True] * len(texts))
             else:
-                score = np.array([model.weights[features(t, h)].sum() for t, h in zip(texts, tokens(texts))])
-                tails, known = model.tails(score.reshape(-1)), np.ones(len(texts), dtype=bool)
-            top = tails[:, -1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(tails.sum(axis=1), mask=~known), pa.array(top, mask=~known),
-                 pa.array((top >= least) | ~known)], ["doc_id", "expected_grade", "tail", "selected"])
+                tails = _scores(model, texts)
+                tail, grade = pa.array(tails[:, -1]), pa.array(tails.sum(axis=1))
+                selected = pa.array(tails[:, -1] >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), grade, tail, selected],
+                                             ["doc_id", "expected_grade", "tail", "selected"])
+    return run
+
+
+def _keep(model: Ordinal, least: float):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, texts_of(batch.column("text")))[:, -1] >= least))
     return run
 
 
@@ -135,8 +146,14 @@ def judge(docs: DataFrame, grades: DataFrame, grade_count: int = 3, least: float
     """
     model = train(docs, grades, grade_count, max_rows)
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(_judge(model, grade_count, least),
-                        "doc_id bigint, expected_grade double, tail double, selected boolean"))
+            .mapInArrow(_judge(model, least), "doc_id bigint, expected_grade double, tail double, selected boolean"))
+
+
+def select(docs: DataFrame, grades: DataFrame, grade_count: int = 3, least: float = 0.5,
+           max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` selects, with all their columns; text stays in its task."""
+    model = train(docs, grades, grade_count, max_rows)
+    return docs if model is None else docs.mapInArrow(_keep(model, least), docs.schema)
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
