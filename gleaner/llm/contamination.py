@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.llm.hashing import ngrams, texts_of, tokens
+from gleaner.llm.hashing import folded, ngrams, tokens
 
 N = 3                     # words of a seed
 BLOCK_BYTES = 4 << 20     # benchmark text searched in one pass over the documents
@@ -37,7 +37,7 @@ def _count(wanted: np.ndarray):
     def run(batches):
         for batch in batches:
             found = [np.zeros(0, dtype=np.int64)]
-            for h in tokens(texts_of(batch.column(0))):
+            for h in tokens(folded(batch.column(0))):
                 x = np.unique(np.concatenate((h, _grams(h))))
                 at = np.searchsorted(wanted, x)
                 at[at == len(wanted)] = 0
@@ -132,7 +132,7 @@ def _search(items: Items, least: float):
         find = _finder(items, least)
         for batch in batches:
             rows = [(doc, items.ids[k], score, end)
-                    for doc, h in zip(batch.column(0).to_pylist(), tokens(texts_of(batch.column(1))))
+                    for doc, h in zip(batch.column(0).to_pylist(), tokens(folded(batch.column(1))))
                     for k, score, end in find(h)]
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
@@ -145,7 +145,7 @@ def _without(items: Items, least: float):
     def run(batches):
         find = _finder(items, least)
         for batch in batches:
-            clean = [next(find(h), None) is None for h in tokens(texts_of(batch.column("text")))]
+            clean = [next(find(h), None) is None for h in tokens(folded(batch.column("text")))]
             yield batch.filter(pa.array(clean, pa.bool_()))
     return run
 
@@ -157,7 +157,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame):
     blocks = 1 + 2 * size // BLOCK_BYTES
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for k in range(blocks):
-        rows = [(r["item_id"], r["text"].encode()) for r in items.where(part == k).collect()]
+        rows = [(r["item_id"], r["text"].lower().encode()) for r in items.where(part == k).collect()]
         if any(len(h) >= N for h in tokens([t for _, t in rows])):
             yield prepare(rows, docs)
 
@@ -167,8 +167,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFr
 
     ``score`` is the share of the item's information that the best local
     alignment recovers, less the cost of edits; ``end_word`` is the word of
-    the document after the aligned passage. Letters A-Z are lower-cased and
-    punctuation is ignored. The benchmark is the query set: it is read in
+    the document after the aligned passage. Case and punctuation are ignored. The benchmark is the query set: it is read in
     blocks of at most ``BLOCK_BYTES`` or one item, each searched in all documents, so a
     benchmark of any size needs bounded memory. Items of fewer than three
     words have no seed and are found nowhere; null and empty texts hold

@@ -19,6 +19,11 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def folded(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a string column in lower case, null as empty."""
+    return [x.lower().encode() if x else b"" for x in column.to_pylist()]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and its inverse modulo 2**64 for ``i < n``."""
     if len(_powers.get("up", ())) < n:

@@ -14,7 +14,8 @@ WIDTH = 1 << 18        # hashed words
 SHAPES, STEPS = 6, 12  # shape features of a text and the steps of each
 MAX_ROWS = 12_000      # labelled rows that are fitted
 LEAST_DOCS = 5         # fitted rows that must hold a feature
-ROUNDS, RATE, DECAY = 150, 0.08, 2e-5
+LEAST_Z = 4.0          # standard errors by which the grades of those rows must differ from all
+ROUNDS, RATE, DECAY = 300, 0.2, 1e-4
 
 
 def features(text: bytes, hashes: np.ndarray) -> np.ndarray:
@@ -52,11 +53,19 @@ class Ordinal:
 
 
 def fit(grades: np.ndarray, rows: list[np.ndarray], grade_count: int) -> Ordinal:
-    """Maximum likelihood with weight decay, by full-batch Adam; rare features keep weight 0."""
+    """Maximum likelihood with weight decay, by full-batch Adam.
+
+    Features that are rare, or whose rows have the grades of all rows but for
+    chance, keep weight 0: nearly all words are such, and fitting them would
+    only learn the fitted texts by heart.
+    """
     size = WIDTH + SHAPES * STEPS
     idx = np.concatenate([np.empty(0, np.int64), *rows])
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    common = (np.bincount(idx, minlength=size) >= LEAST_DOCS)[idx]
+    held = np.bincount(idx, minlength=size)
+    centred = (grades - grades.mean()) / max(grades.std(), 1e-9)
+    z = np.bincount(idx, weights=centred[row], minlength=size) / np.sqrt(np.maximum(held * (1 - held / len(rows)), 1e-9))
+    common = ((held >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z))[idx]
     idx, row = idx[common], row[common]
     names, idx = np.unique(idx, return_inverse=True)
     above = np.array([(grades > k).mean() for k in range(grade_count - 1)])
