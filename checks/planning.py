@@ -8,7 +8,6 @@ from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS
                            link_log, media_pages, objects, repos, sql_text, table, utc_text, with_sql)
 from checks.registry import query
 from gleaner.operators import dedup, extract, joins, ledger, numbering
-from gleaner.operators.numbering import slices_of, slices_of_time
 from gleaner.session import stage
 
 
@@ -16,14 +15,6 @@ def _long(*columns):
     return [F.col(c).cast("bigint").alias(c) for c in columns]
 
 
-def page_slices():
-    return slices_of(F.col("page_id"), 1_000_000, 1000)
-
-
-def time_slices():
-    return slices_of_time(F.col("ts"), "day", "minute")
-
-
 # --- extraction ----------------------------------------------------------------
 
 @query("extract_links", with_sql(NAV_LINKS, select="SELECT page_id, CAST(pos AS BIGINT) AS pos, href, text FROM nav"))
@@ -173,7 +164,7 @@ def failed_links(spark, d):
          row_number() OVER (PARTITION BY host ORDER BY page_id, pos) - 1 AS number FROM images"""))
 def media_number(spark, d):
     images = stage(extract.extract_images(media_pages(spark, d)).select("host", "page_id", "pos"), "images")
-    numbered = numbering.number_rows(images, ["host"], ["page_id", "pos"], "number", slices=page_slices())
+    numbered = numbering.number_rows(images, ["host"], ["page_id", "pos"], "number")
     return numbered.select("host", "page_id", *_long("pos"), "number")
 
 
@@ -191,8 +182,7 @@ def cap_per_group(spark, d):
   FROM lineitem""")
 def upload_batches(spark, d):
     lines = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
-    batched = numbering.upload_batches(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"], 100,
-                                       slices=slices_of(F.col("l_orderkey"), 10_000_000, 10_000))
+    batched = numbering.upload_batches(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"], 100)
     return batched.drop("l_partkey")
 
 
@@ -202,14 +192,14 @@ def upload_batches(spark, d):
 def rate_budget(spark, d):
     events = table(spark, d, "events").select("event_id", "ts")
     start = F.lit("2024-02-01").cast("timestamp_ntz")
-    budget = numbering.rate_budget(events, ["ts", "event_id"], start, slices=time_slices())
+    budget = numbering.rate_budget(events, ["ts", "event_id"], start)
     return budget.select("event_id", "slot", utc_text("not_before").alias("not_before"))
 
 
 @query("work_chunks", with_sql(OBJECTS, select="""
   SELECT key, ntile(7) OVER (ORDER BY doc_id) AS chunk FROM objects"""))
 def work_chunks(spark, d):
-    chunks = numbering.work_chunks(objects(spark, d), ["doc_id"], 7, slices=slices_of(F.col("doc_id"), 10**6, 10**3))
+    chunks = numbering.work_chunks(objects(spark, d), ["doc_id"], 7)
     return chunks.select("key", "chunk")
 
 
@@ -223,7 +213,7 @@ flagged AS (
   WHERE stopped = 0"""))
 def stop_at_repeat(spark, d):
     pages = stage(extract.page_signature(media_pages(spark, d)), "signatures")
-    kept = numbering.stop_at_repeat(pages, ["host"], ["page_id"], "signature", "n_images", slices=page_slices())
+    kept = numbering.stop_at_repeat(pages, ["host"], ["page_id"], "signature", "n_images")
     return kept.select("host", "page_id")
 
 
@@ -277,3 +267,21 @@ def union_chunks(spark, d):
 def key_collisions(spark, d):
     named = repos(spark, d).select(F.substring_index("name", "/", -1).alias("repo"))
     return dedup.key_collisions(named, ["repo"])
+
+
+@query("media_number_desc", """
+  SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_suppkey
+    ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC) - 1 AS number FROM lineitem""")
+def media_number_desc(spark, d):
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    order = [F.col(c).desc() for c in ("l_orderkey", "l_linenumber", "l_partkey")]
+    return numbering.number_rows(lines, ["l_suppkey"], order, "number")
+
+
+@query("work_chunks_nulls", """
+  SELECT doc_id, part, ntile(7) OVER (ORDER BY part NULLS FIRST, doc_id) AS chunk
+  FROM (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN doc_id % 10 END AS part FROM documents)""")
+def work_chunks_nulls(spark, d):
+    docs = table(spark, d, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 10).alias("part"))
+    return numbering.work_chunks(docs, ["part", "doc_id"], 7)

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS, REPOS, RUN_LOG, done_objects,
                            link_log, media_pages, objects, repos, run_log, sql_text, table, utc_text, with_sql)
-from checks.planning import page_slices
 from checks.registry import query
 from gleaner.operators import aggregate, ledger
-from gleaner.operators.numbering import slices_of, slices_of_text
 from gleaner.plans import archive, catalogue, content, media
 from gleaner.operators.dedup import first_seen
 from gleaner.operators.extract import extract_images
@@ -17,10 +15,6 @@ from gleaner.session import fresh_dir, stage
 from gleaner.streaming import ingest
 from gleaner.streaming import state as live
 
-def link_slices():
-    return slices_of_text(F.col("link"), 1, 2)
-
-
 # --- aggregations ---------------------------------------------------------------
 
 @query("folder_stats", """
@@ -52,7 +46,7 @@ def item_summary(spark, d):
   FROM numbered GROUP BY item, chunk"""))
 def link_lists(spark, d):
     latest = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
-    lists = aggregate.link_lists(latest, ["item"], ["link"], "link", slices=link_slices(), size=20)
+    lists = aggregate.link_lists(latest, ["item"], ["link"], "link", size=20)
     return lists.withColumns({c: F.array_join(c, ",") for c in ("download_links", "failed_links")})
 
 
@@ -72,8 +66,7 @@ def unique_images(spark, d):
          string_agg(media_url || '#' || coalesce(alt, ''), '|' ORDER BY page_id, pos) AS images
   FROM numbered GROUP BY host, chunk"""))
 def folder_documents(spark, d):
-    docs = aggregate.folder_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], ["media_url", "alt"],
-                                      slices=page_slices(), size=3)
+    docs = aggregate.folder_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], ["media_url", "alt"], size=3)
     flat = F.transform("images", lambda r: F.concat(r["media_url"], F.lit("#"), F.coalesce(r["alt"], F.lit(""))))
     return docs.select("host", "chunk", F.size("images").cast("bigint").alias("n"),
                        F.array_join(flat, "|").alias("images"))
@@ -84,8 +77,7 @@ def folder_documents(spark, d):
          string_agg(coalesce(alt, '-'), '|' ORDER BY page_id, pos) AS alts
   FROM numbered GROUP BY host, chunk"""))
 def keyword_documents(spark, d):
-    docs = aggregate.keyword_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], "media_url", "alt",
-                                       slices=page_slices(), size=3)
+    docs = aggregate.keyword_documents(unique_images(spark, d), ["host"], ["page_id", "pos"], "media_url", "alt", size=3)
     return docs.select("host", "chunk", F.array_join("links", "|").alias("links"),
                        F.array_join("alts", "|", "-").alias("alts"))
 
@@ -142,7 +134,7 @@ def upsert_documents(spark, d):
   FROM numbered GROUP BY item, chunk"""))
 def link_status_map(spark, d):
     latest = ledger.latest_status(link_log(spark, d), ["item", "link"], ["ts", "seq"])
-    maps = ledger.link_status_map(latest, ["item"], "link", slices=link_slices(), size=20)
+    maps = ledger.link_status_map(latest, ["item"], "link", size=20)
     entries = F.transform(F.array_sort(F.map_entries("download_status")),
                           lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return maps.withColumn("download_status", F.array_join(entries, ","))
@@ -295,7 +287,7 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id, po
   FROM numbered"""))
 def media_harvest(spark, d):
     candidates = stage(media.media_candidates(media_pages(spark, d), wanted_class="thumb"), "candidates")
-    records = media.media_records(candidates, "host", "media", slices=page_slices())
+    records = media.media_records(candidates, "host", "media")
     return records.select("host", "page_id", "media_url", "number", "media_name", "object_key")
 
 
@@ -309,7 +301,7 @@ numbered AS (
          'media/' || host || '/image_' || n || '_' || md5(media_url) || '.jpg' AS object_key FROM numbered"""))
 def media_by_digest(spark, d):
     candidates = stage(media.media_candidates(media_pages(spark, d)), "candidates")
-    records = media.media_records(candidates, "host", "media", slices=page_slices(), cap=2, by_digest=True)
+    records = media.media_records(candidates, "host", "media", cap=2, by_digest=True)
     return records.select("host", "page_id", "number", "object_key")
 
 
@@ -325,7 +317,7 @@ stored AS (SELECT object_key, length(object_key) AS size FROM named)""", select=
   GROUP BY host"""))
 def video_totals(spark, d):
     candidates = stage(media.media_candidates(media_pages(spark, d), kind="video", wanted_class="clip"), "candidates")
-    records = stage(media.media_records(candidates, "host", "media", slices=page_slices(),
+    records = stage(media.media_records(candidates, "host", "media",
                                         kind="video", extension=".mp4"), "records")
     stored = records.select(F.col("object_key").alias("key"), F.length("object_key").cast("bigint").alias("size"))
     return media.folder_totals(records, stored, "host")

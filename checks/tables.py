@@ -8,7 +8,7 @@ from checks.inputs import (DONE, OBJECTS, REPOS, done_objects, objects, repos, t
 from checks.registry import query
 from checks.scalars import gzip_store
 from gleaner.functions.blobs import with_decoded
-from gleaner.operators.numbering import first_rows, int_div, number_rows, slices_of, slices_of_text
+from gleaner.operators.numbering import first_rows, int_div, number_rows
 from gleaner.session import fresh_dir
 from gleaner.sources import blobs, listings, manifests, sinks, tables
 
@@ -62,8 +62,7 @@ def read_manifest_csv(spark, d):
   SELECT p_name AS value, (row_number() OVER (ORDER BY p_partkey) - 1) % 500 AS position FROM part""")
 def read_manifest_json(spark, d):
     root = fresh_dir(spark, "keywords")
-    sinks.write_json_array(table(spark, d, "part"), root, ["p_partkey"], F.col("p_name"),
-                           slices=slices_of(F.col("p_partkey"), 10**6, 10**3), size=500)
+    sinks.write_json_array(table(spark, d, "part"), root, ["p_partkey"], F.col("p_name"), size=500)
     return manifests.read_manifest_json(spark, root).select("value", F.col("position").cast("bigint").alias("position"))
 
 
@@ -77,7 +76,7 @@ def read_link_lines(spark, d):
 def search_pages(spark, d):
     """Search responses of up to 100 repositories per brand, as JSON text."""
     found = repos(spark, d).withColumn("brand", F.substring_index("name", "/", 1))
-    numbered = number_rows(found, ["brand"], ["pos"], "n", slices=slices_of(F.col("pos"), 10**6, 10**3),
+    numbered = number_rows(found, ["brand"], ["pos"], "n",
                            total="total_count")
     item = F.struct("n", F.struct(F.col("name").alias("full_name"), F.col("stars").alias("stargazers_count"),
                                   "size", F.col("lang").alias("language")).alias("item"))
@@ -144,8 +143,7 @@ def write_catalog_csv(spark, d):
   SELECT (row_number() OVER (ORDER BY item_id) - 1) % 50 AS position, text AS value FROM benchmark""")
 def write_json_array(spark, d):
     root = fresh_dir(spark, "array")
-    sinks.write_json_array(table(spark, d, "benchmark"), root, ["item_id"], F.col("text"),
-                           slices=slices_of(F.col("item_id"), 10**6, 10**3), size=50)
+    sinks.write_json_array(table(spark, d, "benchmark"), root, ["item_id"], F.col("text"), size=50)
     read = manifests.read_manifest_json(spark, root)
     return read.select(F.col("position").cast("bigint").alias("position"), "value")
 
@@ -169,7 +167,7 @@ def bundle_groups(spark, d):
     files = table(spark, d, "documents").select(
         "source", F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("."), F.col("lang")).alias("name"),
         F.encode("text", "UTF-8").alias("content"))
-    bundles = sinks.bundle_groups(files, "source", slices=slices_of_text(F.col("name"), 6, 9), max_bytes=65536)
+    bundles = sinks.bundle_groups(files, "source", max_bytes=65536)
     return bundles.select("source", "part", "n_files", "raw_bytes",
                           (F.octet_length("zip") > 0).alias("zipped"))
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.numbering import int_div, number_rows
-from gleaner.operators.skew import HOT_ROWS
 
 
 def folder_stats(objects: DataFrame, folder: str = "folder", size: str = "size") -> DataFrame:
@@ -18,16 +17,15 @@ def folder_stats(objects: DataFrame, folder: str = "folder", size: str = "size")
 
 
 def numbered_lists(df: DataFrame, group: Sequence[str], order: Sequence[str], item: Column, *,
-                   slices, size: int = 1000, hot_rows: int = HOT_ROWS, out: str = "items") -> DataFrame:
+                   size: int = 1000, out: str = "items") -> DataFrame:
     """Items per group as ordered arrays of at most ``size`` elements (``chunk`` 0, 1, ...).
 
     A group of any size stays whole: it has more chunks, not a longer array.
     """
-    numbered = number_rows(df.withColumn("_item", item), group, order, "_n",
-                           slices=slices, hot_rows=hot_rows)
-    chunked = numbered.withColumn("chunk", int_div(F.col("_n"), size))
+    numbered = number_rows(df.withColumn("_item", item), group, order, "_rank")
+    chunked = numbered.withColumn("chunk", int_div(F.col("_rank"), size))
     lists = chunked.groupBy(*group, "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("_n", "_item"))).alias("_list"))
+        F.array_sort(F.collect_list(F.struct("_rank", "_item"))).alias("_list"))
     return lists.withColumn(out, F.transform("_list", lambda x: x["_item"])).drop("_list")
 
 
@@ -49,10 +47,10 @@ def item_summary(links: DataFrame, item: Sequence[str], status: str = "status",
 
 
 def link_lists(links: DataFrame, item: Sequence[str], order: Sequence[str], link: str, *,
-               slices, size: int = 1000, hot_rows: int = HOT_ROWS) -> DataFrame:
+               size: int = 1000) -> DataFrame:
     """``download_links`` and ``failed_links`` per item in arrays of at most ``size`` links."""
     pair = F.struct(F.col(link).alias("link"), (F.col("status") == "failed").alias("failed"))
-    lists = numbered_lists(links, item, order, pair, slices=slices, size=size, hot_rows=hot_rows, out="_l")
+    lists = numbered_lists(links, item, order, pair, size=size, out="_l")
     return lists.withColumns({
         "download_links": F.transform("_l", lambda x: x["link"]),
         "failed_links": F.transform(F.filter("_l", lambda x: x["failed"]), lambda x: x["link"]),
@@ -60,21 +58,17 @@ def link_lists(links: DataFrame, item: Sequence[str], order: Sequence[str], link
 
 
 def folder_documents(media: DataFrame, folder: Sequence[str], order: Sequence[str],
-                     fields: Sequence[str], *, slices, size: int = 1000, hot_rows: int = HOT_ROWS,
-                     out: str = "images") -> DataFrame:
+                     fields: Sequence[str], *, size: int = 1000, out: str = "images") -> DataFrame:
     """Media records nested under their folder, in order, ``size`` per document."""
     record = F.struct(*fields)
-    return numbered_lists(media, folder, order, record, slices=slices, size=size,
-                          hot_rows=hot_rows, out=out)
+    return numbered_lists(media, folder, order, record, size=size, out=out)
 
 
 def keyword_documents(media: DataFrame, keyword: Sequence[str], order: Sequence[str],
-                      link: str, alt: str, *, slices, size: int = 1000,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      link: str, alt: str, *, size: int = 1000) -> DataFrame:
     """Parallel arrays ``links`` and ``alts`` per keyword, first seen first."""
     pair = F.struct(F.col(link).alias("link"), F.col(alt).alias("alt"))
-    docs = numbered_lists(media, keyword, order, pair, slices=slices, size=size,
-                          hot_rows=hot_rows, out="_l")
+    docs = numbered_lists(media, keyword, order, pair, size=size, out="_l")
     return docs.withColumns({
         "links": F.transform("_l", lambda x: x["link"]),
         "alts": F.transform("_l", lambda x: x["alt"]),

@@ -7,22 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.functions.text import word_count
-from gleaner.operators.skew import HOT_ROWS, skew_join
+from gleaner.operators.skew import left_join
 
 
 def join_content(metadata: DataFrame, content: DataFrame, on: str = "blob_id", *,
-                 content_unique: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                 content_unique: bool = False) -> DataFrame:
     """Every metadata row once, with its ``text``, ``word_count`` and ``status``.
 
-    ``content`` holds ``on, text``. ``content_unique`` says it holds an id once
+    ``content`` holds ``on, text``; of several texts of an id that with the
+    smallest SHA-256 counts. ``content_unique`` says it holds an id once
     already and saves the grouping. A blob that a large share of the rows
-    refer to is spread over several tasks. Words are counted after the join,
-    so only in texts that are asked for.
+    refer to is split by adaptive execution, and rows without an id are spread
+    over tasks. Words are counted after the join, so only in texts that are
+    asked for.
     """
     content = content.select(on, "text")
     if not content_unique:
-        content = content.dropDuplicates([on])
-    joined = skew_join(metadata, content, [on], "left", hot_rows)
+        content = content.groupBy(on).agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+    joined = left_join(metadata, content, on)
     return joined.withColumns({
         "status": F.when(F.col("text").isNull(), "missing").otherwise("ok"),
         "text": F.coalesce("text", F.lit("")),
@@ -30,16 +32,15 @@ def join_content(metadata: DataFrame, content: DataFrame, on: str = "blob_id", *
     })
 
 
-def todo_by_basename(keys: DataFrame, done: DataFrame, key: Column, done_key: Column,
-                     hot_rows: int | None = None) -> DataFrame:
+def todo_by_basename(keys: DataFrame, done: DataFrame, key: Column, done_key: Column) -> DataFrame:
     """Rows whose file name is not among the processed ones, whatever the folder.
 
     The rows are narrow, so a name that occurs in very many folders is left to
-    the skew handling of adaptive execution; ``hot_rows`` salts it instead.
+    the skew handling of adaptive execution.
     """
     names = done.select(F.substring_index(done_key, "/", -1).alias("_name")).distinct()
     named = keys.withColumn("_name", F.substring_index(key, "/", -1))
-    return skew_join(named, names, ["_name"], "left_anti", hot_rows).drop("_name")
+    return left_join(named, names, "_name", "left_anti").drop("_name")
 
 
 def todo_by_key(keys: DataFrame, done: DataFrame, on: str = "key") -> DataFrame:
@@ -64,14 +65,15 @@ def skip_report(keys: DataFrame, done: DataFrame, group: Sequence[str], on: str
 def resume_plan(source: DataFrame, target: DataFrame, on: str = "key") -> DataFrame:
     """``start_at`` and ``state`` per source object, from the sizes in two listings.
 
-    ``source`` and ``target`` hold ``key, size``. Equal sizes are done; a
+    ``source`` and ``target`` hold ``key, size``. Without a target an object is
+    new, an empty one too. Equal sizes are done; a
     shorter target goes on at its size; a longer one starts again.
     """
     have = target.select(on, F.col("size").alias("_have"))
     have_size = F.coalesce(F.col("_have"), F.lit(0))
     return (source.join(have, on, "left").withColumns({
-        "state": F.when(have_size == F.col("size"), "done")
-        .when(F.col("_have").isNull(), "new")
+        "state": F.when(F.col("_have").isNull(), "new")
+        .when(have_size == F.col("size"), "done")
         .when(have_size < F.col("size"), "resume").otherwise("restart"),
         "start_at": F.when(have_size > F.col("size"), F.lit(0)).otherwise(have_size),
     }).drop("_have"))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner.functions.retry import backoff_seconds
 from gleaner.operators.aggregate import numbered_lists
-from gleaner.operators.skew import HOT_ROWS
 
 
 def latest_status(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -57,12 +56,10 @@ def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{root}/version={version:08d}")
 
 
-def link_status_map(status: DataFrame, item: Sequence[str], link: str, *, slices,
-                    size: int = 1000, hot_rows: int = HOT_ROWS) -> DataFrame:
+def link_status_map(status: DataFrame, item: Sequence[str], link: str, *, size: int = 1000) -> DataFrame:
     """``download_status`` maps (link to status) per item, at most ``size`` links each."""
     entry = F.struct(F.col(link).alias("key"), F.col("status").alias("value"))
-    lists = numbered_lists(status, item, [link], entry, slices=slices, size=size,
-                           hot_rows=hot_rows, out="_entries")
+    lists = numbered_lists(status, item, [link], entry, size=size, out="_entries")
     return lists.withColumn("download_status", F.map_from_entries("_entries")).drop("_entries")
 
 

@@ -1,21 +1,23 @@
 """Ordered numbering, caps, batches and look-back, without one task per group.
 
-A window over a whole group puts that group into one task. Here the order of a
-group is cut into *slices*: expressions that never decrease in the sort order
-(for example ``page_id div 1000``), listed from coarse to fine. Totals per
-slice are aggregated first (map-side), their running sums give each slice its
-offset, and only a slice is sorted in one task. Groups with fewer than
-``hot_rows`` rows are one slice each. The slice columns must not be null where
-the group is hot.
+A window over a whole group puts that group into one task. Here the table is
+range-partitioned by group and order, so a large group is cut into pieces,
+and every task numbers its piece in one pass. The pieces are written to the
+shared folder; a group that goes on in the next piece takes its total along,
+which is one row per piece. There is one path for all groups and sizes, and
+one exchange of the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from gleaner.operators.skew import HOT_ROWS, hot_keys, number_hot
+from gleaner.operators.skew import same
+from gleaner.session import stage
+
+FAN_IN = 64      # parts in which a group is capped before its rows meet
 
 
 def int_div(number: Column, width) -> Column:
@@ -23,104 +25,116 @@ def int_div(number: Column, width) -> Column:
     return F.call_function("div", number, F.lit(width) if isinstance(width, int) else width)
 
 
-def slices_of(column: Column, *widths: int) -> list[Column]:
-    """Slices of a whole number by falling widths, for example ``slices_of(c, 10**6, 10**3)``."""
-    return [column - F.pmod(column, F.lit(w)) for w in widths]
+def _sort_columns(group: Sequence[str], order: Sequence) -> list:
+    return [F.col(g) if isinstance(g, str) else g for g in (*group, *order)]
 
 
-def slices_of_time(ts: Column, *units: str) -> list[Column]:
-    """Slices of a time stamp, for example ``slices_of_time(c, "day", "minute")``."""
-    return [F.date_trunc(u, ts) for u in units]
+def _ordered(df: DataFrame, group: Sequence[str], order: Sequence, value: Column) -> DataFrame:
+    """``df`` cut into pieces and sorted, with ``_g`` (the group), ``_v`` and ``_piece``."""
+    by = _sort_columns(group, order)
+    marked = df.withColumns({"_g": F.xxhash64(*group) if group else F.lit(0).cast("bigint"), "_v": value})
+    return (marked.repartitionByRange(*by).sortWithinPartitions(*by)
+            .withColumn("_piece", F.spark_partition_id()))
 
 
-def slices_of_text(text: Column, *lengths: int) -> list[Column]:
-    """Slices of a string by growing prefix, for example ``slices_of_text(c, 2, 4)``."""
-    return [F.left(text, F.lit(n)) for n in lengths]
+def _groups(batch, held):
+    """Starts of groups in a batch, with whether the first row goes on with the group of the batch before."""
+    import numpy as np
 
+    g = batch.column("_g").to_numpy()
+    new = np.empty(len(g), dtype=bool)
+    new[0] = held is None or g[0] != held
+    np.not_equal(g[1:], g[:-1], out=new[1:])
+    return g, new
 
-def _sliced(df: DataFrame, group: Sequence[str], slices: Sequence[Column], hot_rows: int,
-            hot: DataFrame | None) -> tuple[DataFrame, list[str]]:
-    """Add ``_hot`` (number of the hot group, else null), the slice columns and ``_hash`` over group and slice.
 
-    Slices are null in groups that are not hot, so such a group is one slice.
-    Returns the frame and the columns that name a slice.
-    """
-    names = [f"_s{i}" for i in range(len(slices))]
-    if group:
-        hot = hot_keys(df, group, hot_rows) if hot is None else hot
-        marked = number_hot(df, hot, group, "_hot")
-        parts = [F.when(F.col("_hot").isNotNull(), s) for s in slices]
-    else:
-        marked, parts = df.withColumn("_hot", F.lit(0)), slices
-    sliced = marked.withColumns(dict(zip(names, parts)))
-    return sliced.withColumn("_hash", F.xxhash64(*group, *names)), ["_hash", "_hot", *names]
+def _append(batch, **columns):
+    import pyarrow as pa
 
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], [*batch.schema.names, *columns])
 
-def _before(keys: Sequence[str], order: Sequence):
-    return (Window.partitionBy(*keys).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, -1))
 
+def _count(batches):
+    """``_n``: sum of ``_v`` before the row in its group and piece; ``_lead``: in the first group of the piece."""
+    import numpy as np
+    import pyarrow as pa
 
-def _offsets(totals: DataFrame, names: Sequence[str]) -> DataFrame:
-    """From ``_sum`` per finest slice of the hot groups to ``_offset`` and the group's ``_total``.
+    held, total, groups, place = None, 0, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        v = batch.column("_v").to_numpy()
+        g, new = _groups(batch, held)
+        before = np.cumsum(v) - v
+        first = np.flatnonzero(new)
+        number = np.cumsum(new)                       # 0: goes on with the group of the batch before
+        start = np.concatenate(([-total], before[first]))
+        n = before - start[number]
+        yield _append(batch, _n=pa.array(n), _lead=pa.array(groups + number <= 1),
+                      _place=pa.array(np.arange(place, place + len(g))))
+        held, total, groups, place = g[-1], n[-1] + v[-1], groups + int(number[-1]), place + len(g)
 
-    Level by level: a coarse slice starts after the coarse slices before it, a
-    fine slice after the fine slices before it in the same coarse one.
-    """
-    out = None
-    for level in range(1, len(names) + 1):
-        keys, parent = ["_hot", *names[:level]], ["_hot", *names[:level - 1]]
-        sums = totals if level == len(names) else totals.groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
-        before = F.coalesce(F.sum("_sum").over(_before(parent, [names[level - 1]])), F.lit(0))
-        if out is None:
-            out = sums.withColumns({"_offset": before,
-                                    "_total": F.sum("_sum").over(Window.partitionBy("_hot"))})
-        else:
-            coarse = out.select(*parent, F.col("_offset").alias("_start"), "_total")
-            inner = sums.withColumn("_inside", before).join(coarse, parent)
-            out = inner.withColumn("_offset", F.col("_start") + F.col("_inside"))
-    return out
-
-
-def _prefix(df: DataFrame, group: Sequence[str], order: Sequence, value: Column | None, out: str,
-            slices: Sequence[Column], hot_rows: int, total: str | None, hot: DataFrame | None) -> DataFrame:
-    one = F.lit(1).cast("bigint")
-    sliced, keys = _sliced(df.withColumn("_value", one if value is None else value),
-                           group, slices, hot_rows, hot)
-    totals = sliced.filter("_hot is not null").groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    offsets = _offsets(totals, keys[2:]).select(*keys, "_offset", "_total")
-    # Join and window share one partitioning: the table is shuffled once. Rows
-    # of other groups have no partner and are spread by their hash.
-    joined = sliced.join(offsets, keys, "left")
-    window = [*keys, *group]
-    if value is None:
-        inside = F.row_number().over(Window.partitionBy(*window).orderBy(*order)).cast("bigint") - 1
-    else:
-        inside = F.coalesce(F.sum("_value").over(_before(window, order)), F.lit(0))
-    result = joined.withColumn(out, F.coalesce("_offset", F.lit(0)) + inside)
-    if total is not None:
-        result = result.withColumn(
-            total, F.coalesce("_total", F.sum("_value").over(Window.partitionBy(*window))))
-    return result.drop("_value", "_offset", "_total", *keys)
+
+def _previous(batches):
+    """``_prev``: ``_v`` of the row before in its group and piece."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last, place = None, None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        g, new = _groups(batch, held)
+        column = batch.column("_v")
+        rows = pa.concat_arrays([pa.nulls(1, column.type) if last is None else last, column])
+        at = pa.array(np.arange(len(g)), mask=new)
+        yield _append(batch, _prev=rows.take(at), _place=pa.array(np.arange(place, place + len(g))))
+        held, last, place = g[-1], column.slice(len(g) - 1, 1), place + len(g)
+
+
+def _plus(df: DataFrame, **fields: str) -> T.StructType:
+    schema = T.StructType(list(df.schema.fields))
+    for name, kind in fields.items():
+        schema.add(name, kind)
+    return schema
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence, value: Column, out: str, *,
-                  slices: Sequence[Column], hot_rows: int = HOT_ROWS,
-                  total: str | None = None, hot: DataFrame | None = None) -> DataFrame:
+                  total: str | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before this one in its group.
 
-    ``order`` must name each row of a group uniquely. ``total`` adds the sum
-    of the whole group under that name. An empty ``group`` orders the table.
-    ``hot`` passes the hot groups where they are known already.
+    ``order`` must name each row of a group uniquely; columns may be
+    descending. ``value`` is a whole number or a double, null counts as 0.
+    ``total`` adds the sum of the whole group under that name. An empty
+    ``group`` orders the table. Null groups are groups, null orders sort as
+    they do in Spark.
     """
-    return _prefix(df, group, order, value, out, slices, hot_rows, total, hot)
+    kind = "double" if dict(df.select(value.alias("v")).dtypes)["v"] in ("double", "float") else "bigint"
+    cut = _ordered(df, group, order, F.coalesce(value.cast(kind), F.lit(0).cast(kind)))
+    local = stage(cut.mapInArrow(_count, _plus(cut, _n="double" if kind == "double" else "long", _lead="boolean", _place="long")), "numbered")
+    pieces = local.groupBy("_piece").agg(
+        F.max(F.when(F.col("_lead"), F.col("_g"))).alias("_first"),
+        F.max_by(F.struct("_g", (F.col("_n") + F.col("_v")).alias("_sum")), F.col("_place")).alias("_last"))
+    # One row per piece; a group's pieces follow each other.
+    running = F.sum("_last._sum").over(Window.partitionBy("_last._g").orderBy("_piece"))
+    before = Window.orderBy("_piece")
+    carried = pieces.withColumn("_so_far", running).select(
+        "_piece", F.when(F.lag("_last._g").over(before) == F.col("_first"), F.lag("_so_far").over(before)).alias("_carry"))
+    # Safe broadcast: one row per partition of the exchange.
+    joined = local.join(F.broadcast(carried), "_piece")
+    result = joined.withColumn(out, F.col("_n") + F.coalesce(F.when(F.col("_lead"), F.col("_carry")), F.lit(0).cast(kind)))
+    if total is not None:
+        sums = local.groupBy(*group, "_g").agg(F.sum("_v").alias(total)).withColumnsRenamed(
+            {c: f"_of_{c}" for c in (*group, "_g")})
+        # Without groups this is one row.
+        result = result.join(sums if group else F.broadcast(sums), same(result, sums, [*group, "_g"], "_of_"))
+    return result.select(*[c for c in df.columns if c not in (out, total)], out, *([total] if total else []))
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "number", *,
-                start: int = 0, slices: Sequence[Column], hot_rows: int = HOT_ROWS,
-                total: str | None = None, hot: DataFrame | None = None) -> DataFrame:
+                start: int = 0, total: str | None = None) -> DataFrame:
     """Dense number per group in the given order, counted from ``start``."""
-    numbered = _prefix(df, group, order, None, out, slices, hot_rows, total, hot)
+    numbered = running_total(df, group, order, F.lit(1).cast("bigint"), out, total=total)
     return numbered.withColumn(out, F.col(out) + F.lit(start)) if start else numbered
 
 
@@ -129,89 +143,80 @@ def _first_of(df: DataFrame, keys: Sequence[str], order: Sequence, limit: int) -
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
 
 
-def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence, limit: int | None, *,
-                  fan_in: int = 64, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """First ``limit`` rows of each group; ``None`` or 0 keeps all.
+def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence, limit: int | None) -> DataFrame:
+    """First ``limit`` rows of each group; ``None`` or 0 keeps all. ``df`` is read once.
 
     Each map task keeps at most ``limit`` rows of a group before the shuffle
-    (window group limit). A hot group sends that much from every task of a
-    large job, so it is capped in ``fan_in`` parts first. ``hot_rows=None``
-    skips the look for hot groups; otherwise ``df`` is read three times.
+    (window group limit). What many tasks keep of a large group is capped in
+    ``FAN_IN`` parts before it meets in one.
     """
     if not limit:
         return df
-    if hot_rows is None:
-        return _first_of(df, group, order, limit)
-    marked = number_hot(df, hot_keys(df, group, hot_rows), group, "_hot")
-    cold = _first_of(marked.filter("_hot is null"), group, order, limit)
-    parts = marked.filter("_hot is not null").withColumn(
-        "_part", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-    hot = _first_of(_first_of(parts, [*group, "_part"], order, limit), group, order, limit)
-    return cold.unionByName(hot.drop("_part")).drop("_hot")
+    parts = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(FAN_IN)))
+    return _first_of(_first_of(parts, [*group, "_part"], order, limit).drop("_part"), group, order, limit)
 
 
 def upload_batches(df: DataFrame, group: Sequence[str], order: Sequence, size: int = 100,
-                   out: str = "batch", **sliced) -> DataFrame:
+                   out: str = "batch") -> DataFrame:
     """Batch number per group: every ``size`` rows, the last batch may be short."""
-    numbered = number_rows(df, group, order, "_n", **sliced)
-    return numbered.withColumn(out, int_div(F.col("_n"), size)).drop("_n")
+    numbered = number_rows(df, group, order, "_rank")
+    return numbered.withColumn(out, int_div(F.col("_rank"), size)).drop("_rank")
 
 
 def rate_budget(df: DataFrame, order: Sequence, start: Column, requests: int = 30,
-                pause_seconds: int = 60, *, slices: Sequence[Column]) -> DataFrame:
+                pause_seconds: int = 60) -> DataFrame:
     """Requests in order get ``slot`` and ``not_before``: ``requests`` per slot, then a pause."""
-    numbered = number_rows(df, [], order, "_n", slices=slices)
-    slot = int_div(F.col("_n"), requests)
+    numbered = number_rows(df, [], order, "_rank")
+    slot = int_div(F.col("_rank"), requests)
     return numbered.withColumns({
         "slot": slot,
         "not_before": start + F.make_dt_interval(secs=slot * F.lit(pause_seconds)),
-    }).drop("_n")
+    }).drop("_rank")
 
 
-def work_chunks(df: DataFrame, order: Sequence, chunks: int, out: str = "chunk", *,
-                slices: Sequence[Column]) -> DataFrame:
+def work_chunks(df: DataFrame, order: Sequence, chunks: int, out: str = "chunk") -> DataFrame:
     """Cut the ordered table into ``chunks`` even parts, numbered from 1; each row in exactly one."""
-    numbered = number_rows(df, [], order, "_n", slices=slices, total="_all")
+    numbered = number_rows(df, [], order, "_rank", total="_all")
     small = int_div(F.col("_all"), chunks)
     larger = F.col("_all") % F.lit(chunks)          # so many chunks have one row more
     border = larger * (small + 1)
-    chunk = F.when(F.col("_n") < border, int_div(F.col("_n"), small + 1)).otherwise(
-        larger + int_div(F.col("_n") - border, F.greatest(small, F.lit(1))))
-    return numbered.withColumn(out, (chunk + 1).cast("bigint")).drop("_n", "_all")
+    chunk = F.when(F.col("_rank") < border, int_div(F.col("_rank"), small + 1)).otherwise(
+        larger + int_div(F.col("_rank") - border, F.greatest(small, F.lit(1))))
+    return numbered.withColumn(out, (chunk + 1).cast("bigint")).drop("_rank", "_all")
 
 
-def previous_value(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str, *,
-                   slices: Sequence[Column], hot_rows: int = HOT_ROWS,
-                   hot: DataFrame | None = None) -> DataFrame:
+def previous_value(df: DataFrame, group: Sequence[str], order: Sequence, value: str, out: str) -> DataFrame:
     """Add ``out``: ``value`` of the row before this one in its group.
 
-    Within a slice this is ``lag``; the first row of a slice takes the last
-    value of the slice before.
+    Inside a piece this is the row before; the first row of a piece takes the
+    last value of the piece before, if the group is the same.
     """
-    sliced, keys = _sliced(df, group, slices, hot_rows, hot)
-    # The value sits in a struct: a null value and "no row" stay apart.
-    boxed = F.struct(F.col(value).alias("v"))
-    last = sliced.filter("_hot is not null").groupBy(*keys).agg(
-        F.max_by(boxed, F.struct(*order)).alias("_last"))
-    carry = last.select(
-        *keys, F.lag("_last").over(Window.partitionBy("_hot").orderBy(*keys[2:])).alias("_carry"))
-    joined = sliced.join(carry, keys, "left")
-    here = F.lag(boxed).over(Window.partitionBy(*keys, *group).orderBy(*order))
-    return joined.withColumn(out, F.coalesce(here, F.col("_carry"))["v"]).drop("_carry", *keys)
+    kind = df.schema[value].dataType
+    cut = _ordered(df, group, order, F.col(value))
+    local = stage(cut.mapInArrow(_previous, _plus(cut, _prev=kind, _place="long")), "previous")
+    last = local.groupBy("_piece").agg(F.max_by(F.struct("_g", "_v"), F.col("_place")).alias("_last"))
+    # One row per piece.
+    carried = last.select("_piece", F.lag("_last").over(Window.orderBy("_piece")).alias("_carry"))
+    joined = local.join(F.broadcast(carried), "_piece")
+    goes_on = (F.col("_place") == 0) & (F.col("_carry._g") == F.col("_g"))
+    result = joined.withColumn(out, F.when(goes_on, F.col("_carry._v")).otherwise(F.col("_prev")))
+    return result.select(*[c for c in df.columns if c != out], out)
 
 
 def stop_at_repeat(df: DataFrame, group: Sequence[str], order: Sequence[str], signature: str,
-                   items: str, *, slices: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Pages of each group before the first one that is empty or repeats its predecessor.
-
-    ``df`` is read several times; pass a staged table if signatures come from parsing.
-    """
-    sliced = {"slices": slices, "hot": hot_keys(df, group, hot_rows) if group else None}
-    with_prev = previous_value(df, group, order, signature, "_prev", **sliced)
-    stop = F.coalesce((F.col(items) == 0) | (F.col(signature) == F.col("_prev")), F.lit(False))
-    flagged = with_prev.withColumn("_stop", stop.cast("bigint")).drop("_prev")
-    counted = running_total(flagged, group, order, F.col("_stop"), "_stops", **sliced)
-    return counted.filter((F.col("_stops") == 0) & (F.col("_stop") == 0)).drop("_stop", "_stops")
+                   items: str) -> DataFrame:
+    """Pages of each group before the first one that is empty or repeats its predecessor."""
+    pages = previous_value(df, group, order, signature, "_before")
+    stop = F.coalesce((F.col(items) == 0) | (F.col(signature) == F.col("_before")), F.lit(False))
+    # One row per group, reduced before the shuffle.
+    ends = (pages.filter(stop).groupBy(*group).agg(F.min(F.struct(*order)).alias("_end"))
+            .withColumnsRenamed({g: f"_of_{g}" for g in group}))
+    if group:
+        joined = pages.join(ends, same(pages, ends, group, "_of_"), "left")
+    else:
+        joined = pages.withColumn("_one", F.lit(1)).join(F.broadcast(ends.withColumn("_one", F.lit(1))), "_one", "left")
+    kept = joined.filter(F.col("_end").isNull() | (F.struct(*order) < F.col("_end")))
+    return kept.select(*df.columns)
 
 
 def sorted_keys(df: DataFrame, *order) -> DataFrame:
@@ -220,8 +225,9 @@ def sorted_keys(df: DataFrame, *order) -> DataFrame:
 
 
 def key_slice(df: DataFrame, order: Sequence, start: int, stop: int) -> DataFrame:
-    """Rows ``start`` to ``stop - 1`` of the ordered table; each task keeps at most ``stop`` rows."""
-    return df.orderBy(*order).offset(start).limit(stop - start)
+    """Rows ``start`` to ``stop - 1`` of the ordered table, by number, so that no task holds more than a piece."""
+    numbered = number_rows(df, [], order, "_rank")
+    return numbered.filter((F.col("_rank") >= start) & (F.col("_rank") < stop)).drop("_rank")
 
 
 def first_rows(df: DataFrame, order: Sequence, n: int = 10) -> DataFrame:

@@ -1,17 +1,13 @@
-"""Joins and groups in which one key may hold a large share of all rows."""
+"""Joins in which one key may hold a large share of all rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is worth special care from this many rows on.
-HOT_ROWS = 1_000_000
-# Bound of the broadcast list of hot keys. Keys beyond it take the plain path,
-# which gives the same rows.
-MAX_HOT = 1024
+NULL_PARTS = 1024    # parts over which rows with a null key are spread
 
 
 def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str = "") -> Column:
@@ -19,45 +15,12 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str =
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS,
-             max_keys: int = MAX_HOT) -> DataFrame:
-    """The at most ``max_keys`` most frequent keys with ``min_rows`` rows or more."""
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(max_keys)
-        .select(*keys)
-    )
-
-
-def number_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Add the number of the row's key in the list ``hot``, null for any other key."""
-    # A window over at most MAX_HOT rows.
-    numbered = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys],
-                          F.row_number().over(Window.orderBy(*keys)).alias(out))
-    # Safe broadcast: hot_keys() ends in a limit of MAX_HOT rows of key columns.
-    joined = df.join(F.broadcast(numbered), same(df, numbered, keys, "_hot_"), "left")
-    return joined.drop(*[f"_hot_{k}" for k in keys])
-
-
-def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-              hot_rows: int | None = HOT_ROWS, salt: int = 32) -> DataFrame:
-    """Equi-join whose left side may have hot keys (nulls included).
-
-    Rows of a hot key are spread over ``salt`` tasks and only the matching
-    right rows are repeated ``salt`` times; all other keys join as usual.
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. With
-    ``hot_rows=None`` nothing is salted: adaptive execution splits partitions
-    that turn out too large.
+def left_join(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Left, semi or anti join on one column whose left side may have hot keys, null among them.
+
+    Adaptive execution splits the partition of a hot key. Rows with a null
+    key have no partner; a second key spreads them, so they share no task.
     """
-    if hot_rows is None:
-        return left.join(right, list(on), how)
-    hot = hot_keys(left, on, hot_rows)
-    is_hot = F.col("_hot").isNotNull()
-    spread = number_hot(left, hot, on, "_hot").withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salt))).otherwise(0)).drop("_hot")
-    copies = number_hot(right, hot, on, "_hot").withColumn(
-        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt - 1)))
-                           .otherwise(F.array(F.lit(0))))).drop("_hot")
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+    part = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_PARTS))).otherwise(F.lit(-1))
+    spread = left.withColumn("_part", part)
+    return spread.join(right.withColumn("_part", F.lit(-1).cast("bigint")), [on, "_part"], how).drop("_part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gleaner.functions.names import alt_token, md5_name, media_name
 from gleaner.functions.predicates import valid_media_url
@@ -12,7 +12,6 @@ from gleaner.functions.urls import object_key
 from gleaner.operators.dedup import first_seen
 from gleaner.operators.extract import extract_images, extract_videos
 from gleaner.operators.numbering import cap_per_group, number_rows
-from gleaner.operators.skew import HOT_ROWS
 
 
 def media_candidates(pages: DataFrame, kind: str = "image", wanted_class: str | None = None) -> DataFrame:
@@ -22,22 +21,17 @@ def media_candidates(pages: DataFrame, kind: str = "image", wanted_class: str |
 
 
 def media_records(candidates: DataFrame, folder: str, prefix: str, order: Sequence[str] = ("page_id", "pos"), *,
-                  slices: Sequence[Column], kind: str = "image", extension: str = ".jpg",
-                  cap: int | None = None, by_digest: bool = False,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One record per folder and URL: ``number, media_name, object_key``, numbered from 0 in page order.
-
-    ``candidates`` is read three times, since hot folders are looked for; pass
-    a staged table if it comes from parsing.
-    """
+                  kind: str = "image", extension: str = ".jpg",
+                  cap: int | None = None, by_digest: bool = False) -> DataFrame:
+    """One record per folder and URL: ``number, media_name, object_key``, numbered from 0 in page order."""
     unique = first_seen(candidates, [folder, "media_url"], list(order))
     if cap:
         # At most `cap` rows of a folder are left, so a plain window will do.
-        capped = cap_per_group(unique, [folder], list(order), cap, hot_rows=hot_rows)
+        capped = cap_per_group(unique, [folder], list(order), cap)
         number = F.row_number().over(Window.partitionBy(folder).orderBy(*order)).cast("bigint") - 1
         numbered = capped.withColumn("number", number)
     else:
-        numbered = number_rows(unique, [folder], list(order), "number", slices=slices, hot_rows=hot_rows)
+        numbered = number_rows(unique, [folder], list(order), "number")
     if by_digest:
         name = md5_name(F.col("number") + 1, F.col("media_url"), kind, extension)
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions.blobs import with_decoded
-from gleaner.operators.skew import HOT_ROWS, skew_join
+from gleaner.operators.skew import left_join
 
 
 def scan_blobs(spark: SparkSession, root: str) -> DataFrame:
@@ -17,12 +17,14 @@ def scan_blobs(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.substring_index("path", "/", -1).alias("blob_id"), "path", "content")
 
 
-def enrich(metadata: DataFrame, blobs: DataFrame, on: str = "blob_id", encoding: str = "src_encoding",
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich(metadata: DataFrame, blobs: DataFrame, on: str = "blob_id", encoding: str = "src_encoding") -> DataFrame:
     """Metadata rows with ``text, word_count, status, error``; rows out = rows in.
 
-    Compressed payloads cross the network once and are decoded next to their
-    metadata row. A row without blob becomes a failure row.
+    ``blobs`` holds ``on, path, content``; of several blobs of an id that with
+    the smallest path counts, which ids and paths alone decide. Compressed
+    payloads are decoded next to their metadata row. A row without blob
+    becomes a failure row.
     """
-    payload = blobs.select(on, "content")
-    return with_decoded(skew_join(metadata, payload, [on], "left", hot_rows), "content", encoding)
+    first = blobs.groupBy(on).agg(F.min("path").alias("path"))
+    payload = blobs.join(first, [on, "path"], "left_semi").select(on, "content")
+    return with_decoded(left_join(metadata, payload, on), "content", encoding)

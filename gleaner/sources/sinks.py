@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.operators.aggregate import numbered_lists
 from gleaner.operators.numbering import int_div, running_total
-from gleaner.operators.skew import HOT_ROWS
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -39,16 +38,15 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def json_arrays(df: DataFrame, order: Sequence[str], item: Column, *, slices, size: int = 10_000) -> DataFrame:
+def json_arrays(df: DataFrame, order: Sequence[str], item: Column, *, size: int = 10_000) -> DataFrame:
     """The ordered items as JSON arrays of at most ``size`` elements: ``chunk, value``."""
-    lists = numbered_lists(df, [], order, item, slices=slices, size=size)
+    lists = numbered_lists(df, [], order, item, size=size)
     return lists.select("chunk", F.to_json("items", {"pretty": "false"}).alias("value"))
 
 
-def write_json_array(df: DataFrame, path: str, order: Sequence[str], item: Column, *, slices,
-                     size: int = 10_000) -> None:
+def write_json_array(df: DataFrame, path: str, order: Sequence[str], item: Column, *, size: int = 10_000) -> None:
     """JSON array files, one array per file (``chunk=N``); a list of up to ``size`` items is one file."""
-    (json_arrays(df, order, item, slices=slices, size=size)
+    (json_arrays(df, order, item, size=size)
      .write.mode("overwrite").partitionBy("chunk").text(path))
 
 
@@ -82,20 +80,20 @@ def _zipper(group: str):
     return bundle
 
 
-def bundle_groups(files: DataFrame, group: str, *, slices, max_bytes: int = 64 << 20,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+def bundle_groups(files: DataFrame, group: str, *, max_bytes: int = 64 << 20) -> DataFrame:
     """Deflated zip archives per group: ``group, part, n_files, raw_bytes, zip``.
 
-    ``files`` holds ``group, name, content``; names are unique in a group and
-    ``slices`` follow their order. A group larger than ``max_bytes`` gets
+    ``files`` holds ``group, name, content``; names are unique in a group,
+    and files of a null group are bundled like any other. A group larger than ``max_bytes`` gets
     numbered parts, so one archive never holds more than that plus one file.
     """
     sized = files.select(group, "name", "content", F.octet_length("content").cast("bigint").alias("size"))
     # Positions come from names and sizes; payloads join the plan once, below.
-    placed = running_total(sized.select(group, "name", "size"), [group], ["name"], F.col("size"), "_before",
-                           slices=slices, hot_rows=hot_rows)
-    parts = placed.select(group, "name", int_div(F.col("_before"), max_bytes).cast("int").alias("part"))
-    with_part = sized.join(parts, [group, "name"])
+    placed = running_total(sized.select(group, "name", "size"), [group], ["name"], F.col("size"), "_before")
+    parts = placed.select(F.col(group).alias("_of_group"), F.col("name").alias("_of_name"),
+                          int_div(F.col("_before"), max_bytes).cast("int").alias("part"))
+    with_part = sized.join(parts, sized[group].eqNullSafe(parts["_of_group"])
+                           & sized["name"].eqNullSafe(parts["_of_name"])).drop("_of_group", "_of_name")
     kind = dict(files.dtypes)[group]
     schema = f"`{group}` {kind}, part int, n_files bigint, raw_bytes bigint, zip binary"
     return with_part.groupBy(group, "part").applyInPandas(_zipper(group), schema)

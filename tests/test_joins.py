@@ -7,43 +7,50 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import dedup, joins, ledger
-from gleaner.operators.skew import hot_keys, skew_join
+from gleaner.operators.skew import left_join
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [1, 50, 10**6])
-def test_skew_join_is_join(spark, how, hot_rows):
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_left_join_is_join(spark, how):
     rnd = random.Random(3)
     left = spark.createDataFrame(
         [(rnd.choice(["hot"] * 5 + ["miss"] * 4 + list("abcdef") + [None, None]), i) for i in range(300)],
         "k string, i int").repartition(6)
     right = spark.createDataFrame([(k, v) for k in ["hot", "a", "b", "b", None, "z"] for v in (1, 2)], "k string, v int")
-    got = skew_join(left, right, ["k"], how, hot_rows, salt=4)
+    got = left_join(left, right, "k", how)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    assert hot_keys(df, ["k"], 5, max_keys=7).count() == 7
-    assert hot_keys(df, ["k"], 11).count() == 0
+def test_null_keys_are_spread(spark):
+    left = spark.createDataFrame([(None, i) for i in range(100)] + [("a", 1)], "k string, i int")
+    plan = left_join(left, left, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan and left_join(left, left, "k", "left_semi").count() == 1
+
+
+def test_join_content_chooses_by_digest(spark):
+    meta = spark.createDataFrame([("a", 1)], "blob_id string, n int")
+    texts = [("a", t) for t in ("one", "two", "three", "four")]
+    import hashlib
+    want = min((t for _, t in texts), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    for order in (texts, texts[::-1]):
+        out = joins.join_content(meta, spark.createDataFrame(order, "blob_id string, text string").repartition(3))
+        assert [r.text for r in out.collect()] == [want]
 
 
 def test_join_content_keeps_rows(spark):
     meta = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("x", 5)], "blob_id string, n int")
     content = spark.createDataFrame([("a", "t u"), ("a", "t u"), ("b", "")], "blob_id string, text string")
-    for hot_rows in (1, 100):
-        out = {r.n: (r.text, r.word_count, r.status)
-               for r in joins.join_content(meta, content, hot_rows=hot_rows).collect()}
-        assert out == {1: ("t u", 2, "ok"), 2: ("t u", 2, "ok"), 3: ("", 0, "ok"),
-                       4: ("", 0, "missing"), 5: ("", 0, "missing")}
+    out = {r.n: (r.text, r.word_count, r.status) for r in joins.join_content(meta, content).collect()}
+    assert out == {1: ("t u", 2, "ok"), 2: ("t u", 2, "ok"), 3: ("", 0, "ok"),
+                   4: ("", 0, "missing"), 5: ("", 0, "missing")}
 
 
 def test_todo_and_done_are_all(spark):
     keys = spark.createDataFrame([(f"raw/{f}/{n}",) for f in "ab" for n in range(20)], "key string")
     done = spark.createDataFrame([(f"out/{n}",) for n in range(5)], "key string")
-    todo = joins.todo_by_basename(keys, done, F.col("key"), F.col("key"), hot_rows=2)
+    todo = joins.todo_by_basename(keys, done, F.col("key"), F.col("key"))
     assert todo.count() == 30
     there = spark.createDataFrame([("raw/a/1",), ("raw/b/3",), ("other",)], "key string")
     assert joins.todo_by_key(keys, there).count() + joins.already_done(keys, there).count() == keys.count()
@@ -56,7 +63,7 @@ def test_resume_and_ranges_cover_each_file(spark):
     plan = joins.resume_plan(source, target)
     states = {r.key: (r.state, r.start_at) for r in plan.collect()}
     assert states == {"new": ("new", 0), "part": ("resume", 1000), "full": ("done", 10),
-                      "long": ("restart", 0), "empty": ("done", 0)}
+                      "long": ("restart", 0), "empty": ("new", 0)}
     bytes_left = {}
     for r in joins.byte_ranges(plan, 1024).collect():
         assert 0 < r.range_end - r.range_start + 1 <= 1024

@@ -1,12 +1,21 @@
-"""Sliced numbering against brute force, with hot groups and without."""
+"""Numbering in pieces against brute force and plain windows, with groups of one piece and of many."""
 
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Window, functions as F
 
 from gleaner.operators import aggregate, numbering
-from gleaner.operators.numbering import slices_of
+
+
+@pytest.fixture(params=["false", "true"], ids=["pieces", "one"], autouse=True)
+def coalesce(spark, request):
+    """Small tables make one piece; without coalescing they make eight."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, "true")
 
 
 def rows(seed=1, n=400):
@@ -27,16 +36,10 @@ def grouped(data):
     return out
 
 
-SLICES = {"one": (100,), "two": (1000, 50), "three": (1000, 100, 10)}
-
-
-@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
-@pytest.mark.parametrize("widths", SLICES.values(), ids=SLICES.keys())
-def test_number_and_running_total(spark, hot_rows, widths):
+def test_number_and_running_total(spark):
     data = rows()
-    cut = {"slices": slices_of(F.col("i"), *widths), "hot_rows": hot_rows}
-    df = numbering.number_rows(frame(spark, data), ["g"], ["i"], "n", total="size", start=1, **cut)
-    df = numbering.running_total(df, ["g"], ["i"], F.col("x"), "before", total="all", **cut)
+    df = numbering.number_rows(frame(spark, data), ["g"], ["i"], "n", total="size", start=1)
+    df = numbering.running_total(df, ["g"], ["i"], F.col("x"), "before", total="all")
     got = {(r.g, r.i): (r.n, r.size, r.before, r["all"]) for r in df.collect()}
     want = {}
     for g, members in grouped(data).items():
@@ -47,19 +50,16 @@ def test_number_and_running_total(spark, hot_rows, widths):
     assert got == want
 
 
-@pytest.mark.parametrize("widths", SLICES.values(), ids=SLICES.keys())
-def test_global_number(spark, widths):
+def test_global_number(spark):
     data = rows(2)
-    df = numbering.number_rows(frame(spark, data), [], ["i"], "n", slices=slices_of(F.col("i"), *widths))
+    df = numbering.number_rows(frame(spark, data), [], ["i"], "n")
     got = {r.i: r.n for r in df.collect()}
     assert got == {r[1]: n for n, r in enumerate(sorted(data, key=lambda r: r[1]))}
 
 
-@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
-def test_previous_value(spark, hot_rows):
+def test_previous_value(spark):
     data = [(g, i, None if x == 3 else x) for g, i, x in rows(3)]
-    df = numbering.previous_value(frame(spark, data), ["g"], ["i"], "x", "prev",
-                                  slices=slices_of(F.col("i"), 1000, 50), hot_rows=hot_rows)
+    df = numbering.previous_value(frame(spark, data), ["g"], ["i"], "x", "prev")
     got = {(r.g, r.i): r.prev for r in df.collect()}
     want = {}
     for members in grouped(data).values():
@@ -69,13 +69,11 @@ def test_previous_value(spark, hot_rows):
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_stop_at_repeat(spark, hot_rows):
+def test_stop_at_repeat(spark):
     data = [(g, i, i % 97) for g, i, _ in rows(4)]  # few repeats, so prefixes are long
     data += [("late", i, 500 + i) for i in range(300)] + [("late", 300, 799)]
     df = frame(spark, data).withColumn("items", F.when((F.col("g") == "a") & (F.col("i") > 2000), 0).otherwise(1))
-    kept = numbering.stop_at_repeat(df, ["g"], ["i"], "x", "items",
-                                    slices=slices_of(F.col("i"), 1000, 50), hot_rows=hot_rows)
+    kept = numbering.stop_at_repeat(df, ["g"], ["i"], "x", "items")
     got = {(r.g, r.i) for r in kept.collect()}
     want = set()
     for members in grouped(data).values():
@@ -89,10 +87,9 @@ def test_stop_at_repeat(spark, hot_rows):
 
 
 @pytest.mark.parametrize("limit", [None, 0, 1, 7])
-@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
-def test_cap(spark, limit, hot_rows):
+def test_cap(spark, limit):
     data = rows(5)
-    capped = numbering.cap_per_group(frame(spark, data), ["g"], ["i"], limit, fan_in=3, hot_rows=hot_rows)
+    capped = numbering.cap_per_group(frame(spark, data), ["g"], ["i"], limit)
     got = sorted(r.i for r in capped.collect())
     assert got == sorted(r[1] for m in grouped(data).values() for r in (m[:limit] if limit else m))
 
@@ -100,7 +97,7 @@ def test_cap(spark, limit, hot_rows):
 @pytest.mark.parametrize("n,chunks", [(10, 3), (3, 10), (100, 7), (1, 1), (99, 100)])
 def test_chunks_cover_each_row_once(spark, n, chunks):
     df = spark.range(n).withColumnRenamed("id", "i").repartition(3)
-    got = numbering.work_chunks(df, ["i"], chunks, slices=slices_of(F.col("i"), 20, 5)).orderBy("i").collect()
+    got = numbering.work_chunks(df, ["i"], chunks).orderBy("i").collect()
     size, more = divmod(n, chunks)
     want = [c + 1 for c in range(chunks) for _ in range(size + (c < more))]
     assert [r.i for r in got] == list(range(n)) and [r.chunk for r in got] == want
@@ -108,22 +105,49 @@ def test_chunks_cover_each_row_once(spark, n, chunks):
 
 def test_batches_and_budget(spark):
     df = spark.range(250).select(F.lit("f").alias("g"), F.col("id").alias("i"))
-    cut = slices_of(F.col("i"), 100, 10)
-    sizes = numbering.upload_batches(df, ["g"], ["i"], 100, slices=cut).groupBy("batch").count()
+    sizes = numbering.upload_batches(df, ["g"], ["i"], 100).groupBy("batch").count()
     assert {r["batch"]: r["count"] for r in sizes.collect()} == {0: 100, 1: 100, 2: 50}
-    budget = numbering.rate_budget(df, ["i"], F.lit("2024-01-01").cast("timestamp"), 30, 60, slices=cut)
+    budget = numbering.rate_budget(df, ["i"], F.lit("2024-01-01").cast("timestamp"), 30, 60)
     slots = budget.groupBy("slot", "not_before").count().orderBy("slot").collect()
     assert [r["count"] for r in slots] == [30] * 8 + [10]
     assert (slots[1].not_before - slots[0].not_before).total_seconds() == 60
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_lists_stay_bounded_and_whole(spark, hot_rows):
+def test_lists_stay_bounded_and_whole(spark):
     data = rows(6)
-    docs = aggregate.numbered_lists(frame(spark, data), ["g"], ["i"], F.col("i"), size=10,
-                                    slices=slices_of(F.col("i"), 1000, 50), hot_rows=hot_rows).collect()
+    docs = aggregate.numbered_lists(frame(spark, data), ["g"], ["i"], F.col("i"), size=10).collect()
     assert max(len(r["items"]) for r in docs) <= 10
     got = {}
     for r in sorted(docs, key=lambda r: r.chunk):
         got.setdefault(r.g, []).extend(r["items"])
     assert got == {g: [m[1] for m in members] for g, members in grouped(data).items()}
+
+
+KEYS = st.sampled_from(["a", "b", "http://h.org/x1", "http://h.org/x2", None])
+
+
+@given(st.lists(st.tuples(KEYS, st.integers(-5, 5) | st.none()), min_size=1, max_size=60), st.booleans(), st.booleans())
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_same_as_plain_windows(spark, data, down, grouped_):
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(data)], "g string, v long, i long").repartition(3)
+    group = ["g"] if grouped_ else []
+    order = [F.col("v").desc() if down else F.col("v"), F.col("i").desc() if down else F.col("i")]
+    w = Window.partitionBy(*group).orderBy(*order)
+    got = numbering.running_total(numbering.number_rows(df, group, order, "n"), group, order, F.col("v"), "t", total="s")
+    got = numbering.previous_value(got, group, order, "v", "p")
+    want = (df.withColumn("n", F.row_number().over(w).cast("bigint") - 1)
+            .withColumn("t", F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn("s", F.coalesce(F.sum("v").over(Window.partitionBy(*group)), F.lit(0)))
+            .withColumn("p", F.lag("v").over(w)))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_slice_of_rows(spark):
+    got = numbering.key_slice(frame(spark, rows(7)), ["i"], 30, 75).collect()
+    assert sorted(r.i for r in got) == sorted(r[1] for r in rows(7))[30:75]
+
+
+def test_one_exchange(spark):
+    df = numbering._ordered(frame(spark, rows()), ["g"], ["i"], F.lit(1).cast("bigint"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange range") == 1 and "Exchange hash" not in plan

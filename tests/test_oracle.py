@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from checks.registry import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -14,6 +13,7 @@ def test_query(spark, duck, sf_dir, name):
 
 
 def test_contract(spark):
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
     rows = contract.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"source", "files", "missing", "words"}

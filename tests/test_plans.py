@@ -1,12 +1,9 @@
 """Physical plans: what must be there, and what must not."""
 
 import pytest
-from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
-from checks.inputs import table
-
-QUERIES = contract.queries()
+import __spark_entry__  # noqa: F401  (registration)
+from checks.registry import QUERIES
 # Queries whose operator is Python on Arrow batches by design.
 ARROW = {"scan_batched", "decode_blob", "decode_or_empty", "scan_blobs", "extract_links_scoped", "bundle_groups"}
 STREAMS = {n for n in QUERIES if n.startswith("stream_")}
@@ -51,14 +48,8 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in text
 
 
-def test_numbering_shuffles_the_table_once(spark, sf_dir):
-    """Join with the offsets and window share one partitioning by ``_key``."""
-    from gleaner.operators.numbering import number_rows, slices_of
-
-    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
-    df = number_rows(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"],
-                     slices=slices_of(F.col("l_orderkey"), 10_000, 1000), hot_rows=100)
-    text = plan(df.select("number"))
-    window = text.index("row_number()")
-    join = text.index("Join", window)
-    assert "Exchange" not in text[window:join]
+def test_joins_read_their_input_once(spark, sf_dir):
+    text = plan(QUERIES["cap_per_group"](spark, sf_dir))
+    assert text.count("Scan parquet") == 1
+    text = plan(QUERIES["content_enrichment"](spark, sf_dir))
+    assert text.count("Scan parquet") <= 4

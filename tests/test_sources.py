@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions.blobs import decode_blob
-from gleaner.operators.numbering import slices_of, slices_of_text
 from gleaner.session import shared_dir, stage
 from gleaner.sources import blobs, listings, manifests, sinks, tables
 
@@ -95,8 +94,7 @@ def test_metadata_csv_appends(spark, tmp_path):
 def test_json_array_files_are_arrays(spark, tmp_path):
     path = tmp_path / "array"
     df = spark.range(25).select(F.col("id").alias("i"))
-    sinks.write_json_array(df, str(path), ["i"], F.concat(F.lit("u"), F.col("i").cast("string")),
-                           slices=slices_of(F.col("i"), 10), size=10)
+    sinks.write_json_array(df, str(path), ["i"], F.concat(F.lit("u"), F.col("i").cast("string")), size=10)
     arrays = [json.loads(f.read_text()) for c in range(3) for f in (path / f"chunk={c}").glob("*.txt")]
     assert [len(a) for a in arrays] == [10, 10, 5] and sum(arrays, []) == [f"u{i}" for i in range(25)]
 
@@ -111,20 +109,19 @@ def test_json_lines_and_keyed_layout(spark, tmp_path):
 
 
 def test_bundles_hold_every_file_once(spark):
-    files = [(f"o/{r}", f"{i:03d}.txt", (f"{r}{i}" * i).encode()) for r in "ab" for i in range(40)] + [("o/a", "zz/none", None)]
+    files = [(f"o/{r}", f"{i:03d}.txt", (f"{r}{i}" * i).encode()) for r in "ab" for i in range(40)] + [("o/a", "zz/none", None), (None, "of no group", b"x")]
     df = spark.createDataFrame(files, "repo string, name string, content binary").repartition(4)
-    for hot_rows in (1, 10**6):
-        got = sinks.bundle_groups(df, "repo", slices=slices_of_text(F.col("name"), 2, 3), max_bytes=500, hot_rows=hot_rows)
-        seen = {}
-        for r in got.collect():
-            with zipfile.ZipFile(io.BytesIO(r.zip)) as z:
-                infos = z.infolist()
-                assert r.n_files == len(infos) and r.raw_bytes == sum(i.file_size for i in infos)
-                assert sum(i.file_size for i in infos[:-1]) <= 500
-                for i in infos:
-                    assert (r.repo, i.filename) not in seen
-                    seen[(r.repo, i.filename)] = z.read(i)
-        assert seen == {(r, n): c or b"" for r, n, c in files}
+    got = sinks.bundle_groups(df, "repo", max_bytes=500)
+    seen = {}
+    for r in got.collect():
+        with zipfile.ZipFile(io.BytesIO(r.zip)) as z:
+            infos = z.infolist()
+            assert r.n_files == len(infos) and r.raw_bytes == sum(i.file_size for i in infos)
+            assert sum(i.file_size for i in infos[:-1]) <= 500
+            for i in infos:
+                assert (r.repo, i.filename) not in seen
+                seen[(r.repo, i.filename)] = z.read(i)
+    assert seen == {(r, n): c or b"" for r, n, c in files}
 
 
 def test_decode(spark, tmp_path):
@@ -140,14 +137,15 @@ def test_decode(spark, tmp_path):
         ("cut", "utf-8"), ("plain", "utf-8"), ("gone", "utf-8"), ("l1", "utf-8"), ("u8", "no-such"), ("u8", None), (None, "utf-8")]
     df = spark.createDataFrame([(i, *m) for i, m in enumerate(meta)], "n int, blob_id string, src_encoding string")
     stored = blobs.scan_blobs(spark, str(store))
-    for hot_rows in (1, 10**6):
-        out = blobs.enrich(df, stored, hot_rows=hot_rows).orderBy("n").collect()
-        assert len(out) == len(meta)
-        assert [r.text for r in out[:5]] == [v for v, _ in texts.values()]
-        assert [r.word_count for r in out[:5]] == [2, 1, 1, 0, 2]
-        assert [r.status for r in out] == ["ok"] * 5 + ["failed"] * 5 + ["ok", "failed"]
-        assert all(r.text == "" and r.word_count == 0 and r.error for r in out if r.status == "failed")
-        assert out[7].error == "missing" and out[10].text == "grün é"
+    out = blobs.enrich(df, stored).orderBy("n").collect()
+    assert len(out) == len(meta)
+    assert [r.text for r in out[:5]] == [v for v, _ in texts.values()]
+    assert [r.word_count for r in out[:5]] == [2, 1, 1, 0, 2]
+    assert [r.status for r in out] == ["ok"] * 5 + ["failed"] * 5 + ["ok", "failed"]
+    assert all(r.text == "" and r.word_count == 0 and r.error for r in out if r.status == "failed")
+    assert out[7].error == "missing" and out[10].text == "grün é"
+    again = stored.union(stored.withColumn("path", F.concat("path", F.lit("-copy"))))
+    assert blobs.enrich(df, again).count() == len(meta)
 
 
 def test_shared_dir_and_stage(spark):
