@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 6 << 20         # text of the documents that are looked at together
 KEY_BYTES = 30 << 20          # text whose keys meet in one task
+KEY_BITS = 47                 # of a key; with a flag it is sent as six bytes
 LAST = (1 << 63) - 1          # stands for a null id, after all others
 _U = np.uint64
 
@@ -37,15 +38,31 @@ def rows_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 
 def repeated_keys(dealt: DataFrame, total: int, keys_of) -> DataFrame:
-    """``block, keys``: the keys of each block that more than one row has, as packed 63-bit integers.
+    """``block, keys``: the keys of each block that more than one row has, as packed integers of ``KEY_BITS``.
 
-    ``keys_of(texts)`` yields ``text number, keys``.
+    ``keys_of(texts)`` yields ``text number, keys``. Keys that agree by
+    accident cost a look, and nothing else, where the keys are used.
     """
     shards = 1 + total // KEY_BYTES
     return (dealt.groupBy("block").applyInArrow(_send(shards, keys_of), "shard bigint, block bigint, keys binary")
             .groupBy("shard").applyInArrow(_repeated, "block bigint, keys binary"))
 
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> _U(64 - KEY_BITS)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Differences of neighbouring integers, compressed."""
+    return pa.compress(np.diff(values.astype(np.int64), prepend=0).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(parts: list[bytes], lengths: list[int]) -> np.ndarray:
+    """What ``pack`` made of several arrays, end to end."""
+    return np.concatenate([np.empty(0, np.int64)] + [np.cumsum(np.frombuffer(pa.decompress(
+        x, 8 * n, codec="zstd", asbytes=True), np.int64)) for x, n in zip(parts, lengths)])
+
+
 def unpacked(table: pa.Table) -> np.ndarray:
     """The keys of a block in order."""
     return np.sort(np.concatenate([np.empty(0, _U)] + [np.frombuffer(x, _U) for x in table["keys"].to_pylist()]))
@@ -64,7 +81,7 @@ def _send(shards: int, keys_of):
     """The different keys of a block by shard; the lowest bit says that two of its documents have one."""
     def run(key, table):
         _, _, texts = rows_of(table)
-        found = [(i, np.unique(k)) for i, k in keys_of(texts)]
+        found = [(i, np.unique(short(k))) for i, k in keys_of(texts)]
         if not found:
             return pa.table({"shard": pa.array([], pa.int64()), "block": pa.array([], pa.int64()),
                              "keys": pa.array([], pa.binary())})
@@ -72,6 +89,7 @@ def _send(shards: int, keys_of):
         shard = (every >> _U(20)) % _U(shards)
         order = np.argsort(shard, kind="stable")
         packed, shard = (every[order] << _U(1)) | (docs[order] > 1), shard[order]
+        packed = packed.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         names, at = np.unique(shard, return_index=True)
         return pa.table({"shard": pa.array(names.astype(np.int64)),
                          "block": pa.array(np.full(len(names), key[0].as_py())),
@@ -82,8 +100,11 @@ def _send(shards: int, keys_of):
 def _repeated(key, table):
     """Keys of a shard that more than one row has, sent back to the blocks that have them."""
     blocks = table["block"].to_numpy()
-    parts = [np.frombuffer(x, dtype=_U) for x in table["keys"].to_pylist()]
-    keys, block = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    parts = [np.frombuffer(x, dtype=np.uint8).reshape(-1, 6) for x in table["keys"].to_pylist()]
+    block = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    keys = np.zeros((len(block), 8), dtype=np.uint8)
+    keys[:, :6] = np.concatenate(parts)
+    keys = keys.view("<u8").reshape(-1)
     order = np.argsort(keys >> _U(1), kind="stable")
     value = keys[order] >> _U(1)
     twin = value[1:] == value[:-1]
