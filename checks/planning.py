@@ -23,6 +23,16 @@ def extract_links(spark, d):
     return links.select("page_id", *_long("pos"), "href", "text")
 
 
+@query("extract_links_entities", with_sql(MEDIA_PAGES, select="""
+  SELECT page_id, '/e?x=1&y=2&z=\u00e9' AS href, 'caf\u00e9 \u20ac \u2209 \u00a9 ' || page_id AS text
+  FROM media_pages WHERE has_body"""))
+def extract_links_entities(spark, d):
+    added = F.concat(F.lit('<a href="/e?x=1&#38;y=2&#x26;z=&eacute;">caf&eacute; &#8364; &notin; &copy '),
+                     F.col("page_id").cast("string"), F.lit("</a></body>"))
+    pages = table(spark, d, "pages").withColumn("html", F.replace("html", F.lit("</body>"), added))
+    return extract.extract_links(pages).filter(F.col("href").startswith("/e?")).select("page_id", "href", "text")
+
+
 @query("extract_links_scoped", with_sql(MEDIA_PAGES, select="""
   SELECT 'row' AS scope, page_id, 0::BIGINT AS pos, '/f/' || page_id || '.pdf' AS href, 'PDF ' || page_id AS text
   FROM media_pages WHERE has_body

@@ -108,24 +108,27 @@ def latest_status(spark, d):
   WITH changes AS (
     SELECT doc_id, quality, CASE WHEN toxic = 1 THEN 'toxic' END AS lang FROM labels
     UNION ALL SELECT item_id + 1000000000, 1, 'new' FROM benchmark)
-  SELECT doc_id, coalesce(c.lang, d.lang) AS lang, d.n_chars, c.quality
-  FROM documents d FULL JOIN changes c USING (doc_id)""")
+  SELECT doc_id, coalesce(c.lang, d.lang) AS lang, CASE WHEN c.quality = 0 THEN NULL ELSE d.n_chars END AS n_chars,
+    c.quality FROM documents d FULL JOIN changes c USING (doc_id)""")
 def upsert_documents(spark, d):
     current = table(spark, d, "documents").select("doc_id", "lang", "n_chars")
-    # Each label arrives as two events: the quality first, then the rest.
+    # Each label arrives as two events: the quality first, then the rest; low quality clears n_chars.
     labels = table(spark, d, "labels")
-    none = F.lit(None)
+    none, names = F.lit(None), lambda *n: F.array(*map(F.lit, n))
+    length = none.cast("bigint").alias("n_chars")
     events = (
-        labels.select("doc_id", "quality", none.cast("string").alias("lang"), F.lit(1).alias("seq"))
-        .unionByName(labels.select("doc_id", none.cast("int").alias("quality"),
-                                   F.when(F.col("toxic") == 1, "toxic").alias("lang"), F.lit(2).alias("seq")))
+        labels.select("doc_id", "quality", none.cast("string").alias("lang"), length, F.lit(1).alias("seq"),
+                      F.when(F.col("quality") == 0, names("quality", "n_chars")).otherwise(names("quality")).alias("sets"))
+        .unionByName(labels.filter("toxic = 1").select(
+            "doc_id", none.cast("int").alias("quality"), F.lit("toxic").alias("lang"), length, F.lit(2).alias("seq"),
+            names("lang").alias("sets")))
         .unionByName(table(spark, d, "benchmark").select(
             (F.col("item_id") + 1_000_000_000).alias("doc_id"), F.lit(1).alias("quality"),
-            F.lit("new").alias("lang"), F.lit(1).alias("seq"))))
-    changes = ledger.merge_changes(events, ["doc_id"], ["seq"])
+            F.lit("new").alias("lang"), length, F.lit(1).alias("seq"), names("quality", "lang").alias("sets"))))
+    changes = ledger.merge_changes(events, ["doc_id"], ["seq"], "sets")
     root = fresh_dir(spark, "documents")
     ledger.save_version(ledger.upsert_documents(current, changes, ["doc_id"]), root, 1)
-    return ledger.read_version(spark, root, 1)
+    return ledger.read_version(spark, root)
 
 
 @query("link_status_map", with_sql(LATEST, """numbered AS (
@@ -173,9 +176,11 @@ RETRY = """attempt AS (
 decided AS (
   SELECT *, CASE WHEN succeeded THEN 'done' WHEN failures = 0 THEN 'wait' WHEN failures < 2 THEN 'retry'
                  ELSE 'failed' END AS action FROM attempt)"""
+JITTERED = """last_attempt + to_seconds(pow(2, failures - 1)) + to_milliseconds(
+  CAST('0x' || substr(md5(concat_ws('|', item, link, failures)), 1, 6) AS BIGINT) % 1001)"""
 RETRY_SELECT = f"""
   SELECT item, link, failures, succeeded, {sql_text('last_attempt')} AS last_attempt, action,
-         CASE WHEN action = 'retry' THEN {sql_text('last_attempt + to_seconds(pow(2, failures - 1))')} END AS next_at
+         CASE WHEN action = 'retry' THEN {sql_text(JITTERED)} END AS next_at
   FROM decided"""
 
 
@@ -248,8 +253,15 @@ def stream_dedup(spark, d):
          count(*) > 2 AS over_budget FROM events GROUP BY 1""")
 def stream_rate(spark, d):
     target, checkpoint = folders(spark, "rate")
-    live.write_updates(live.rate_updates(ingest.as_event_time(event_stream(spark, d)), limit=2), target, checkpoint)
-    return live.current(spark, target, ["window_start"]).select(
+    # Eight files out of order, one per micro-batch; half way the batches are folded.
+    events = table(spark, d, "events")
+    landing = fresh_dir(spark, "shuffled")
+    events.repartition(8, F.xxhash64("event_id")).write.parquet(landing)
+    stream = ingest.as_event_time(ingest.read_stream(spark, landing, events.schema, max_files=1))
+    live.write_partials(stream, live.rate_partials(), target, checkpoint)
+    live.compact(spark, target, live.rates)
+    counted = live.rates(live.written(spark, target))
+    return live.over_budget(counted, limit=2).select(
         utc_text("window_start").alias("window_start"), "requests", "over_budget")
 
 

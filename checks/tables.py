@@ -8,7 +8,7 @@ from checks.inputs import (DONE, OBJECTS, REPOS, done_objects, objects, repos, t
 from checks.registry import query
 from checks.scalars import gzip_store
 from gleaner.functions.blobs import with_decoded
-from gleaner.operators.numbering import first_rows, int_div, number_rows
+from gleaner.operators.numbering import int_div, number_rows
 from gleaner.session import fresh_dir
 from gleaner.sources import blobs, listings, manifests, sinks, tables
 
@@ -94,7 +94,23 @@ def search_pages(spark, d):
 def flatten_search_page(spark, d):
     pages = manifests.parse_search_pages(search_pages(spark, d), "response")
     flat = manifests.flatten_search_page(pages, "brand", "page")
-    return flat.withColumn("pos", F.col("pos").cast("bigint"))
+    return flat.drop("error").withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("read_search_pages", with_sql(REPOS, """numbered AS (
+  SELECT *, split_part(name, '/', 1) AS brand, count(*) OVER (PARTITION BY split_part(name, '/', 1)) AS total_count,
+         (row_number() OVER (PARTITION BY split_part(name, '/', 1) ORDER BY pos) - 1) // 100 AS page FROM repos)""",
+                                    select="""
+  SELECT total_count, name, stars, size, lang, FALSE AS broken FROM numbered WHERE page > 0 OR brand <> 'Brand#11'
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, TRUE FROM numbered WHERE page = 0 AND brand = 'Brand#11'
+  GROUP BY brand, page"""))
+def read_search_pages(spark, d):
+    root = fresh_dir(spark, "responses")
+    cut = (F.col("brand") == "Brand#11") & (F.col("page") == 0)
+    text = F.when(cut, F.left("response", F.lit(40))).otherwise(F.col("response"))
+    (search_pages(spark, d).select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(root))
+    flat = manifests.flatten_search_page(manifests.read_search_pages(spark, root))
+    return flat.select("total_count", "name", "stars", "size", "lang", F.col("error").isNotNull().alias("broken"))
 
 
 @query("scan_blobs", """
@@ -132,10 +148,12 @@ def write_metadata_csv(spark, d):
     return spark.read.schema(first.schema).csv(root, header=True, escape='"', multiLine=True)
 
 
-@query("write_catalog_csv", with_sql(REPOS, select="SELECT name, stars, lang FROM repos ORDER BY pos LIMIT 10"))
+@query("write_catalog_csv", with_sql(REPOS, select="SELECT name || chr(10) || 'None' AS name, stars, lang FROM repos"))
 def write_catalog_csv(spark, d):
     root = fresh_dir(spark, "catalogue")
-    sinks.write_catalog_csv(first_rows(repos(spark, d), ["pos"], 10).select("name", "stars", "lang"), root)
+    # Names with a line break, and the text that stands for null in another column.
+    named = repos(spark, d).select(F.concat("name", F.lit("\nNone")).alias("name"), "stars", "lang")
+    sinks.write_catalog_csv(named, root)
     return manifests.read_manifest_csv(spark, root)
 
 

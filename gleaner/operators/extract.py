@@ -11,7 +11,12 @@ the expressions are possessive: they neither backtrack nor recurse. Scopes that
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import html
+import json
+from functools import cache
+from html.entities import html5
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleaner.functions.names import media_src
 from gleaner.functions.predicates import class_matches, has_suffix, trimmed_text_equals
@@ -41,13 +46,53 @@ def find_elements(html: Column, pattern: str) -> Column:
     return F.filter(found, lambda e: e.contains(">"))
 
 
+@cache
+def _references() -> tuple[str, str]:
+    """The named references of HTML as a JSON map, and a pattern of those that need no semicolon."""
+    open_names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    names = {n.removesuffix(";"): c for n, c in html5.items()}
+    # Numbers that stand for another character, as HTML reads them.
+    names |= {f"#{n}": html.unescape(f"&#{n};") for n in (*range(32), *range(127, 160))}
+    return json.dumps(names), "^(?:" + "|".join(open_names) + ")"
+
+
+def _character(number: Column) -> Column:
+    """The character of a code point, by its four bytes; what is none becomes U+FFFD."""
+    valid = (number < 0xD800) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+    code = F.when(valid, number).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
 def unescape(text: Column) -> Column:
-    """The named entities that occur in attribute values and link texts, and the decimal apostrophe."""
-    out = text
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), out).otherwise(text)
+    """Text with its character references read as HTML reads them: named, decimal and hexadecimal.
+
+    The text is cut at ``&``; each part begins with a reference or does not.
+    """
+    table, open_names = _references()
+    names = F.from_json(F.lit(table), "map<string,string>")
+
+    def read(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^#(\d++)", 1)
+        hexa = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]++)", 1)
+        name = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*+);", 1)
+        short = F.regexp_extract(part, open_names, 0)
+        # Beyond nine digits no code point is left.
+        number = F.when(digits != "", F.least(F.try_to_number(F.left(F.ltrim(digits, F.lit("0")), F.lit(9)), F.lit("999999999")),
+                                              F.lit(0x110000)).cast("bigint")).otherwise(
+            F.conv(F.left(F.ltrim(hexa, F.lit("0")), F.lit(7)), 16, 10).cast("bigint"))
+        number = F.coalesce(number, F.lit(0).cast("bigint"))
+        rest = F.regexp_replace(part, r"^#(?:\d++|[xX][0-9a-fA-F]++);?+", "")
+        numeric = F.coalesce(F.try_element_at(names, F.concat(F.lit("#"), number.cast("string"))), _character(number))
+        return (F.when((digits != "") | (hexa != ""), F.concat(numeric, rest))
+                .when((name != "") & F.try_element_at(names, name).isNotNull(),
+                      F.concat(F.try_element_at(names, name), F.substr(part, F.length(name) + 2)))
+                .when(short != "", F.concat(F.try_element_at(names, short), F.substr(part, F.length(short) + 1)))
+                .otherwise(F.concat(F.lit("&"), part)))
+
+    parts = F.split(text, "&")
+    decoded = F.concat(F.element_at(parts, 1),
+                       F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), read), ""))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def attribute_tokens(element: Column) -> Column:
@@ -185,68 +230,78 @@ def page_signature(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def _scope_parser(tag: str | None, wanted_class: str, first_only: bool):
+    from html.parser import HTMLParser
+
+    # HTML elements that never have an end tag.
+    void = {"area", "base", "br", "col", "embed", "hr", "img", "input",
+            "link", "meta", "param", "source", "track", "wbr"}
+
+    class ScopeParser(HTMLParser):
+        """Links below the scope; every tag and every piece of text is handled once."""
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.names, self.scopes_seen, self.depth = [], {}, 0, 0
+            self.links, self.current = [], None
+
+        def handle_starttag(self, name, attrs):
+            values = {}
+            for key, value in attrs:
+                values.setdefault(key, value or "")
+            starts = (wanted_class in values.get("class", "").split() and (tag is None or name == tag)
+                      and not (first_only and self.scopes_seen))
+            link = None
+            if name == "a":                       # an anchor ends where the next one begins
+                self.current = None
+                if "href" in values and self.depth:
+                    link = self.current = (values["href"], [])
+                    self.links.append(link)
+            self.scopes_seen += starts
+            if name in void:
+                return
+            self.open.append((name, starts, link))
+            self.names[name] = self.names.get(name, 0) + 1
+            self.depth += starts
+
+        def handle_endtag(self, name):
+            if not self.names.get(name):
+                return
+            while True:
+                opened, scoped, link = self.open.pop()
+                self.names[opened] -= 1
+                self.depth -= scoped
+                if link is not None and link is self.current:
+                    self.current = None
+                if opened == name:
+                    break
+
+        def handle_data(self, data):
+            if self.current is not None:
+                self.current[1].append(data)
+
+    return ScopeParser
+
+
+def _scoped(tag: str | None, wanted_class: str, first_only: bool):
     def links_in_scope(batches):
-        from html.parser import HTMLParser
-
-        import pandas as pd
-
-        # HTML elements that never have an end tag.
-        void = {"area", "base", "br", "col", "embed", "hr", "img", "input",
-                "link", "meta", "param", "source", "track", "wbr"}
-
-        class ScopeParser(HTMLParser):
-            def __init__(self):
-                super().__init__(convert_charrefs=True)
-                self.open, self.scopes_seen, self.depth = [], 0, 0
-                self.links, self.current = [], []
-
-            def handle_starttag(self, name, attrs):
-                values = {}
-                for key, value in attrs:
-                    values.setdefault(key, value or "")
-                in_class = wanted_class in values.get("class", "").split()
-                starts = in_class and (tag is None or name == tag)
-                if starts and first_only:
-                    starts = self.scopes_seen == 0
-                if name == "a" and "href" in values and self.depth:
-                    self.links.append([values["href"], ""])
-                    link = len(self.links) - 1
-                else:
-                    link = None
-                if starts:
-                    self.scopes_seen += 1
-                if name in void:
-                    return
-                self.open.append((name, starts, link))
-                self.depth += starts
-                if link is not None:
-                    self.current.append(link)
-
-            def handle_endtag(self, name):
-                if not any(entry[0] == name for entry in self.open):
-                    return
-                while self.open:
-                    opened, scoped, link = self.open.pop()
-                    self.depth -= scoped
-                    if link is not None:
-                        self.current.remove(link)
-                    if opened == name:
-                        break
-
-            def handle_data(self, data):
-                for link in self.current:
-                    self.links[link][1] += data
+        import pyarrow as pa
 
+        parse = _scope_parser(tag, wanted_class, first_only)
         for batch in batches:
-            rows = []
-            keys = [c for c in batch.columns if c != "_html"]
-            for row in batch.to_dict("records"):
-                parser = ScopeParser()
-                parser.feed(row["_html"] or "")
+            rows, place, href, text = [], [], [], []
+            for row, page in enumerate(batch.column("_html").to_pylist()):
+                parser = parse()
+                parser.feed(page or "")
                 parser.close()
-                for pos, (href, text) in enumerate(parser.links):
-                    rows.append([row[k] for k in keys] + [pos, href, text])
-            yield pd.DataFrame(rows, columns=[*keys, "pos", "href", "text"])
+                rows += [row] * len(parser.links)
+                place += range(len(parser.links))
+                href += [link[0] for link in parser.links]
+                text += ["".join(link[1]) for link in parser.links]
+            # The page's other columns are taken as they are, never converted.
+            keys = batch.select([c for c in batch.schema.names if c != "_html"]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*keys.columns, pa.array(place, pa.int32()), pa.array(href, pa.string()), pa.array(text, pa.string())],
+                [*keys.schema.names, "pos", "href", "text"])
 
     return links_in_scope
 
@@ -256,11 +311,12 @@ def scoped_links(pages: DataFrame, wanted_class: str, tag: str | None = None,
     """Links below elements of a class: ``pos, href, text`` plus the page's other columns.
 
     ``tag`` restricts the scope element, ``first_only`` takes the first such
-    element only. Pages without the class name anywhere never reach Python.
+    element only. Pages that hold the class name nowhere, and write no class
+    with a character reference, never reach Python.
     """
     keep = [f for f in pages.schema.fields if f.name != html]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
-                       + ["pos int", "href string", "text string"])
-    candidates = pages.filter(F.col(html).contains(wanted_class))
+    schema = T.StructType(list(keep)).add("pos", "integer").add("href", "string").add("text", "string")
+    spelt = F.col(html).rlike(r"""(?i)class\s*+=\s*+(?:"[^"&]*+&|'[^'&]*+&|[^\s>"'&]*+&)""")
+    candidates = pages.filter(F.col(html).contains(wanted_class) | spelt)
     slim = candidates.select(*[f.name for f in keep], F.col(html).alias("_html"))
-    return slim.mapInPandas(_scope_parser(tag, wanted_class, first_only), schema)
+    return slim.mapInArrow(_scoped(tag, wanted_class, first_only), schema)

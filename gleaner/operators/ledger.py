@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gleaner.functions.retry import backoff_seconds
+from gleaner.functions.retry import backoff_seconds, jitter_seconds
 from gleaner.operators.aggregate import numbered_lists
 
 
@@ -23,37 +23,59 @@ def latest_status(log: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return last.select(*[F.col(c) if c in keys else F.col("_last")[c].alias(c) for c in log.columns])
 
 
-def merge_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One change per key: each field has its last non-null value."""
-    fields = [c for c in changes.columns if c not in keys and c not in order]
+def merge_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  names: str | None = None) -> DataFrame:
+    """One change per key, with the ``changed`` field names: each field has the value that was set last.
+
+    The array column ``names`` says which fields a change sets, to null too;
+    without it a change sets the fields that are not null.
+    """
+    fields = [c for c in changes.columns if c not in keys and c not in order and c != names]
     when = F.struct(*order)
-    return changes.groupBy(*keys).agg(*[
-        F.max_by(F.col(f), F.when(F.col(f).isNotNull(), when)).alias(f) for f in fields])
+    sets = {f: F.array_contains(names, f) if names else F.col(f).isNotNull() for f in fields}
+    # The value sits in a struct: set to null and not set stay apart.
+    last = changes.groupBy(*keys).agg(*[
+        F.max_by(F.struct(F.col(f).alias("v")), F.when(sets[f], when)).alias(f) for f in fields])
+    changed = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.lit(f)) for f in fields]))
+    return last.select(*keys, *[F.col(f)["v"].alias(f) for f in fields], changed.alias("changed"))
 
 
 def upsert_documents(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Documents after the changes: named fields are set, others kept, new keys added.
+    """Documents after the changes: the ``changed`` fields are set, to null too, others kept, new keys added.
 
-    Both sides hold a key once (see :func:`merge_changes`). The result is a
-    new version; write it next to the old one with :func:`save_version`.
+    Both sides hold a key once (see :func:`merge_changes`). Changes without
+    ``changed`` set their fields that are not null. The result is a new
+    version; write it next to the old one with :func:`save_version`.
     """
     fields = [c for c in current.columns if c not in keys]
-    extra = [c for c in changes.columns if c not in keys and c not in fields]
+    extra = [c for c in changes.columns if c not in keys and c not in fields and c != "changed"]
+    if "changed" not in changes.columns:
+        named = [F.when(F.col(f).isNotNull(), F.lit(f)) for f in fields if f in changes.columns]
+        changes = changes.withColumn("changed", F.array_compact(F.array(*named)))
     new = changes.withColumnsRenamed({c: f"_new_{c}" for c in changes.columns if c not in keys})
     joined = current.join(new, list(keys), "full_outer")
     merged = [
-        F.coalesce(F.col(f"_new_{f}"), F.col(f)).alias(f) if f in changes.columns else F.col(f)
-        for f in fields]
+        F.when(F.array_contains("_new_changed", f), F.col(f"_new_{f}")).otherwise(F.col(f)).alias(f)
+        if f in changes.columns else F.col(f) for f in fields]
     return joined.select(*keys, *merged, *[F.col(f"_new_{f}").alias(f) for f in extra])
 
 
 def save_version(df: DataFrame, root: str, version: int) -> None:
-    """Write a version of the state; the path that is being read is never overwritten."""
-    df.write.mode("overwrite").parquet(f"{root}/version={version:08d}")
+    """Write a version of the state, then the pointer to it; a version that exists is an error."""
+    df.write.mode("errorifexists").parquet(f"{root}/versions/version={version:08d}")
+    pointer = df.sparkSession.createDataFrame([(version,)], "version long")
+    pointer.coalesce(1).write.mode("append").json(f"{root}/pointers")
+
 
+def last_version(spark: SparkSession, root: str) -> int:
+    """The newest version that was written completely."""
+    return spark.read.schema("version long").json(f"{root}/pointers").agg(F.max("version")).first()[0]
 
-def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={version:08d}")
+
+def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """A version of the state, the newest one if none is named."""
+    version = last_version(spark, root) if version is None else version
+    return spark.read.parquet(f"{root}/versions/version={version:08d}")
 
 
 def link_status_map(status: DataFrame, item: Sequence[str], link: str, *, size: int = 1000) -> DataFrame:
@@ -99,10 +121,14 @@ def attempt_state(attempts: DataFrame, keys: Sequence[str], ts: str = "ts") -> D
         F.max(ts).alias("last_attempt"))
 
 
-def retry_decision(state: DataFrame, max_tries: int = 5) -> DataFrame:
-    """``action`` (done, retry, failed, wait) and ``next_at`` from :func:`attempt_state`."""
+def retry_decision(state: DataFrame, keys: Sequence[str], max_tries: int = 5) -> DataFrame:
+    """``action`` (done, retry, failed, wait) and ``next_at`` from :func:`attempt_state`.
+
+    Keys that failed together come back up to a second apart.
+    """
     # Bounded: a key far beyond its tries gets no waiting time anyway.
-    delay = backoff_seconds(F.least(F.col("failures") - 1, F.lit(max_tries)))
+    delay = (backoff_seconds(F.least(F.col("failures") - 1, F.lit(max_tries)))
+             + jitter_seconds(*[F.col(k) for k in keys], F.col("failures")))
     action = (F.when(F.col("succeeded"), "done")
               .when(F.col("failures") == 0, "wait")
               .when(F.col("failures") < max_tries, "retry")
@@ -116,7 +142,7 @@ def retry_decision(state: DataFrame, max_tries: int = 5) -> DataFrame:
 
 def retry_plan(attempts: DataFrame, keys: Sequence[str], max_tries: int = 5, ts: str = "ts") -> DataFrame:
     """What to do next for each key of an attempt log."""
-    return retry_decision(attempt_state(attempts, keys, ts), max_tries)
+    return retry_decision(attempt_state(attempts, keys, ts), keys, max_tries)
 
 
 def orphans(objects: DataFrame, failed: DataFrame, on: str = "key") -> DataFrame:

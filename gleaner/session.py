@@ -56,6 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_base
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/gleaner/{name}-{uuid.uuid4().hex}"

@@ -6,24 +6,64 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner.functions.predicates import has_suffix
 
+_LISTING = "key string, size bigint, modified timestamp"
+
+
+def from_inventory(inventory: DataFrame, key: str = "key", size: str = "size", modified: str = "modified") -> DataFrame:
+    """A listing from an inventory table, the source for stores of very many objects."""
+    return inventory.select(F.col(key).alias("key"), F.col(size).cast("bigint").alias("size"),
+                            F.col(modified).cast("timestamp").alias("modified"))
+
+
+def _place(root: str):
+    from pyarrow import fs
+
+    place, base = fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+    return place, base.rstrip("/")
+
+
+def _batch(infos, base: str):
+    import pyarrow as pa
+    from pyarrow import fs
+
+    files = [i for i in infos if i.type == fs.FileType.File]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([i.path.removeprefix(base + "/") for i in files], pa.string()),
+         pa.array([i.size for i in files], pa.int64()),
+         pa.array([i.mtime_ns and i.mtime_ns // 1000 for i in files], pa.timestamp("us", tz="UTC"))],
+        ["key", "size", "modified"])
+
+
+def _below(root: str):
+    def run(batches):
+        from pyarrow import fs
+
+        place, base = _place(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                yield _batch(place.get_file_info(fs.FileSelector(f"{base}/{folder}", recursive=True)), base)
+    return run
+
 
 def list_objects(spark: SparkSession, root: str, suffix: str | None = None) -> DataFrame:
     """``key`` (relative to ``root``), ``size``, ``modified`` of every object below ``root``.
 
-    The content column is pruned, so objects are listed, never opened. The
-    suffix filter runs at listing time. Spark's file sources leave out objects
-    of zero bytes, and so does this listing.
+    Objects are listed, never opened; empty ones and those whose names begin
+    with ``_`` or ``.`` are objects too, and names are taken as they are. The
+    driver sees the entries of ``root`` itself; what lies below each of its
+    folders is listed by a task of its own. For a store with very many objects
+    in one folder, use :func:`from_inventory`.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
-    plain = F.regexp_replace("path", "^[a-zA-Z0-9]+:/{0,3}(?=/)|^[a-zA-Z0-9]+://", "")
-    base = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
-    # The listing gives URL-encoded paths.
-    return reader.load(root).select(
-        F.substring_index(F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))), base, -1).alias("key"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"))
+    from pyarrow import fs
+
+    place, base = _place(root)
+    top = place.get_file_info(fs.FileSelector(base))
+    folders = [i.path.removeprefix(base + "/") for i in top if i.type == fs.FileType.Directory]
+    here = spark.createDataFrame(_batch(top, base).to_pandas().astype({"size": "int64"}), _LISTING)
+    below = (spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(len(folders), 1))
+             .mapInArrow(_below(root), _LISTING))
+    found = here.union(below)
+    return found.filter(F.col("key").endswith(suffix)) if suffix else found
 
 
 def list_snapshot_files(files: DataFrame, snapshot: str | Column, key: str = "key") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 REPO_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -24,17 +26,31 @@ SEARCH_PAGE_SCHEMA = T.StructType([
 LINK_OPEN, LINK_CLOSE = "<link>", "</link>"
 
 
-def read_manifest_csv(spark: SparkSession, path: str, schema: T.StructType = REPO_SCHEMA) -> DataFrame:
-    """CSV without header; the text ``None`` is null."""
-    return spark.read.csv(path, schema=schema, header=False, nullValue="None", escape='"', multiLine=False)
+def read_manifest_csv(spark: SparkSession, path: str, schema: T.StructType = REPO_SCHEMA,
+                      none_columns: Sequence[str] = ("lang",), errors: bool = False) -> DataFrame:
+    """CSV without header; in ``none_columns`` the text ``None`` is null.
+
+    A quoted value may hold line breaks. With ``errors`` a row that does not
+    fit the schema has its text in ``error``.
+    """
+    if errors:
+        schema = T.StructType([*schema.fields, T.StructField("error", T.StringType())])
+    rows = spark.read.csv(path, schema=schema, header=False, escape='"', multiLine=True,
+                          columnNameOfCorruptRecord="error")
+    return rows.withColumns({c: F.when(F.col(c) != "None", F.col(c)) for c in none_columns})
 
 
 def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON files that hold one array of strings each: ``file, position, value``."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.posexplode(F.from_json("value", "array<string>")).alias("position", "value"))
+    """JSON files that hold one array of strings each: ``file, position, value, error``.
+
+    A file that is no such array gives one row with ``error`` and no value.
+    """
+    whole = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.from_json("value", "array<string>").alias("items"))
+    rows = whole.select("file", F.when(F.col("items").isNull(), "not a JSON array of strings").alias("error"),
+                        F.posexplode_outer("items").alias("position", "value"))
+    return (rows.filter(F.col("position").isNotNull() | F.col("error").isNotNull())
+            .select("file", "position", "value", "error"))
 
 
 def read_link_lines(lines: DataFrame, host: str, column: str = "value") -> DataFrame:
@@ -48,26 +64,29 @@ def read_link_lines(lines: DataFrame, host: str, column: str = "value") -> DataF
 
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed search responses, one JSON document per file."""
-    return spark.read.json(path, schema=SEARCH_PAGE_SCHEMA, multiLine=True)
+    """Landed search responses, one JSON document per file; ``error`` holds the text of an unreadable one."""
+    schema = T.StructType([*SEARCH_PAGE_SCHEMA.fields, T.StructField("error", T.StringType())])
+    return (spark.read.json(path, schema=schema, multiLine=True, columnNameOfCorruptRecord="error")
+            .withColumn("file", F.col("_metadata.file_path")))
 
 
 def parse_search_pages(df: DataFrame, column: str) -> DataFrame:
     """The same from a column of JSON texts."""
-    return df.withColumn("_page", F.from_json(F.col(column), SEARCH_PAGE_SCHEMA)).select(
-        *[c for c in df.columns if c != column], "_page.total_count", "_page.items")
+    schema = T.StructType([*SEARCH_PAGE_SCHEMA.fields, T.StructField("error", T.StringType())])
+    page = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": "error"})
+    return df.withColumn("_page", page).select(
+        *[c for c in df.columns if c != column], "_page.total_count", "_page.items", "_page.error")
 
 
 def flatten_search_page(pages: DataFrame, *keep: str) -> DataFrame:
-    """One repository per row: ``total_count, pos, name, stars, size, lang``."""
-    rows = pages.select(*keep, "total_count", F.posexplode("items").alias("pos", "_r"))
-    return rows.select(*keep, "total_count", "pos",
+    """One repository per row: ``total_count, error, pos, name, stars, size, lang``.
+
+    An unreadable response is one row with ``error`` and no repository.
+    """
+    rows = (pages.select(*keep, "total_count", "error", F.posexplode_outer("items").alias("pos", "_r"))
+            .filter(F.col("pos").isNotNull() | F.col("error").isNotNull()))
+    return rows.select(*keep, F.when(F.col("error").isNull(), F.col("total_count")).alias("total_count"), "error", "pos",
                        F.col("_r.full_name").alias("name"),
                        F.col("_r.stargazers_count").alias("stars"),
                        F.col("_r.size").alias("size"),
                        F.col("_r.language").alias("lang"))
-
-
-def seed_pairs(df: DataFrame, folder: Column, url: Column) -> DataFrame:
-    """``folder_name, url`` seeds from a table."""
-    return df.select(folder.alias("folder_name"), url.alias("url"))

@@ -29,9 +29,10 @@ def write_metadata_csv(df: DataFrame, path: str, folder: str = "folder_name", mo
     clustered(df, folder).write.mode(mode).partitionBy(folder).csv(path, header=True, escape='"')
 
 
-def write_catalog_csv(df: DataFrame, path: str) -> None:
-    """CSV without header, null as ``None``, values quoted where needed."""
-    df.write.mode("overwrite").csv(path, header=False, nullValue="None", escape='"')
+def write_catalog_csv(df: DataFrame, path: str, none_columns: Sequence[str] = ("lang",)) -> None:
+    """CSV without header, values quoted where needed; null is ``None`` in ``none_columns``, else nothing."""
+    named = df.withColumns({c: F.coalesce(c, F.lit("None")) for c in none_columns if c in df.columns})
+    named.write.mode("overwrite").csv(path, header=False, escape='"')
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

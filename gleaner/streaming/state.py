@@ -1,35 +1,72 @@
 """Keyed state on streams: status ledger, first-seen URLs, request rates, retries.
 
-Each operator is a streaming aggregation in update mode. Such an aggregation
-combines on the map side before its shuffle, so a key that a third of the
-events carry costs one row per task, and the state store holds one row per
-key. Every micro-batch writes the keys it changed to its own folder; a batch
-that is run again after a failure replaces that folder. :func:`current` reads
-the last value per key.
+Two ways, neither of which drops a late event. Status, first-seen and retry
+state are streaming aggregations in update mode: each micro-batch writes the
+keys it changed, and the last row per key counts. Rates and first-seen keys
+per period keep no state: each micro-batch writes its own partial result, and
+partial results are merged when they are read. Either way a micro-batch that
+is run again after a failure replaces its folder, and :func:`compact` folds
+what has been written into one base, so that a reader sees the newest base and
+the batches after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.operators.ledger import attempt_state, latest_status, retry_decision
+from gleaner.session import path_exists
 from gleaner.streaming.ingest import run_to_end
 
+Fold = Callable[[DataFrame], DataFrame]
 
-def write_updates(updates: DataFrame, target: str, checkpoint: str) -> None:
-    """Run the stream to its end and keep the changed rows of each micro-batch."""
+
+def _save(reduce: Fold, target: str):
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        reduce(batch).write.mode("overwrite").parquet(f"{target}/batches/batch_id={batch_id}")
+    return save
 
-    run_to_end(updates.writeStream.outputMode("update").foreachBatch(save)
+
+def write_updates(updates: DataFrame, target: str, checkpoint: str) -> None:
+    """Run the stream to its end and keep the changed rows of each micro-batch."""
+    run_to_end(updates.writeStream.outputMode("update").foreachBatch(_save(lambda rows: rows, target))
                .option("checkpointLocation", checkpoint))
 
 
+def write_partials(stream: DataFrame, reduce: Fold, target: str, checkpoint: str) -> None:
+    """Run the stream to its end and keep ``reduce`` of each micro-batch."""
+    run_to_end(stream.writeStream.foreachBatch(_save(reduce, target)).option("checkpointLocation", checkpoint))
+
+
+def written(spark: SparkSession, target: str) -> DataFrame:
+    """The newest base and the batches after it, with ``batch_id``."""
+    batches = spark.read.parquet(f"{target}/batches")
+    if not path_exists(spark, f"{target}/bases"):
+        return batches
+    bases = spark.read.parquet(f"{target}/bases")
+    upto = bases.agg(F.max("upto")).first()[0]
+    # Equality on the folder columns: other bases and folded batches are not opened.
+    base = bases.filter(F.col("upto") == upto).drop("upto")
+    return base.unionByName(batches.filter(F.col("batch_id") > upto))
+
+
+def compact(spark: SparkSession, target: str, fold: Fold) -> None:
+    """Fold all that is written into a new base; older bases and folded batches may be removed then."""
+    last = spark.read.parquet(f"{target}/batches").agg(F.max("batch_id")).first()[0]
+    rows = written(spark, target).filter(F.col("batch_id") <= last)
+    fold(rows).withColumn("batch_id", F.lit(last)).write.mode("errorifexists").parquet(f"{target}/bases/upto={last}")
+
+
+def newest(keys: Sequence[str]) -> Fold:
+    """Of updates: the last row per key."""
+    return lambda rows: latest_status(rows, keys, ["batch_id"]).drop("batch_id")
+
+
 def current(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row per key over all micro-batches."""
-    return latest_status(spark.read.parquet(target), keys, ["batch_id"]).drop("batch_id")
+    """The newest row per key over all micro-batches of :func:`write_updates`."""
+    return newest(keys)(written(spark, target))
 
 
 def status_updates(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -37,28 +74,37 @@ def status_updates(events: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest_status(events, keys, order)
 
 
-def first_seen_updates(events: DataFrame, keys: Sequence[str], order: Sequence[str],
-                       horizon: str | None = None, ts: str = "ts") -> DataFrame:
-    """First event per key, live.
+def first_seen_updates(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First event per key over the whole history, live."""
+    return events.groupBy(*keys).agg(F.min(F.struct(*order)).alias("first"))
+
+
+def first_seen_partials(keys: Sequence[str], order: Sequence[str], horizon: str, ts: str = "ts") -> Fold:
+    """First event per key in each period of ``horizon`` (``"1 day"``), for :func:`write_partials`."""
+    return lambda events: (events.groupBy(*keys, F.window(ts, horizon).alias("period"))
+                           .agg(F.min(F.struct(*order)).alias("first")))
+
+
+def first_seen(keys: Sequence[str]) -> Fold:
+    """Partial results of :func:`first_seen_partials` as one."""
+    return lambda rows: rows.groupBy(*keys, "period").agg(F.min("first").alias("first"))
+
+
+def rate_partials(seconds: int = 60, ts: str = "ts") -> Fold:
+    """Requests per tumbling window, for :func:`write_partials`."""
+    return lambda requests: (requests.groupBy(F.window(ts, f"{seconds} seconds").alias("w"))
+                             .agg(F.count(F.lit(1)).alias("requests"))
+                             .select(F.col("w.start").alias("window_start"), "requests"))
+
 
-    Without ``horizon`` the whole history counts. With one (``"1 day"``) a key
-    counts anew in each such period and old state is dropped by watermark.
-    """
-    first = F.min(F.struct(*order)).alias("first")
-    if horizon is None:
-        return events.groupBy(*keys).agg(first)
-    return (events.withWatermark(ts, horizon)
-            .groupBy(*keys, F.window(ts, horizon).alias("period")).agg(first))
+def rates(rows: DataFrame) -> DataFrame:
+    """Partial results of :func:`rate_partials` as one."""
+    return rows.groupBy("window_start").agg(F.sum("requests").alias("requests"))
 
 
-def rate_updates(requests: DataFrame, limit: int = 30, seconds: int = 60, late: str = "10 minutes",
-                 ts: str = "ts") -> DataFrame:
-    """Requests per tumbling window and whether the budget is exceeded."""
-    counted = (requests.withWatermark(ts, late)
-               .groupBy(F.window(ts, f"{seconds} seconds").alias("w"))
-               .agg(F.count(F.lit(1)).alias("requests")))
-    return counted.select(F.col("w.start").alias("window_start"), "requests",
-                          (F.col("requests") > limit).alias("over_budget"))
+def over_budget(counted: DataFrame, limit: int = 30) -> DataFrame:
+    """Whether a window has more requests than ``limit``."""
+    return counted.withColumn("over_budget", F.col("requests") > limit)
 
 
 def retry_updates(attempts: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
@@ -68,7 +114,7 @@ def retry_updates(attempts: DataFrame, keys: Sequence[str], ts: str = "ts") -> D
 
 def retry_schedule(spark: SparkSession, target: str, keys: Sequence[str], max_tries: int = 5) -> DataFrame:
     """Next action and time per key from the state written by :func:`retry_updates`."""
-    return retry_decision(current(spark, target, keys), max_tries)
+    return retry_decision(current(spark, target, keys), keys, max_tries)
 
 
 def due(schedule: DataFrame, now) -> DataFrame:

@@ -128,3 +128,41 @@ def test_long_and_broken_pages(spark):
     extract.extract_links(df).count()
     assert extract.extract_links(pages(spark, *df_text)).count() == 0
     assert time.time() - start < 30
+
+
+REF = st.sampled_from(["&amp;", "&#38;", "&#x26;", "&lt;", "&eacute;", "&notin;", "&#8364;", "&#x1F600;", "&#128;", "&#0;",
+                       "&bogus;", "& ", "a", "b c", "é"])
+TEXT = st.lists(REF, max_size=6).map("".join)
+
+
+@settings(max_examples=3, deadline=None, derandomize=True, phases=[Phase.generate])
+@given(st.lists(st.tuples(TEXT, TEXT), min_size=40, max_size=60))
+def test_both_routes_read_references_alike(spark, found):
+    df = pages(spark, *[f'<div class="in"><a href="/x{h}">t{t}</a></div>' for h, t in found])
+    native = extract.extract_links(df).select("page_id", "href", "text").collect()
+    parsed = extract.scoped_links(df, "in").select("page_id", "href", "text").collect()
+    assert sorted(map(tuple, native)) == sorted(map(tuple, parsed)) and len(native) == len(found)
+
+
+def test_every_reference(spark):
+    import html
+    from html.entities import html5
+
+    texts = [f"x&{n}y" for n in html5] + ["&#99999999999;", "&#xD800;", "&#x110000;", "&#;", "&#x;", "&", "&&amp;;", "&copy2024"]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select("s", extract.unescape(F.col("s")).alias("u"))
+    assert all(r.u == html.unescape(r.s) for r in rows.collect())
+
+
+def test_scopes_keep_keys_and_read_references(spark):
+    df = spark.createDataFrame([(9007199254740993, '<p class="w&#97;nted"><a href="/1">x</a></p>'), (None, "<p></p>"),
+                                (5, '<p class="wanted"><a href=/2>y<a href=/3>z</a></p>')], "page_id long, html string")
+    got = [tuple(r) for r in extract.scoped_links(df, "wanted").orderBy("href").collect()]
+    assert got == [(9007199254740993, 0, "/1", "x"), (5, 0, "/2", "y"), (5, 1, "/3", "z")]
+
+
+def test_scopes_of_broken_pages_are_linear(spark):
+    """Two megabytes of tags that are never closed, with end tags of others between them."""
+    open_ = '<div class="in">' + "<div><p><a href=x>y</i></b>" * 80_000
+    start = time.time()
+    assert extract.scoped_links(pages(spark, open_), "in").count() == 80_000
+    assert time.time() - start < 5

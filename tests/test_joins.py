@@ -129,7 +129,17 @@ def test_upsert_versions_do_not_touch_each_other(spark, tmp_path):
                                       spark.createDataFrame([("a", 2)], "k string, n int"), ["k"])
     ledger.save_version(changed, root, 2)
     assert ledger.read_version(spark, root, 1).first().n == 1
-    assert ledger.read_version(spark, root, 2).first().n == 2
+    assert ledger.read_version(spark, root, 2).first().n == 2 and ledger.read_version(spark, root).first().n == 2
+    with pytest.raises(Exception, match="exists"):
+        ledger.save_version(first, root, 2)
+
+
+def test_upsert_clears_fields(spark):
+    current = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, n int, s string")
+    events = spark.createDataFrame([("a", None, None, ["n"], 2), ("a", 7, "z", ["n", "s"], 1), ("b", None, None, [], 1)],
+                                   "k string, n int, s string, sets array<string>, seq int")
+    after = ledger.upsert_documents(current, ledger.merge_changes(events, ["k"], ["seq"], "sets"), ["k"])
+    assert {tuple(r) for r in after.collect()} == {("a", None, "z"), ("b", 2, "y")}
 
 
 def test_retry_plan(spark):
@@ -139,7 +149,7 @@ def test_retry_plan(spark):
       ('never', 'failed', timestamp'2024-01-01 00:00:00'), ('never', 'failed', timestamp'2024-01-01 00:00:01'),
       ('never', 'failed', timestamp'2024-01-01 00:00:02'), ('new', 'started', timestamp'2024-01-01 00:00:00')
       AS t(url, status, ts)""")
-    plan = {r.url: (r.action, str(r.next_at) if r.next_at else None)
+    plan = {r.url: (r.action, str(r.next_at)[:19] if r.next_at else None)
             for r in ledger.retry_plan(log, ["url"], max_tries=3).collect()}
     assert plan == {"ok": ("done", None), "again": ("retry", "2024-01-01 00:02:02"),
                     "never": ("failed", None), "new": ("wait", None)}

@@ -32,23 +32,27 @@ def test_batched_scan(spark):
 
 
 def test_listing(spark, tmp_path):
-    for name, data in {"a/1.zip": b"xy", "a/b/2.zip": b"abc", "a/b/none.zip": b"", "a b/3+4.zip": b"z", "a/5.json": b"{}"}.items():
+    for name, data in {"a/1.zip": b"xy", "a/b/2.zip": b"abc", "a/b/none.zip": b"", "a b/3+4.zip": b"z", "a/5.json": b"{}",
+                       "_p/.x%20y.zip": b"h", "100%.zip": b"tt"}.items():
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(data)
     found = listings.list_objects(spark, str(tmp_path), ".zip")
-    # Spark's file sources leave out objects of zero bytes.
-    assert {(r.key, r["size"]) for r in found.collect()} == {("a/1.zip", 2), ("a/b/2.zip", 3), ("a b/3+4.zip", 1)}
-    assert listings.list_objects(spark, str(tmp_path)).count() == 4
-    plan = found.select("key", "size")._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+    assert {(r.key, r["size"]) for r in found.collect()} == {
+        ("a/1.zip", 2), ("a/b/2.zip", 3), ("a/b/none.zip", 0), ("a b/3+4.zip", 1), ("_p/.x%20y.zip", 1), ("100%.zip", 2)}
+    listed = listings.list_objects(spark, str(tmp_path))
+    assert listed.count() == 7 and listed.filter("modified IS NULL OR modified < '2020-01-01'").count() == 0
+    assert listings.from_inventory(listed.withColumnRenamed("size", "bytes"), size="bytes").count() == 7
+    empty = tmp_path / "nothing"
+    empty.mkdir()
+    assert listings.list_objects(spark, str(empty)).count() == 0
     target = spark.createDataFrame([("up/a/1.zip",)], "key string")
     left = {r.target_key for r in listings.pending_uploads(found, target, "up").collect()}
-    assert left == {"up/a/b/2.zip", "up/a b/3+4.zip"}
+    assert left == {"up/a/b/2.zip", "up/a b/3+4.zip", "up/a/b/none.zip", "up/_p/.x%20y.zip", "up/100%.zip"}
 
 
 def test_csv_manifest_round_trip(spark, tmp_path):
-    rows = [("o/a", 5, "C"), ("o/b,c", 4, None), ('o/"q"', 3, "D"), ("p/a", 5, "C")]
+    rows = [("o/a", 5, "C"), ("o/b,c", 4, None), ('o/"q"', 3, "D"), ("p/a", 5, "C"), ("None", 1, "C"), ("a\nb", 2, None)]
     path = str(tmp_path / "repos")
     sinks.write_catalog_csv(spark.createDataFrame(rows, "name string, stars long, lang string"), path)
     assert sorted(map(tuple, manifests.read_manifest_csv(spark, path).collect()), key=str) == sorted(rows, key=str)
@@ -61,7 +65,10 @@ def test_json_manifest(spark, tmp_path):
     (tmp_path / "k.json").write_text('["b", "a ", "b",\n "ü"]')
     (tmp_path / "empty.json").write_text("[]")
     got = manifests.read_manifest_json(spark, str(tmp_path)).orderBy("position").collect()
-    assert [r.value for r in got] == ["b", "a ", "b", "ü"]
+    assert [r.value for r in got] == ["b", "a ", "b", "ü"] and all(r.error is None for r in got)
+    (tmp_path / "cut.json").write_text('["b", "a')
+    broken = manifests.read_manifest_json(spark, str(tmp_path)).filter("error IS NOT NULL").collect()
+    assert [(r.file.rsplit("/", 1)[1], r.value) for r in broken] == [("cut.json", None)]
 
 
 def test_link_lines(spark):
@@ -80,6 +87,10 @@ def test_search_pages(spark, tmp_path):
     flat = manifests.flatten_search_page(manifests.read_search_pages(spark, str(tmp_path)))
     assert [(r.pos, r.name, r.stars, r.lang) for r in flat.orderBy("pos").collect()] == [
         (0, "o/a", 3, None), (1, "o/b", 4, "C")]
+    (tmp_path / "p3.json").write_text('{"total_count": 9, "ite')
+    pages = manifests.read_search_pages(spark, str(tmp_path))
+    broken = manifests.flatten_search_page(pages, "file").filter("error IS NOT NULL").collect()
+    assert [(r.file.rsplit("/", 1)[1], r.name) for r in broken] == [("p3.json", None)]
 
 
 def test_metadata_csv_appends(spark, tmp_path):

@@ -42,7 +42,7 @@ def test_ingest_resumes(spark, landing):
 def test_status_is_batch_status(spark, landing):
     folder, df, base = landing
     state.write_updates(state.status_updates(stream(spark, folder), ["url"], ["ts", "seq"]), base + "/out", base + "/cp")
-    assert spark.read.parquet(base + "/out").select("batch_id").distinct().count() == 3
+    assert spark.read.parquet(base + "/out/batches").select("batch_id").distinct().count() == 3
     want = ledger.latest_status(df, ["url"], ["ts", "seq"])
     assert rows(state.current(spark, base + "/out", ["url"]), *df.columns) == rows(want, *df.columns)
 
@@ -56,18 +56,38 @@ def test_first_seen_is_batch_dedup(spark, landing):
 
 def test_first_seen_with_horizon(spark, landing):
     folder, df, base = landing
-    updates = state.first_seen_updates(stream(spark, folder), ["url"], ["ts", "seq"], horizon="1 day")
-    state.write_updates(updates, base + "/out", base + "/cp")
-    assert state.current(spark, base + "/out", ["url", "period"]).count() == 11
+    keep = state.first_seen_partials(["url"], ["ts", "seq"], "10 minutes")
+    state.write_partials(stream(spark, folder), keep, base + "/out", base + "/cp")
+    fold = state.first_seen(["url"])
+    got = fold(state.written(spark, base + "/out"))
+    assert rows(got, "url", "period", "first") == rows(keep(df), "url", "period", "first")
 
 
-def test_rate(spark, landing):
+def test_rate_counts_late_requests(spark, landing):
     folder, df, base = landing
-    state.write_updates(state.rate_updates(stream(spark, folder), limit=2, late="1 day"), base + "/out", base + "/cp")
     want = df.groupBy(F.date_trunc("minute", "ts").alias("window_start")).agg(F.count("*").alias("requests"))
-    got = state.current(spark, base + "/out", ["window_start"])
+    run = lambda: state.write_partials(stream(spark, folder), state.rate_partials(), base + "/out", base + "/cp")
+    run()
+    state.compact(spark, base + "/out", state.rates)
+    late = df.limit(7).withColumn("ts", F.lit("2001-01-01").cast("timestamp"))
+    late.coalesce(1).write.mode("append").parquet(folder)
+    run()
+    want = want.union(spark.createDataFrame([(7,)], "requests long").select(F.lit("2001-01-01").cast("timestamp"), "requests"))
+    got = state.rates(state.written(spark, base + "/out"))
     assert rows(got, "window_start", "requests") == rows(want, "window_start", "requests")
-    assert {r.over_budget for r in got.collect()} == {r.requests > 2 for r in got.collect()}
+    state.compact(spark, base + "/out", state.rates)
+    got = state.rates(state.written(spark, base + "/out"))
+    assert rows(got, "window_start", "requests") == rows(want, "window_start", "requests")
+    assert {r.over_budget for r in state.over_budget(got, 2).collect()} == {r.requests > 2 for r in got.collect()}
+
+
+def test_compacted_updates(spark, landing):
+    folder, df, base = landing
+    state.write_updates(state.status_updates(stream(spark, folder), ["url"], ["ts", "seq"]), base + "/out", base + "/cp")
+    before = rows(state.current(spark, base + "/out", ["url"]), *df.columns)
+    state.compact(spark, base + "/out", state.newest(["url"]))
+    plan = state.written(spark, base + "/out")._jdf.queryExecution().executedPlan().toString()
+    assert "upto" in plan and rows(state.current(spark, base + "/out", ["url"]), *df.columns) == before
 
 
 def test_retry_is_batch_plan(spark, landing):
