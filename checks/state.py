@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from checks.inputs import (DONE, IMAGES, LATEST, MEDIA_PAGES, NAV_LINKS, OBJECTS, REPOS, RUN_LOG, done_objects,
                            link_log, media_pages, objects, repos, run_log, sql_text, table, utc_text, with_sql)
 from checks.registry import query
+from gleaner.functions import names
 from gleaner.operators import aggregate, ledger
-from gleaner.plans import archive, catalogue, content, media
+from gleaner.plans import archive, catalogue, content, copy, harvest, media
 from gleaner.operators.dedup import first_seen
 from gleaner.operators.extract import extract_images
 from gleaner.session import fresh_dir, stage
+from gleaner.sources import manifests, sinks
 from gleaner.streaming import ingest
 from gleaner.streaming import state as live
 
@@ -370,3 +372,69 @@ first AS (
   SELECT name, stars, lang FROM first ORDER BY window_low, pos, name LIMIT 10"""))
 def catalogue_top(spark, d):
     return catalogue.top_of_catalogue(catalogue.repo_catalogue(repos(spark, d), min_stars=900))
+
+
+@query("keyword_harvest", with_sql(MEDIA_PAGES, IMAGES, """signed AS (
+  SELECT host, page_id, has_body AND NOT regexp_matches(html, '(^|>)The(<|$)') AS shows, n FROM media_pages),
+flagged AS (
+  SELECT host, page_id, NOT shows OR coalesce(CASE WHEN has_body THEN n ELSE '' END
+    = lag(CASE WHEN has_body THEN n ELSE '' END) OVER w, FALSE) AS stop
+  FROM signed JOIN media_pages USING (host, page_id, n) WINDOW w AS (PARTITION BY host ORDER BY page_id)),
+shown AS (SELECT host, page_id FROM (
+  SELECT host, page_id, max(stop::INT) OVER (PARTITION BY host ORDER BY page_id) AS stopped FROM flagged) WHERE stopped = 0),
+first AS (
+  SELECT host, media_url, page_id, alt FROM images JOIN shown USING (host, page_id) WHERE pos = 0
+  QUALIFY row_number() OVER (PARTITION BY host, media_url ORDER BY page_id) = 1),
+named AS (SELECT *, 'ab_' || substr(alt, 5, 1) AS clean FROM first)""", select="""
+  SELECT host, media_url, clean || CASE WHEN count(*) OVER (PARTITION BY host, clean) > 1 THEN '_' || md5(media_url)
+    ELSE '' END || '.jpg' AS file_name, (row_number() OVER (PARTITION BY host ORDER BY page_id) - 1) // 4 AS batch
+  FROM named"""))
+def keyword_harvest(spark, d):
+    images = harvest.keyword_images(media_pages(spark, d), "host", "page_id", "card", "The")
+    records = harvest.keyword_harvest(images, "host", "page_id", batch=4,
+                                      clean=lambda alt: names.sanitize_filename(F.left(alt, F.lit(5))))
+    return records.select("host", "media_url", "file_name", "batch")
+
+
+@query("dataset_copy", """
+  SELECT 'data/' || lang || '/' || doc_id || '.txt' AS key,
+         ntile(5) OVER (ORDER BY 'data/' || lang || '/' || doc_id || '.txt') AS chunk
+  FROM documents WHERE lang = 'de' AND doc_id NOT IN (SELECT doc_id FROM labels)""")
+def dataset_copy(spark, d):
+    files = table(spark, d, "documents").select(
+        "doc_id", F.format_string("data/%s/%d.txt", "lang", "doc_id").alias("key"))
+    target = files.join(table(spark, d, "labels"), "doc_id", "left_semi").select("key")
+    return copy.copy_plan(files.select("key"), target, "de", 5)
+
+
+@query("dataset_copy_status", with_sql(LATEST, select="""
+  SELECT snapshot, files, completed_files, failed_files, CASE WHEN failed_files > 0 THEN 'failed'
+    WHEN completed_files = files THEN 'completed' ELSE 'started' END AS status, leftovers FROM (
+    SELECT link AS snapshot, count(*) AS files, count(*) FILTER (status = 'success') AS completed_files,
+           count(*) FILTER (status = 'failed') AS failed_files, count(*) FILTER (status = 'failed') AS leftovers
+    FROM latest GROUP BY link)"""))
+def dataset_copy_status(spark, d):
+    log = run_log(spark, d).select(F.col("link").alias("snapshot"), F.concat_ws("/", "link", "item").alias("key"),
+                                   "status", "ts", "seq")
+    status = copy.copy_status(log, ["ts", "seq"])
+    stored = log.select("snapshot", "key").distinct()
+    left = copy.copy_leftovers(stored, log, ["ts", "seq"]).groupBy("snapshot").agg(F.count(F.lit(1)).alias("leftovers"))
+    return status.join(left, "snapshot", "left").select(
+        "snapshot", "files", "completed_files", "failed_files", "status",
+        F.coalesce("leftovers", F.lit(0)).alias("leftovers"))
+
+
+@query("manifest_ranges", with_sql(OBJECTS, DONE, """todo AS (
+  SELECT key, size FROM objects WHERE doc_id NOT IN (SELECT doc_id FROM done WHERE quality = 1)),
+planned AS (
+  SELECT todo.key, todo.size, coalesce(done.size, 0) AS start_at FROM todo LEFT JOIN done USING (key))""", select="""
+  SELECT key, unnest(range(start_at, size, 1000)) AS range_start,
+         least(unnest(range(start_at, size, 1000)) + 999, size - 1) AS range_end FROM planned"""))
+def manifest_ranges(spark, d):
+    root = fresh_dir(spark, "manifest")
+    sinks.write_json_array(objects(spark, d), root, ["key"], F.col("key"), size=100)
+    manifest = manifests.read_manifest_json(spark, root).select(F.col("value").alias("key"))
+    had = done_objects(spark, d)
+    done = had.filter("quality = 1").select(F.col("done_key").alias("key"))
+    ranges = copy.manifest_ranges(manifest, objects(spark, d).select("key", "size"), done, had.select("key", "size"), 1000)
+    return ranges.select("key", "range_start", "range_end")

@@ -12,6 +12,13 @@ def url_basename(url: Column, cap: int = MAX_NAME) -> Column:
     return F.left(F.substring_index(url, "/", -1), F.lit(cap))
 
 
+def url_filename(url: Column, cap: int = MAX_NAME) -> Column:
+    """As :func:`url_basename`; where something is cut off, the name ends in the digest of the URL instead."""
+    name = F.substring_index(url, "/", -1)
+    return F.when(F.char_length(name) <= cap, name).otherwise(
+        F.concat_ws("_", F.left(name, F.lit(cap - 33)), F.md5(url)))
+
+
 def url_basename_noquery(url: Column) -> Column:
     """Text after the last ``/`` and before the first ``?`` in it."""
     return F.substring_index(F.substring_index(url, "/", -1), "?", 1)

@@ -212,6 +212,19 @@ def extract_linked_images(pages: DataFrame, wanted_class: str, base: Column, htm
     )
 
 
+def linked_images(html: Column, wanted_class: str, base: Column) -> Column:
+    """``media_url, alt`` of the first image inside each anchor of a class, as an array in the page's own row."""
+    def first(anchor: Column) -> Column:
+        tokens = attribute_tokens(F.try_element_at(find_elements(anchor, _opening("img")), F.lit(1)))
+        source = attribute(tokens, "src")
+        return F.struct(F.when(source.isNotNull(), resolve_url(base, source)).alias("media_url"),
+                        attribute(tokens, "alt").alias("alt"))
+
+    anchors = F.filter(find_elements(html, _opening("a") + _ANCHOR_BODY), lambda a: class_matches(
+        attribute(attribute_tokens(_opening_of(a)), "class"), wanted_class))
+    return F.filter(F.transform(anchors, first), lambda i: i["media_url"].isNotNull())
+
+
 def image_sources(html: Column) -> Column:
     """All ``img`` sources of a page in document order, as an array in the page's own row."""
     sources = F.transform(find_elements(html, _opening("img")),

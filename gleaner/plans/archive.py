@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.functions.predicates import anchor_text_contains
-from gleaner.functions.urls import item_name, object_key, prefix_always, url_basename
+from gleaner.functions.urls import item_name, object_key, prefix_always, url_filename
 from gleaner.operators.aggregate import item_summary
 from gleaner.operators.extract import extract_links
 from gleaner.operators.ledger import latest_status
@@ -17,7 +17,7 @@ def item_links(pages: DataFrame, base: str, prefix: str, word: str = "PDF") -> D
     named = links.withColumns({
         "item": item_name(F.col("url")),
         "doc_url": prefix_always(F.lit(base), F.col("href")),
-        "file_name": url_basename(F.col("href")),
+        "file_name": url_filename(F.col("href")),
     })
     return named.withColumn("key", object_key(F.lit(prefix), F.col("item"), F.col("file_name")))
 
