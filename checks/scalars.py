@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from checks.inputs import (IMAGES, MEDIA_PAGES, NAV_LINKS, OBJECTS, REPOS, media_pages, objects, repos,
@@ -188,19 +190,24 @@ def page_count(spark, d):
 
 
 @query("backoff_seconds", """
-  SELECT l_orderkey, l_linenumber, pow(2, l_linenumber) AS base, TRUE AS jitter_ok,
+  SELECT l_orderkey, l_linenumber, pow(2, l_linenumber) AS base,
+         CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 6) AS BIGINT) % 1001 / 1000.0::DOUBLE AS jitter,
          CASE WHEN l_returnflag = 'R' THEN 300.0::DOUBLE ELSE 2.0::DOUBLE END AS pause FROM lineitem""")
 def backoff_seconds(spark, d):
     jitter = retry.jitter_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     status = F.when(F.col("l_returnflag") == "R", 403).otherwise(500)
     return table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", retry.backoff_seconds(F.col("l_linenumber")).alias("base"),
-        jitter.between(0, 1).alias("jitter_ok"), retry.pause_after(status).alias("pause"))
+        jitter.alias("jitter"), retry.pause_after(status).alias("pause"))
 
 
-@query("stamp", "SELECT doc_id, TRUE AS stamped FROM documents")
+@query("stamp", "SELECT lang, count(*) AS n, 1::BIGINT AS stamps, count(*) AS recent FROM documents GROUP BY lang")
 def stamp(spark, d):
-    return table(spark, d, "documents").select("doc_id", retry.stamp().isNotNull().alias("stamped"))
+    """One time for all rows of a query, and that of the run."""
+    begun = F.lit(datetime.now(timezone.utc) - timedelta(minutes=5))
+    stamped = table(spark, d, "documents").select("lang", retry.stamp().alias("at"))
+    return stamped.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("at").alias("stamps"),
+                                       F.count_if(F.col("at") > begun).alias("recent"))
 
 
 # --- predicates ---------------------------------------------------------------

@@ -151,11 +151,12 @@ def open_runs(spark, d):
 
 
 @query("start_events", with_sql(LATEST, select="""
-  SELECT DISTINCT item, link, 'started' AS status, TRUE AS open FROM link_log"""))
+  SELECT item, link, 'started' AS status, NULL::VARCHAR AS error_message, NULL::VARCHAR AS end_time, count(*) AS events
+  FROM link_log GROUP BY item, link"""))
 def start_events(spark, d):
-    items = link_log(spark, d).select("item", "link").distinct()
+    items = link_log(spark, d).groupBy("item", "link").agg(F.count(F.lit(1)).alias("events"))
     started = ledger.start_events(items, F.current_timestamp())
-    return started.select("item", "link", "status", F.col("end_time").isNull().alias("open"))
+    return started.select("item", "link", "status", "error_message", utc_text("end_time").alias("end_time"), "events")
 
 
 @query("snapshot_status", with_sql(LATEST, select=f"""

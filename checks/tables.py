@@ -174,20 +174,34 @@ def write_keyed(spark, d):
     return spark.read.schema(orders.schema).parquet(root)
 
 
+def unzip(frames):
+    """Name and digest of every file, read back from the archives."""
+    import hashlib
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    for frame in frames:
+        rows = [(r.source, r.part, r.n_files, r.raw_bytes, name, hashlib.md5(z.read(name)).hexdigest())
+                for r in frame.itertuples() for z in [zipfile.ZipFile(io.BytesIO(r.zip))] for name in z.namelist()]
+        yield pd.DataFrame(rows, columns=["source", "part", "n_files", "raw_bytes", "name", "digest"])
+
+
 @query("bundle_groups", """
-  WITH files AS (SELECT source, lpad(doc_id::VARCHAR, 12, '0') || '.' || lang AS name, strlen(text) AS size FROM documents),
+  WITH files AS (
+    SELECT source, lpad(doc_id::VARCHAR, 12, '0') || '.' || lang AS name, strlen(text) AS size, md5(text) AS digest FROM documents),
   placed AS (
-    SELECT source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY name
+    SELECT source, name, digest, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY name
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 65536 AS part FROM files)
-  SELECT source, part::INTEGER AS part, count(*) AS n_files, sum(size)::BIGINT AS raw_bytes, TRUE AS zipped
-  FROM placed GROUP BY source, part""")
+  SELECT source, part::INTEGER AS part, count(*) OVER p AS n_files, (sum(size) OVER p)::BIGINT AS raw_bytes, name, digest
+  FROM placed WINDOW p AS (PARTITION BY source, part)""")
 def bundle_groups(spark, d):
     files = table(spark, d, "documents").select(
         "source", F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("."), F.col("lang")).alias("name"),
         F.encode("text", "UTF-8").alias("content"))
     bundles = sinks.bundle_groups(files, "source", max_bytes=65536)
-    return bundles.select("source", "part", "n_files", "raw_bytes",
-                          (F.octet_length("zip") > 0).alias("zipped"))
+    return bundles.mapInPandas(unzip, "source string, part int, n_files bigint, raw_bytes bigint, name string, digest string")
 
 
 @query("pending_uploads", with_sql(OBJECTS, DONE, select="""

@@ -111,7 +111,3 @@ def search_url(base: str, phrase: Column, page: Column | None = None,
 def folder_token(phrase: Column) -> Column:
     """A search phrase as a folder name: trimmed, blanks to ``_``."""
     return F.replace(F.trim(phrase), F.lit(" "), F.lit("_"))
-
-
-def origin_of(url: Column) -> Column:
-    return F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)", 1)

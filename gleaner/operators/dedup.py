@@ -21,13 +21,6 @@ def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return best.select(*[F.col(k) if k in keys else F.col("_first")[k].alias(k) for k in df.columns])
 
 
-def first_seen_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """As :func:`first_seen`, for rows that hold types without an order (maps)."""
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
-    return best.select(*[F.col(k) if k in keys else F.col("_first")[k].alias(k) for k in df.columns])
-
-
 def dedup_seeds(df: DataFrame, term: Column, position: Column) -> DataFrame:
     """One row per trimmed search term, at its first position."""
     return df.groupBy(F.trim(term).alias("term")).agg(F.min(position).alias("position"))

@@ -25,6 +25,7 @@ RECOMMENDED_CONF = {
 }
 
 _local_base: str | None = None
+_handed_out: list[str] = []
 
 
 def build_session(app: str = "gleaner", master: str | None = None,
@@ -63,7 +64,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/gleaner/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/gleaner/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def release(spark: SparkSession, name: str = "") -> None:
+    """Remove the folders that this process was given (those of ``name``, if named): at the end of a job."""
+    for path in [p for p in _handed_out if p.rsplit("/", 1)[1].startswith(name)]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        _handed_out.remove(path)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -35,10 +35,6 @@ def write_catalog_csv(df: DataFrame, path: str, none_columns: Sequence[str] = ("
     named.write.mode("overwrite").csv(path, header=False, escape='"')
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
-
-
 def json_arrays(df: DataFrame, order: Sequence[str], item: Column, *, size: int = 10_000) -> DataFrame:
     """The ordered items as JSON arrays of at most ``size`` elements: ``chunk, value``."""
     lists = numbered_lists(df, [], order, item, size=size)

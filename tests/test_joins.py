@@ -95,8 +95,6 @@ def test_dedup(spark):
                                "term string, url string, pos int, alt string")
     assert sorted(map(tuple, dedup.first_seen(df, ["term", "url"], ["pos"]).collect())) == [
         ("t", "u", 1, None), ("t", "v", 3, "only")]
-    assert sorted(map(tuple, dedup.first_seen_by(df, ["term", "url"], ["pos"]).collect())) == [
-        ("t", "u", 1, None), ("t", "v", 3, "only")]
     seeds = spark.createDataFrame([(" a ", 0), ("b", 1), ("a", 2)], "term string, pos int")
     assert sorted(map(tuple, dedup.dedup_seeds(seeds, F.col("term"), F.col("pos")).collect())) == [("a", 0), ("b", 1)]
     assert [tuple(r) for r in dedup.key_collisions(df, ["url"]).collect()] == [("u", 2)]

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions.blobs import decode_blob
+from gleaner import session
 from gleaner.session import shared_dir, stage
 from gleaner.sources import blobs, listings, manifests, sinks, tables
 
@@ -110,10 +111,8 @@ def test_json_array_files_are_arrays(spark, tmp_path):
     assert [len(a) for a in arrays] == [10, 10, 5] and sum(arrays, []) == [f"u{i}" for i in range(25)]
 
 
-def test_json_lines_and_keyed_layout(spark, tmp_path):
+def test_keyed_layout(spark, tmp_path):
     df = spark.createDataFrame([("g1", 1), ("g1", 2), ("g2", 3)], "grp string, n int")
-    sinks.write_json_lines(df, str(tmp_path / "lines"))
-    assert spark.read.json(str(tmp_path / "lines")).count() == 3
     sinks.write_keyed(df.coalesce(1), str(tmp_path / "keyed"), "grp", max_records=1)
     assert sorted(p.name for p in (tmp_path / "keyed").glob("grp=*")) == ["grp=g1", "grp=g2"]
     assert len(list((tmp_path / "keyed" / "grp=g1").glob("*.parquet"))) == 2
@@ -160,11 +159,20 @@ def test_decode(spark, tmp_path):
 
 
 def test_shared_dir_and_stage(spark):
+    assert listings._place("file:/tmp")[1] == listings._place("/tmp/")[1] == "/tmp"
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = stage(spark.range(5).withColumn("x", F.col("id") * 2))
     assert df.count() == 5 and df.inputFiles()[0].split("file:")[-1].lstrip("/").startswith(shared_dir(spark).lstrip("/"))
 
 
+def test_release_removes_what_was_staged(spark):
+    path = stage(spark.range(3), "short-lived").inputFiles()[0].rsplit("/", 1)[0]
+    kept = session.fresh_dir(spark, "kept")
+    assert session.path_exists(spark, path)
+    session.release(spark, "short-lived")
+    assert not session.path_exists(spark, path) and kept in session._handed_out
+
+
 def test_cluster_needs_shared_dir(monkeypatch):
     class Conf:
         def get(self, *_):
