@@ -214,15 +214,14 @@ def extract_linked_images(pages: DataFrame, wanted_class: str, base: Column, htm
 
 def linked_images(html: Column, wanted_class: str, base: Column) -> Column:
     """``media_url, alt`` of the first image inside each anchor of a class, as an array in the page's own row."""
-    def first(anchor: Column) -> Column:
-        tokens = attribute_tokens(F.try_element_at(find_elements(anchor, _opening("img")), F.lit(1)))
-        source = attribute(tokens, "src")
-        return F.struct(F.when(source.isNotNull(), resolve_url(base, source)).alias("media_url"),
-                        attribute(tokens, "alt").alias("alt"))
-
     anchors = F.filter(find_elements(html, _opening("a") + _ANCHOR_BODY), lambda a: class_matches(
         attribute(attribute_tokens(_opening_of(a)), "class"), wanted_class))
-    return F.filter(F.transform(anchors, first), lambda i: i["media_url"].isNotNull())
+    # Step by step, so that no step is computed again where its result is used twice.
+    images = F.transform(anchors, lambda a: F.try_element_at(find_elements(a, _opening("img")), F.lit(1)))
+    tokens = F.transform(images, attribute_tokens)
+    found = F.transform(tokens, lambda t: F.struct(attribute(t, "src").alias("src"), attribute(t, "alt").alias("alt")))
+    return F.transform(F.filter(found, lambda i: i["src"].isNotNull()), lambda i: F.struct(
+        resolve_url(base, i["src"]).alias("media_url"), i["alt"].alias("alt")))
 
 
 def image_sources(html: Column) -> Column:
