@@ -53,7 +53,7 @@ def prepare(rows: list[tuple[int, bytes]], docs: DataFrame) -> Items:
     Of an item's n-grams, those held by no more documents than its median
     n-gram are its seeds: the rarer half, however often the item was copied.
     """
-    hashes = tokens([t for _, t in rows])
+    hashes = list(tokens([t for _, t in rows]))
     rows, hashes = zip(*[(r, h) for r, h in zip(rows, hashes) if len(h) >= N]) or ((), ())
     wanted = np.unique(np.concatenate([np.concatenate((h, _grams(h))) for h in hashes]))
     counted = (docs.select("text").mapInArrow(_count(wanted), "key bigint, docs bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,50 +77,50 @@ def pieces(text: bytes):
         at = cut
 
 
-def tokens(texts: list[bytes]) -> list[np.ndarray]:
+Words = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def tokens(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Per text: hashes of its runs of letters and digits, A-Z lower-cased."""
-    return [h for h, _, _ in words(texts, _mark)]
+    return (h for h, _, _ in words(texts, _mark))
 
 
-def words(texts: list[bytes], split=_blank) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def words(texts: list[bytes], split=_blank) -> Words:
     """Per text: hash, first byte and end byte of each word ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
     return over(texts, lambda buf: _words_of(buf, split))
 
 
-def over(texts: list[bytes], run) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def over(texts: list[bytes], run) -> Words:
     """Per text what ``run(bytes)`` gives: values of words, first bytes, end bytes.
 
-    Short texts are joined by a space and long ones cut at white space, so ``run`` gets about ``CHUNK`` bytes.
+    Short texts are joined by a space and long ones cut at white space, so
+    ``run`` gets about ``CHUNK`` bytes and no more than that is held.
     """
-    out: list = [None] * len(texts)
-    group: list[int] = []
+    group: list[bytes] = []
     size = 0
 
     def flush():
-        if not group:
-            return
-        buf = np.frombuffer(b" ".join(texts[i] for i in group), dtype=np.uint8)
-        first = np.cumsum([0] + [len(texts[i]) + 1 for i in group])
-        h, s, e = run(buf)
-        cuts = np.searchsorted(s, first)
-        for k, i in enumerate(group):
-            part = slice(cuts[k], cuts[k + 1])
-            out[i] = (h[part], s[part] - first[k], e[part] - first[k])
-        group.clear()
-
-    for i, text in enumerate(texts):
-        if len(text) > CHUNK:
-            parts = [(at, run(np.frombuffer(x, dtype=np.uint8))) for at, x in pieces(text)]
-            out[i] = (np.concatenate([p[0] for _, p in parts]), np.concatenate([p[1] + at for at, p in parts]),
-                      np.concatenate([p[2] + at for at, p in parts]))
-            continue
+        if group:
+            first = np.cumsum([0] + [len(x) + 1 for x in group])
+            h, s, e = run(np.frombuffer(b" ".join(group), dtype=np.uint8))
+            cuts = np.searchsorted(s, first)
+            for k in range(len(group)):
+                part = slice(cuts[k], cuts[k + 1])
+                yield h[part], s[part] - first[k], e[part] - first[k]
+            group.clear()
+
+    for text in texts:
         if size + len(text) > CHUNK:
-            flush()
+            yield from flush()
             size = 0
-        group.append(i)
-        size += len(text) + 1
-    flush()
-    return out
+        if len(text) > CHUNK:
+            parts = [(at, run(np.frombuffer(x, dtype=np.uint8))) for at, x in pieces(text)]
+            yield (np.concatenate([p[0] for _, p in parts]), np.concatenate([p[1] + at for at, p in parts]),
+                   np.concatenate([p[2] + at for at, p in parts]))
+        else:
+            group.append(text)
+            size += len(text) + 1
+    yield from flush()
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:

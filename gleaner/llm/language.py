@@ -152,7 +152,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang"
 
 def _label(model: Model, penalty: float):
     def group(texts, letters):
-        found = word_scores(model, texts)
+        found = list(word_scores(model, texts))
         for (_, start, end), labels, has in zip(found, viterbi([f[0] for f in found], penalty), letters):
             if not has or not len(labels):
                 yield "und", 0.0, []

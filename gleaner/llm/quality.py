@@ -60,8 +60,8 @@ def fit(grades: np.ndarray, rows: list[np.ndarray], grade_count: int) -> Ordinal
     only learn the fitted texts by heart.
     """
     size = WIDTH + SHAPES * STEPS
-    idx = np.concatenate([np.empty(0, np.int64), *rows])
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    idx = np.concatenate([np.empty(0, np.int32), *rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     held = np.bincount(idx, minlength=size)
     centred = (grades - grades.mean()) / max(grades.std(), 1e-9)
     z = np.bincount(idx, weights=centred[row], minlength=size) / np.sqrt(np.maximum(held * (1 - held / len(rows)), 1e-9))
@@ -110,7 +110,7 @@ def train(docs: DataFrame, grades: DataFrame, grade_count: int, max_rows: int =
              .select("grade", "text").mapInArrow(_featurise, "grade int, idx binary").toArrow())
     if not found.num_rows:
         return None
-    rows = [np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in found["idx"].to_pylist()]
+    rows = [np.frombuffer(x, dtype=np.int32) for x in found["idx"].to_pylist()]
     return fit(found["grade"].to_numpy().astype(np.int64), rows, grade_count)
 
 
