@@ -10,14 +10,14 @@ from gleaner.llm.components import components
 from gleaner.llm.hashing import Minima, mix, shingles, texts_of, words
 from gleaner.session import stage
 
-BANDS, ROWS = 20, 6       # a pair at the threshold of 0.85 shares a band but for 8 in 100,000
+MINIMA = 120
+MISSED = 1e-4             # share of the pairs at the threshold that may share no band
 BLOCK = 500               # members of a bucket that are compared in one task
-SLACK = 0.13              # four standard deviations of the estimate from BANDS * ROWS minima
 
 
 def _sketches(n_words: int):
     def run(batches):
-        minima = Minima(BANDS * ROWS)
+        minima = Minima(MINIMA)
         for batch in batches:
             sizes, keys, sigs = [], [], []
             for h, _, _ in words(texts_of(batch.column(1))):
@@ -49,8 +49,8 @@ def _alike(percent: int):
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32)
-                    .reshape(-1, BANDS * ROWS) for c in ("x", "y"))
-            keep = (x == y).mean(axis=1) >= percent / 100 - SLACK
+                    .reshape(-1, MINIMA) for c in ("x", "y"))
+            keep = (x == y).mean(axis=1) >= least_alike(percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
     return run
 
@@ -69,8 +69,22 @@ def _confirm(percent: int):
     return run
 
 
+def rows_per_band(percent: int) -> int:
+    """The longest bands that miss at most ``MISSED`` of the pairs at the threshold."""
+    return max((r for r in range(1, MINIMA + 1) if MINIMA % r == 0
+                and (1 - (percent / 100) ** r) ** (MINIMA // r) <= MISSED), default=1)
+
+
+def least_alike(percent: int) -> float:
+    """Share of equal minima, four standard deviations below the threshold."""
+    share = percent / 100
+    return share - 4 * (share * (1 - share) / MINIMA) ** 0.5
+
+
 def _partners(percent: int):
     """Per member of a block: those of other components that look alike and share no earlier band with it."""
+    length = rows_per_band(percent)
+
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
@@ -78,15 +92,15 @@ def _partners(percent: int):
                                                 batch.column("members")):
                 m = pa.RecordBatch.from_struct_array(members.values)
                 ids, comp, n, blk = (m.column(c).to_numpy() for c in ("id", "comp", "n", "blk"))
-                sig = np.frombuffer(b"".join(m.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+                sig = np.frombuffer(b"".join(m.column("sig").to_pylist()), np.uint32).reshape(-1, MINIMA)
                 named = set()
                 found = {}
                 for k in range(len(ids)):
                     other = np.flatnonzero((comp != comp[k]) & (ids > ids[k]) & ((blk != blk[k]) | (i == j))
                                            & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k])))
                     same = sig[other] == sig[k]
-                    close = same.mean(axis=1) >= percent / 100 - SLACK
-                    first = same[close].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                    close = same.mean(axis=1) >= least_alike(percent)
+                    first = same[close].reshape(-1, MINIMA // length, length).all(axis=2).argmax(axis=1)
                     near = ids[other[close][first == band]]
                     if len(near):
                         found[ids[k]] = near
@@ -150,8 +164,8 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80) -> Dat
     classes = stage(sketches.where("n > 0 AND id IS NOT NULL").groupBy("k1", "k2")
                     .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")),
                     "near-classes")
-    width = 4 * ROWS
-    keys = [F.xxhash64(F.substring("sig", 1 + width * b, width)) for b in range(BANDS)]
+    width = 4 * rows_per_band(percent)
+    keys = [F.xxhash64(F.substring("sig", 1 + at, width)) for at in range(0, 4 * MINIMA, width)]
     banded = classes.select("id", F.posexplode(F.array(*keys)).alias("band", "key"))
     buckets = (banded.groupBy("band", "key").agg(F.min("id").alias("lead"), F.max("id").alias("last"),
                                                  F.count("*").alias("size")).where("lead < last").drop("last"))
