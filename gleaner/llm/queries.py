@@ -77,17 +77,18 @@ def op8_best_fit_packing(spark, sf_dir):
 
 @_query()
 def op3_ordinal_quality(spark, sf_dir):
-    """Expected grade, tail probability and selection of every document."""
-    return quality.judge(_table(spark, sf_dir, "documents"), quality.grades_of(_table(spark, sf_dir, "labels")))
+    """Expected grade and tail probability of every document, and whether it is selected."""
+    found = quality.judge(_table(spark, sf_dir, "documents"), quality.grades_of(_table(spark, sf_dir, "labels")))
+    return found.withColumnRenamed("selected", "kept")
 
 
 @_query()
 def op5_benchmark_decontamination(spark, sf_dir):
-    """Every document: the benchmark item it holds a copy of, the score, and the number of such items."""
+    """Every document: the benchmark item it holds a copy of, the score, and the number of such items; clean ones are kept."""
     docs = _table(spark, sf_dir, "documents")
     found = contamination.contaminated(docs, _table(spark, sf_dir, "benchmark"))
     return (docs.select("doc_id").join(found, "doc_id", "left")
-            .select("doc_id", F.col("score").isNotNull().alias("contaminated"), "item_id", "score",
+            .select("doc_id", F.col("score").isNull().alias("kept"), "item_id", "score",
                     F.coalesce("items", F.lit(0)).alias("items")))
 
 
