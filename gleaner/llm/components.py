@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.session import stage
 
 
+def _dealt(least: DataFrame) -> DataFrame:
+    """The same rows, with an exchange of their own in a join: only then can Spark split the edges of a hub.
+
+    The key is negated twice, so that Spark does not take the rows for dealt by it already.
+    """
+    return least.select(F.bitwise_not(F.bitwise_not("a")).alias("a"), "m")
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``node, component`` of every node of ``links(a, b)``; the component is its smallest node.
 
@@ -20,10 +28,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     last = None
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = _dealt(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         edges = stage(large, name)
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
+        least = _dealt(edges.groupBy("a").agg(F.min("b").alias("m")))
         small = (edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).distinct())
         edges = stage(small, name)
