@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -13,7 +13,6 @@ from gleaner.llm.hashing import folded, ngrams, tokens
 N = 3                     # words of a seed
 BLOCK_BYTES = 4 << 20     # benchmark text searched in one pass over the documents
 LEAST = 0.5               # share of an item's information that an alignment must recover
-SLACK = 12                # words by which a passage may be shifted against the item
 
 
 def _grams(h: np.ndarray) -> np.ndarray:
@@ -33,12 +32,12 @@ class Items:
 
 
 def _count(wanted: np.ndarray):
-    """Documents that hold each wanted word or n-gram, summed within a batch."""
+    """Documents that hold each wanted word, summed within a batch."""
     def run(batches):
         for batch in batches:
             found = [np.zeros(0, dtype=np.int64)]
             for h in tokens(folded(batch.column(0))):
-                x = np.unique(np.concatenate((h, _grams(h))))
+                x = np.unique(h)
                 at = np.searchsorted(wanted, x)
                 at[at == len(wanted)] = 0
                 found.append(at[wanted[at] == x])
@@ -48,29 +47,23 @@ def _count(wanted: np.ndarray):
 
 
 def prepare(rows: list[tuple[int, bytes]], docs: DataFrame) -> Items:
-    """Seeds and weights of a block of items from counts over all documents.
+    """Seeds and weights of a block of items; weights from counts over all documents.
 
-    Of an item's n-grams, those held by no more documents than its median
-    n-gram are its seeds: the rarer half, however often the item was copied.
+    Every n-gram of an item is a seed, however many documents hold it: which of
+    them an edited copy keeps is not known beforehand.
     """
     hashes = list(tokens([t for _, t in rows]))
     rows, hashes = zip(*[(r, h) for r, h in zip(rows, hashes) if len(h) >= N]) or ((), ())
-    wanted = np.unique(np.concatenate([np.concatenate((h, _grams(h))) for h in hashes]))
+    wanted = np.unique(np.concatenate(hashes))
     counted = (docs.select("text").mapInArrow(_count(wanted), "key bigint, docs bigint")
                .groupBy("key").agg(F.sum("docs").alias("docs")).toArrow())
     held = np.zeros(len(wanted), dtype=np.int64)
     held[counted["key"].to_numpy()] = counted["docs"].to_numpy()
-    of = lambda x: held[np.searchsorted(wanted, x)]
     most = max(int(held.max()), 1) + 1
-    weights = [np.log2(most / (of(h) + 1)) + 1 for h in hashes]
-    seeds, item, at = [], [], []
-    for k, h in enumerate(hashes):
-        g = _grams(h)
-        places = np.flatnonzero(of(g) <= np.median(of(g)))
-        seeds.append(g[places])
-        item.append(np.full(len(places), k))
-        at.append(places)
-    seeds, item, at = (np.concatenate(x) for x in (seeds, item, at))
+    weights = [np.log2(most / (held[np.searchsorted(wanted, h)] + 1)) + 1 for h in hashes]
+    seeds = np.concatenate([_grams(h) for h in hashes])
+    item = np.repeat(np.arange(len(hashes)), [len(h) - N + 1 for h in hashes])
+    at = np.concatenate([np.arange(len(h) - N + 1) for h in hashes])
     order = np.argsort(seeds, kind="stable")
     return Items([r[0] for r in rows], list(hashes), weights, seeds[order], item[order], at[order])
 
@@ -91,8 +84,14 @@ def align(item: np.ndarray, weight: np.ndarray, passage: np.ndarray) -> tuple[fl
 
 
 def _finder(items: Items, least: float):
-    """``item number, score, end`` of each item that a text holds a copy of."""
+    """``item number, score, end`` of each item that a text holds a copy of.
+
+    A word that is not matched costs half the mean weight, so an alignment that
+    recovers ``least`` of the total skips at most ``2 * (1 - least)`` words per word of
+    the item; a passage reaches that far from its seed to both sides.
+    """
     totals = [float(w.sum()) for w in items.weights]
+    slack = [int(2 * max(1 - least, 0) * len(h)) + 1 for h in items.words]
 
     def hits(h: np.ndarray) -> dict[int, list[int]]:
         """First words of passages, by the diagonals of seeds, of each item that a text shares a seed with."""
@@ -112,11 +111,12 @@ def _finder(items: Items, least: float):
     def find(h: np.ndarray):
         for k, starts in hits(h).items():
             word, weight, at, best = items.words[k], items.weights[k], 0, (0.0, 0)
+            near = slack[k]
             while at < len(starts):                 # windows of neighbouring diagonals become one
-                low = max(starts[at] - SLACK, 0)
-                high = starts[at] + len(word) + SLACK
-                while at < len(starts) and starts[at] - SLACK <= high:
-                    high = starts[at] + len(word) + SLACK
+                low = max(starts[at] - near, 0)
+                high = starts[at] + len(word) + near
+                while at < len(starts) and starts[at] - near <= high:
+                    high = starts[at] + len(word) + near
                     at += 1
                 passage = h[low:high]
                 if weight[np.isin(word, passage)].sum() >= least * totals[k]:

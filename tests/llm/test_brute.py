@@ -342,6 +342,37 @@ def test_leaks_survive_edits(spark, small):
     assert contamination.contaminated(spark.createDataFrame(shuffled, "doc_id long, text string"), bench).count() == 0
 
 
+def test_leaks_of_few_kept_seeds(spark):
+    """Copies that keep 20 to 45 % of an item's 3-grams, alone or beside an exact one, against alignment with whole texts."""
+    rng, docs, items = random.Random(11), [], []
+    for n in (45, 60, 75, 120, 200):
+        for every, edit in ((3, "insert"), (4, "replace"), (5, "replace")):
+            for beside in (False, True):
+                k = len(items)
+                w = [f"i{k}w{j}" for j in range(n)]
+                c = list(w)
+                for at in range(n - every, 0, -every):
+                    c[at:at + (edit == "replace")] = [f"filler{rng.randrange(10**6)}"]
+                grams = lambda x: {tuple(x[j:j + 3]) for j in range(len(x) - 2)}
+                assert 0.2 <= len(grams(c) & grams(w)) / (n - 2) <= 0.45
+                items.append((k, " ".join(w)))
+                docs.append((len(docs), " ".join([f"own{rng.randrange(10**6)}" for _ in range(80)] + c + ["end"])))
+                if beside:
+                    docs.append((len(docs), f"before {' '.join(w)} after"))
+        docs.append((len(docs), " ".join(w[:n // 4] + [f"other{j}" for j in range(60)] + w[3 * n // 4:])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    ready = contamination.prepare([(k, t.encode()) for k, t in items], df)
+    want = {}
+    for doc, h in zip((d for d, _ in docs), hashing.tokens([t.encode() for _, t in docs])):
+        for item, word, weight in zip(ready.ids, ready.words, ready.weights):
+            score = contamination.align(word, weight, h)[0] / weight.sum()
+            if score >= contamination.LEAST:
+                want[doc, item] = round(score, 9)
+    got = {(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in contamination.leaks(df, bench).collect()}
+    assert len(want) >= 45 and got == want
+
+
 def test_alignment():
     item, weight = np.arange(10, 20).astype(np.uint64), np.ones(10)
     assert contamination.align(item, weight, np.array([1, 2, *range(10, 20), 3], np.uint64)) == (10.0, 12)
