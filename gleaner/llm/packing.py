@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 from collections.abc import Mapping
 
@@ -18,26 +19,40 @@ CAPACITY = 1024
 _encoders: dict[str, object] = {}
 
 
+def _added(path: str) -> list[dict]:
+    """Added tokens of the ``.json`` file beside a ``.tiktoken`` one; rank files do not list them."""
+    try:
+        with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+            return json.load(f)["added_tokens"]
+    except FileNotFoundError:
+        return []
+
+
 def encoder(path: str):
-    """Ids of ordinary text by the vocabulary at ``path`` (``.tiktoken`` ranks, or a ``.json`` of ``tokenizers``).
+    """Ids of text by the vocabulary at ``path`` (``.tiktoken`` ranks, or a ``.json`` of ``tokenizers``).
 
-    Both files of a byte-level vocabulary give the same ids; ranks are four times as fast.
+    Both files of a byte-level vocabulary give the same ids, those of
+    ``tokenizers`` as it is loaded: an added token that a text holds literally is
+    that token. Ranks are four times as fast.
     """
     if path not in _encoders:
+        added = [] if path.endswith(".json") else _added(path)
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             _encoders[path] = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        elif any(t[x] for t in added for x in ("single_word", "lstrip", "rstrip", "normalized")):
+            _encoders[path] = encoder(path.removesuffix(".tiktoken") + ".json")
         else:
             import public_tokenizers
             import tiktoken
 
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            _encoders[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                                special_tokens={}).encode_ordinary
+            ready = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                      special_tokens={t["content"]: t["id"] for t in added})
+            _encoders[path] = lambda text: ready.encode(text, allowed_special="all")
     return _encoders[path]
 
 

@@ -229,6 +229,20 @@ def test_tokens_are_those_of_the_json_vocabulary():
     assert list(fast("<|endoftext|> x")) == list(slow("<|endoftext|> x"))
 
 
+def test_tokens_are_those_of_an_unchanged_tokenizer():
+    """Texts that hold an added token literally too."""
+    from tokenizers import Tokenizer
+
+    rng, plain = random.Random(5), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    fast, slow = (packing.encoder(public_tokenizers.path(f"byte_bpe_50k.{x}")) for x in ("tiktoken", "json"))
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "\n\n", "a", "it's", "12", "é", "漢", "🙂", "|>", "<"]
+    assert list(fast("a <|endoftext|> b")) == [64, 220, 50256, 275]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(20)))
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert list(fast(text)) == want and list(slow(text)) == want
+
+
 def test_packing_round_trip(spark, small, texts):
     rows = packing.pack(small, public_tokenizers.path("byte_bpe_50k.tiktoken"), 2).collect()
     encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
