@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 6 << 20         # text of the documents that are looked at together
 KEY_BYTES = 30 << 20          # text whose keys meet in one task
+MANY = 16                     # occurrences of a key in a block that are counted; fewer count as one less than this
 KEY_BITS = 47                 # of a key; with a flag it is sent as six bytes
 LAST = (1 << 63) - 1          # stands for a null id, after all others
 _U = np.uint64
@@ -37,15 +38,19 @@ def rows_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return ids[order], keys[order], [texts[i] for i in order]
 
 
-def repeated_keys(dealt: DataFrame, total: int, keys_of) -> DataFrame:
+def repeated_keys(dealt: DataFrame, total: int, keys_of, hot: int | None = None) -> DataFrame:
     """``block, keys``: the keys of each block that more than one row has, as packed integers of ``KEY_BITS``.
 
     ``keys_of(texts)`` yields ``text number, keys``. Keys that agree by
     accident cost a look, and nothing else, where the keys are used.
+
+    With ``hot``, a column ``hot`` has those of the keys that may occur more than
+    ``hot`` times in all texts, the same ones in every block.
     """
-    shards = 1 + total // KEY_BYTES
-    return (dealt.groupBy("block").applyInArrow(_send(shards, keys_of), "shard bigint, block bigint, keys binary")
-            .groupBy("shard").applyInArrow(_repeated, "block bigint, keys binary"))
+    shards, more = 1 + total // KEY_BYTES, hot is not None
+    return (dealt.groupBy("block").applyInArrow(_send(shards, keys_of, more), "shard bigint, block bigint, keys binary"
+                                                + ", many binary" * more)
+            .groupBy("shard").applyInArrow(_repeated(hot), "block bigint, keys binary" + ", hot binary" * more))
 
 
 def short(hashes: np.ndarray) -> np.ndarray:
@@ -63,9 +68,9 @@ def unpack(parts: list[bytes], lengths: list[int]) -> np.ndarray:
         x, 8 * n, codec="zstd", asbytes=True), np.int64)) for x, n in zip(parts, lengths)])
 
 
-def unpacked(table: pa.Table) -> np.ndarray:
+def unpacked(table: pa.Table, column: str = "keys") -> np.ndarray:
     """The keys of a block in order."""
-    return np.sort(np.concatenate([np.empty(0, _U)] + [np.frombuffer(x, _U) for x in table["keys"].to_pylist()]))
+    return np.sort(np.concatenate([np.empty(0, _U)] + [np.frombuffer(x, _U) for x in table[column].to_pylist()]))
 
 
 def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -77,41 +82,63 @@ def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.flatnonzero(known[at] == keys)
 
 
-def _send(shards: int, keys_of):
-    """The different keys of a block by shard; the lowest bit says that two of its documents have one."""
+def _send(shards: int, keys_of, more: bool):
+    """The different keys of a block by shard; the lowest bit says that two of its documents have one.
+
+    ``many`` has place and number of those that occur ``MANY`` times or more.
+    """
     def run(key, table):
         _, _, texts = rows_of(table)
-        found = [(i, np.unique(short(k))) for i, k in keys_of(texts)]
+        found = [(i, *np.unique(short(k), return_counts=True)) for i, k in keys_of(texts)]
         if not found:
             return pa.table({"shard": pa.array([], pa.int64()), "block": pa.array([], pa.int64()),
-                             "keys": pa.array([], pa.binary())})
-        every, docs = np.unique(np.concatenate([k for _, k in found]), return_counts=True)
+                             "keys": pa.array([], pa.binary())} | ({"many": pa.array([], pa.binary())} if more else {}))
+        values = np.concatenate([k for _, k, _ in found])
+        every, docs = np.unique(values, return_counts=True)
         shard = (every >> _U(20)) % _U(shards)
         order = np.argsort(shard, kind="stable")
         packed, shard = (every[order] << _U(1)) | (docs[order] > 1), shard[order]
         packed = packed.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         names, at = np.unique(shard, return_index=True)
-        return pa.table({"shard": pa.array(names.astype(np.int64)),
-                         "block": pa.array(np.full(len(names), key[0].as_py())),
-                         "keys": pa.array([x.tobytes() for x in np.split(packed, at[1:])], pa.binary())})
+        out = {"shard": pa.array(names.astype(np.int64)), "block": pa.array(np.full(len(names), key[0].as_py())),
+               "keys": pa.array([x.tobytes() for x in np.split(packed, at[1:])], pa.binary())}
+        if more:
+            number = np.bincount(np.searchsorted(every, values), np.concatenate([n for _, _, n in found]))[order]
+            many = [np.flatnonzero(x >= MANY) for x in np.split(number, at[1:])]
+            out["many"] = pa.array([np.stack((m, x[m])).astype("<u4").tobytes()
+                                    for m, x in zip(many, np.split(number, at[1:]))], pa.binary())
+        return pa.table(out)
     return run
 
 
-def _repeated(key, table):
+def _repeated(hot: int | None):
     """Keys of a shard that more than one row has, sent back to the blocks that have them."""
-    blocks = table["block"].to_numpy()
-    parts = [np.frombuffer(x, dtype=np.uint8).reshape(-1, 6) for x in table["keys"].to_pylist()]
-    block = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    keys = np.zeros((len(block), 8), dtype=np.uint8)
-    keys[:, :6] = np.concatenate(parts)
-    keys = keys.view("<u8").reshape(-1)
-    order = np.argsort(keys >> _U(1), kind="stable")
-    value = keys[order] >> _U(1)
-    twin = value[1:] == value[:-1]
-    again = (keys[order] & _U(1)).astype(bool)
-    again[1:] |= twin
-    again[:-1] |= twin
-    keep = np.sort(order[again])
-    names, at = np.unique(block[keep], return_index=True)
-    return pa.table({"block": pa.array(blocks[names]), "keys": pa.array(
-        [x.tobytes() for x in np.split(keys[keep] >> _U(1), at[1:])][:len(names)], pa.binary())})
+    def run(key, table):
+        blocks = table["block"].to_numpy()
+        parts = [np.frombuffer(x, dtype=np.uint8).reshape(-1, 6) for x in table["keys"].to_pylist()]
+        block = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        keys = np.zeros((len(block), 8), dtype=np.uint8)
+        keys[:, :6] = np.concatenate(parts)
+        keys = keys.view("<u8").reshape(-1)
+        order = np.argsort(keys >> _U(1), kind="stable")
+        value = keys[order] >> _U(1)
+        twin = value[1:] == value[:-1]
+        again = (keys[order] & _U(1)).astype(bool)
+        again[1:] |= twin
+        again[:-1] |= twin
+        keep = np.sort(order[again])
+        names, at = np.unique(block[keep], return_index=True)
+        back = lambda rows: pa.array([x.tobytes() for x in rows][:len(names)], pa.binary())
+        out = {"block": pa.array(blocks[names]), "keys": back(np.split(keys[keep] >> _U(1), at[1:]))}
+        if hot is not None:
+            number, first = np.full(len(block), MANY - 1, dtype=np.int64), 0
+            for p, x in zip(parts, table["many"].to_pylist()):
+                place, n = np.frombuffer(x, "<u4").reshape(2, -1)
+                number[first + place.astype(np.int64)] = n
+                first += len(p)
+            new = np.flatnonzero(np.concatenate(([True], ~twin)))
+            lots = np.empty(len(block), dtype=bool)
+            lots[order] = np.repeat(np.add.reduceat(number[order], new) > hot, np.diff(new, append=len(block)))
+            out["hot"] = back([(keys[own] >> _U(1))[lots[own]] for own in np.split(keep, at[1:])])
+        return pa.table(out)
+    return run

@@ -201,6 +201,38 @@ def test_substring_parts(spark, small, texts, monkeypatch):
     assert key(substrings.repeated_spans(small)) == want
 
 
+def test_strings_of_a_hot_anchor_are_spread(spark, monkeypatch):
+    """A phrase with other neighbours in every text: its contexts go to all shards, with the rows of brute force."""
+    import hashlib
+    rng, phrase = random.Random(9), "the same phrase of some sixty bytes that stands in every text there is"
+    fresh = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    sides = [fresh(30) for _ in range(200)]
+    texts = {i: fresh(60) + rng.choice(sides) + phrase + rng.choice(sides) + fresh(60) for i in range(400)}
+    raw = {i: t.encode() for i, t in texts.items()}
+    found = list(substrings._anchored(list(raw.values())))
+    keys = np.concatenate([substrings.short(k) for _, _, _, k in found])
+    known, n = np.unique(keys, return_counts=True)
+    table = pa.table({"id": pa.array(raw, pa.int64()), "th": pa.array(raw, pa.int64()), "text": pa.array(raw.values())})
+    pack = lambda x: pa.array([x.astype("<u8").tobytes()], pa.binary())
+    out = substrings._contexts(20)((pa.scalar(0),), table, pa.table({"keys": pack(known[n > 1]), "hot": pack(known[n > 100])}))
+    per_shard = [len(x) // 2 for kind, x in zip(out["kind"].to_pylist(), out["b"].to_pylist()) if kind == 0]
+    assert sum(n > 100) >= 3 and max(per_shard) < 1.5 * sum(per_shard) / 20
+
+    first, want = {}, {}
+    for i in sorted(raw):
+        for k in range(len(raw[i]) - 49):
+            first.setdefault(raw[i][k:k + 50], i)
+    for i, t in raw.items():
+        gone = np.zeros(len(t), dtype=bool)
+        for k in range(len(t) - 49):
+            if first[t[k:k + 50]] < i:
+                gone[k:k + 50] = True
+        want[i] = hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()
+    monkeypatch.setattr(substrings, "HOT", 20)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["kept_sha256"] for r in substrings.repeated_spans(df).collect()} == want
+
+
 @given(st.dictionaries(st.integers(1, 60), st.integers(0, 40)), st.integers(60, 64))
 @settings(max_examples=200, deadline=None)
 def test_packing_plan(counts, capacity):
