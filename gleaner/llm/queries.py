@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import contamination, grace, language, lines, near, packing, passages, quality, substrings, warc
+from gleaner.llm import clusters, contamination, grace, language, lines, near, packing, passages, quality, substrings, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,32 @@ def op9_compact_windows(spark, sf_dir):
     found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_dup_words", F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans"),
                         F.to_json("spans").alias("spans"))
+
+
+_NEAREST = """
+a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, min({{'d': d, 'k': k}}) AS m FROM (
+    SELECT r, vec_id, v, k, list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS d
+    FROM kept, c{i}) GROUP BY r, vec_id, v)"""
+_MOVED = """
+c{j} AS MATERIALIZED (
+  SELECT c{i}.k, coalesce(n.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+      SELECT m.k AS k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{i}, unnest(range(1, 65)) AS t(i) GROUP BY ALL)
+    GROUP BY k) AS n ON n.k = c{i}.k)"""
+
+
+@_query("""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS k, v AS c FROM kept QUALIFY k < 16),"""
+        + ",".join(_NEAREST.format(i=i) + "," + _MOVED.format(i=i, j=i + 1) for i in range(3)) + "," + _NEAREST.format(i=3)
+        + """
+SELECT vec_id, m.k::INTEGER AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia,
+  (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.k = m.k""")
+def op11_pca_clusters(spark, sf_dir):
+    """Sixteen centroids, three rounds; every vector with its cluster and squared distance."""
+    return clusters.centroid_clusters(_table(spark, sf_dir, "embeddings")).drop("n_verified")
