@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import clusters, contamination, grace, language, lines, near, packing, passages, quality, substrings, warc
+from gleaner.llm import clusters, contamination, fingerprints, grace, language, lines, near, packing, passages, quality, substrings, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -198,3 +198,9 @@ FROM a3 JOIN c3 ON c3.k = m.k""")
 def op11_pca_clusters(spark, sf_dir):
     """Sixteen centroids, three rounds; every vector with its cluster and squared distance."""
     return clusters.centroid_clusters(_table(spark, sf_dir, "embeddings")).drop("n_verified")
+
+
+@_query()
+def op13_edit_fingerprints(spark, sf_dir):
+    """Fingerprint of every whole text and of its edited text, and their likeness."""
+    return fingerprints.document_fingerprints(_table(spark, sf_dir, "documents"))
