@@ -6,7 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from gleaner.llm import clusters, contamination, fingerprints, grace, language, lines, near, packing, passages, quality, substrings, warc
+from gleaner.llm import (alignment, clusters, contamination, fingerprints, grace, language, lines, near, packing,
+                         passages, quality, substrings, warc)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -204,3 +205,10 @@ def op11_pca_clusters(spark, sf_dir):
 def op13_edit_fingerprints(spark, sf_dir):
     """Fingerprint of every whole text and of its edited text, and their likeness."""
     return fingerprints.document_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op12_tokenizer_alignment(spark, sf_dir):
+    """Groups and links between the tokens of two public tokenizers, with counts of linked ids over all documents."""
+    return alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
