@@ -6,6 +6,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from bisect import bisect_right
 from itertools import accumulate, chain
 from operator import itemgetter
@@ -19,12 +20,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleaner.session import stage
 
-BLOCK = 8_000_000        # characters whose links are counted together
+BLOCK = 4_000_000        # characters whose links are counted together
+SLICE = 500_000          # characters that are split at a time
 LONG = 100_000           # characters from which a document is cut into ranges
 RANGE = 50_000           # characters of a range
 REACH = 2_000            # characters in which a range's border has to have a cut on either side
 FAN = 16                 # neighbouring fragments that a task composes
-REMEMBERED = 300_000     # segments a task keeps
+REMEMBERED = 800_000     # segments and words a task keeps
 STOPS = "。．！？，、；：」』）】"   # candidates for a cut behind them
 
 
@@ -132,8 +134,18 @@ class Pair:
         self.number: dict[str, int] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.text: list[str] = []
-        self.pairs: list[list[int]] = []
-        self.counts: list[tuple[int, int, int, bool]] = []
+        self.pairs = array("q")
+        self.counts = array("q")
+
+    def links(self, segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Linked ids of segments, one after the other, and how many each has."""
+        starts, sizes = self.table()[segments, 4], self.table()[segments, 2]
+        place = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.array(self.pairs, dtype=np.int64)[place], sizes
+
+    def table(self) -> np.ndarray:
+        """Per segment tokens of A, of B, groups, whether it fits, and where its links start."""
+        return np.array(self.counts, dtype=np.int64).reshape(-1, 5)
 
     def ids(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B of each segment."""
@@ -168,19 +180,19 @@ class Pair:
         words[np.arange(len(a)) + before_b[group_a]] = self.spelled[a, 0 + close_a]
         words[np.arange(len(b)) + (at_a + 1)[group_b]] = self.spelled[b, 2 * close_b]
         words = words.tolist()
-        pairs = (a[at_a] << 32 | b[at_b]).tolist()
+        first = len(self.pairs)
+        self.pairs.frombytes((a[at_a] << 32 | b[at_b]).tobytes())
         edge = np.concatenate([[0], np.cumsum(n_a)])
         n_groups = np.diff(np.searchsorted(at_a, edge))
         at = linked = 0
         for s, x, y, g, ok in zip(segments, n_a.tolist(), n_b.tolist(), n_groups.tolist(), fits):
             self.number[s] = len(self.text)
             self.text.append("".join(words[at:at + x + y])[:-1])
-            self.pairs.append(pairs[linked:linked + g])
-            self.counts.append((x, y, g, ok))
+            self.counts.extend((x, y, g, ok, first + linked))
             at, linked = at + x + y, linked + g
 
     def numbers(self, segments: list[str]) -> list[int]:
-        """Number of each segment in ``text``, ``pairs`` and ``counts`` (tokens of A and of B, groups, whether it fits)."""
+        """Number of each segment in ``text`` and ``table()``."""
         new = sorted({s for s in segments if s not in self.number})
         if new:
             self.learn(new)
@@ -243,11 +255,12 @@ def _block(known: Pair, block: int, rows: list[tuple], key=None, part=None, ok=T
     """
     numbers = [r[-1] for r in rows]
     segments, place = np.unique(np.concatenate(numbers), return_inverse=True)
-    linked = [known.pairs[s] for s in segments.tolist()] + list(more)
-    place = np.concatenate([place, np.arange(len(segments), len(linked))])
-    sizes = np.array(list(map(len, linked)), dtype=np.int64)
-    times = np.bincount(place, minlength=len(linked)) if len(linked) else np.empty(0, np.int64)
-    pairs, at = np.unique(np.array(list(chain.from_iterable(linked)), dtype=np.int64), return_inverse=True)
+    linked, sizes = known.links(segments)
+    linked = np.concatenate([linked, np.array(list(chain.from_iterable(more)), dtype=np.int64)])
+    sizes = np.concatenate([sizes, np.array(list(map(len, more)), dtype=np.int64)])
+    place = np.concatenate([place, np.arange(len(segments), len(sizes))])
+    times = np.bincount(place, minlength=len(sizes)) if len(sizes) else np.empty(0, np.int64)
+    pairs, at = np.unique(linked, return_inverse=True)
     occurs = np.bincount(at, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
     lengths = np.array(list(map(len, numbers)), dtype=np.int32) + np.int32(len(more))
     # Per segment its pairs, per document its segments.
@@ -264,27 +277,41 @@ def _whole(paths: tuple[str, str]):
         known.forget()
         rows, held = [], 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = known.look(texts)
-            counts = np.array(known.counts, dtype=np.int64).reshape(-1, 4)
-            for doc_id, text, segments in zip(batch.column("doc_id").to_pylist(), texts, found):
-                n_a, n_b, n_groups, fits = counts[segments].sum(axis=0).tolist()
-                if fits == len(segments):
-                    groups = ";".join([known.text[s] for s in segments.tolist()])
-                    rows.append((doc_id, n_a, n_b, n_groups, hashlib.sha256(groups.encode()).hexdigest(), segments))
-                else:
-                    rows.append((doc_id, 0, 0, 0, "", segments[:0]))
-                held += len(text)
-            if held >= BLOCK:
-                yield _block(known, first + n, rows)
-                rows, held, n = [], 0, n + 1
-                if len(known.text) + len(known.words) > REMEMBERED:
-                    known.forget()
+            for ids, texts in _slices(batch):
+                found = known.look(texts)
+                table = known.table()
+                for doc_id, segments in zip(ids, found):
+                    n_a, n_b, n_groups, fits = table[segments, :4].sum(axis=0).tolist()
+                    if fits == len(segments):
+                        groups = ";".join([known.text[s] for s in segments.tolist()])
+                        rows.append((doc_id, n_a, n_b, n_groups, hashlib.sha256(groups.encode()).hexdigest(), segments))
+                    else:
+                        rows.append((doc_id, 0, 0, 0, "", segments[:0]))
+                held += sum(map(len, texts))
+                if held >= BLOCK:
+                    yield _block(known, first + n, rows)
+                    rows, held, n = [], 0, n + 1
+                    if len(known.text) + len(known.words) > REMEMBERED:
+                        known.forget()
         if rows:
             yield _block(known, first + n, rows)
     return run
 
 
+def _slices(batch: pa.RecordBatch):
+    """Ids and texts of a batch, about ``SLICE`` characters at a time."""
+    ids, texts, held = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+        ids.append(doc_id.as_py())
+        texts.append(text.as_py())
+        held += len(texts[-1])
+        if held >= SLICE:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def ranges(cuts: re.Pattern, text: str, size: int, reach: int):
     """``part, low, high, context`` of the byte ranges of a text: tokens that end in ``low < end <= high`` of ``context``.
 
@@ -346,7 +373,7 @@ def _ranged(paths: tuple[str, str]):
                     more.append(linked)
                     total += (n_a, n_b, len(linked), fits)
                 numbers, middle = np.array(known.numbers(inner), dtype=np.int32), EMPTY
-                total += np.array(known.counts, dtype=np.int64).reshape(-1, 4)[numbers].sum(axis=0)
+                total += known.table()[numbers, :4].sum(axis=0)
                 ok = int(total[3]) == len(inner) + len(edges)
                 if ok and inner:
                     head, _, rest = ";".join([known.text[s] for s in numbers.tolist()]).partition(";")
