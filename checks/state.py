@@ -14,7 +14,7 @@ from gleaner.operators.dedup import first_seen
 from gleaner.operators.extract import extract_images
 from gleaner.session import fresh_dir, stage
 from gleaner.sources import manifests, sinks
-from gleaner.streaming import ingest
+from gleaner.streaming import bounded, ingest, merge, timers
 from gleaner.streaming import state as live
 
 # --- aggregations ---------------------------------------------------------------
@@ -277,6 +277,72 @@ def stream_retry(spark, d):
     return plan.withColumns({"last_attempt": utc_text("last_attempt"), "next_at": utc_text("next_at")})
 
 
+def landed(log, parts: int, *by):
+    """The log as ``parts`` files, by the day of the month or by a hash: each step adds one to the folder, and gives its path."""
+    folder = fresh_dir(log.sparkSession, "landed")
+    part = F.pmod(F.xxhash64(*by), F.lit(parts)) if by else F.floor((F.dayofmonth("ts") - 1) * parts / 31)
+    cut = stage(log.withColumn("part", part), "landed-parts")
+    for number in range(parts):
+        cut.where(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(folder)
+        yield folder
+
+
+RETRY_TIMERS = f"""runs AS (
+  SELECT *, count(*) FILTER (status = 'completed') OVER (PARTITION BY item, link ORDER BY ts, seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS segment FROM run_log),
+counted AS (
+  SELECT *, count(*) FILTER (status = 'failed') OVER (PARTITION BY item, link, segment ORDER BY ts, seq) AS f,
+    lead(ts) OVER (PARTITION BY item, link ORDER BY ts, seq) AS next_ts FROM runs),
+told AS (
+  SELECT item, link, ts AS last_attempt, next_ts, status,
+    CASE WHEN status = 'failed' THEN (f - 1) % 3 + 1 ELSE f % 3 END AS failures FROM counted),
+outcome AS (
+  SELECT item, link, 'done' AS action, failures, last_attempt AS moment FROM told WHERE status = 'completed'
+  UNION ALL SELECT item, link, 'failed', failures, last_attempt FROM told WHERE status = 'failed' AND failures = 3
+  UNION ALL SELECT item, link, 'retry', failures, {JITTERED} FROM told
+  WHERE status <> 'completed' AND failures BETWEEN 1 AND 2 AND ({JITTERED} < next_ts OR next_ts IS NULL))"""
+
+
+@query("stream_retry_timers", with_sql(RUN_LOG, RETRY_TIMERS, select=f"""
+  SELECT item, link, action, failures::INTEGER AS failures, {sql_text('moment')} AS "at" FROM outcome
+  WHERE moment <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM run_log)"""))
+def stream_retry_timers(spark, d):
+    target, checkpoint = folders(spark, "timers")
+    log = ingest.as_event_time(run_log(spark, d).select("item", "link", "status", "ts", "seq"))
+    for number, folder in enumerate(landed(log, 4)):
+        # Two runs: three files, a file to a micro-batch, then the last one after a restart.
+        if number >= 2:
+            attempts = ingest.read_stream(spark, folder, log.schema, max_files=1)
+            timers.run_retries(timers.retry_timers(attempts, ["item", "link"], max_tries=3, ttl_seconds=90 * 86_400),
+                               target, checkpoint)
+    return spark.read.parquet(target).withColumn("at", utc_text("at"))
+
+
+@query("stream_dedup_bounded", with_sql(RUN_LOG, select="SELECT DISTINCT item, link FROM run_log"))
+def stream_dedup_bounded(spark, d):
+    target, checkpoint = folders(spark, "bounded")
+    log = ingest.as_event_time(run_log(spark, d).select("item", "link", "ts", "seq"))
+    keys = ["item", "link"]
+    for number, folder in enumerate(landed(log, 4, "seq")):
+        # Files out of order: most rows of the later ones are late.
+        if number >= 2:
+            bounded.bounded_first_seen(ingest.read_stream(spark, folder, log.schema, max_files=1), target, checkpoint, keys)
+    return bounded.seen_keys(spark, target, keys)
+
+
+@query("stream_merge", with_sql(RUN_LOG, select=f"""
+  SELECT item, link, status, {sql_text('ts')} AS ts, seq FROM run_log
+  QUALIFY row_number() OVER (PARTITION BY item, link ORDER BY ts DESC, seq DESC) = 1"""))
+def stream_merge(spark, d):
+    root, checkpoint = folders(spark, "merge")
+    log = ingest.as_event_time(run_log(spark, d).select("item", "link", "status", "ts", "seq"))
+    for number, folder in enumerate(landed(log, 4, "seq")):
+        if number >= 2:
+            merge.merge_stream(ingest.read_stream(spark, folder, log.schema, max_files=1), root, checkpoint,
+                               ["item", "link"], ["ts", "seq"])
+    return merge.merged_documents(spark, root).withColumn("ts", utc_text("ts"))
+
+
 # --- composed plans ---------------------------------------------------------------
 
 @query("content_enrichment", with_sql(OBJECTS, DONE, select="""

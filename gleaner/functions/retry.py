@@ -9,6 +9,7 @@ PAGE_SIZE = 100
 MAX_QUERY_PAGES = 10
 PAUSE_FIXED = 2.0
 PAUSE_FORBIDDEN = 300.0
+MILLIS = 1000            # most milliseconds of jitter
 
 
 def page_count(total: Column, page_size: int = PAGE_SIZE, most: int = MAX_QUERY_PAGES) -> Column:
@@ -25,7 +26,7 @@ def backoff_seconds(attempt: Column) -> Column:
 def jitter_seconds(*seed: Column) -> Column:
     """0 to 1 second in steps of a millisecond, the same on every re-run, from digits of an MD5."""
     digits = F.substring(F.md5(F.concat_ws("|", *[s.cast("string") for s in seed])), 1, 6)
-    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(1001)) / F.lit(1000.0)
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(MILLIS + 1)) / F.lit(1000.0)
 
 
 def pause_after(http_status: Column) -> Column:

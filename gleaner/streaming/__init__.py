@@ -1 +1 @@
-from gleaner.streaming import ingest, state  # noqa: F401
+from gleaner.streaming import bounded, ingest, merge, state, timers  # noqa: F401

@@ -14,10 +14,11 @@ def read_stream(spark: SparkSession, glob: str, schema, fmt: str = "parquet",
     return reader.load(glob)
 
 
-def run_to_end(writer) -> None:
-    """Start, work off all files that are there, stop."""
+def run_to_end(writer):
+    """Start, work off all files that are there, stop; the ended query, for its progress."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
 def stream_ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
