@@ -126,6 +126,40 @@ def scan_blobs(spark, d):
         F.sum(F.regexp_count("text", F.lit("\n"))).alias("n_lines"), F.sum("word_count").alias("words"))
 
 
+def put_blobs(rows, root):
+    """A gzip object per row ``name, text`` below ``root``; gives the number written."""
+    def run(batches):
+        import gzip
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        place, base = fs.FileSystem.from_uri(root if ":/" in root else f"file://{root}")
+        place.create_dir(base)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with place.open_output_stream(f"{base}/{name}.gz", compression=None) as out:
+                    out.write(gzip.compress(text.encode()))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+    return rows.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0]
+
+
+@query("fetch_blobs", """
+  SELECT 's' || l_suppkey AS blob_id, count(*) AS n_rows, CASE WHEN s_acctbal < 0 THEN 0 ELSE count(*) * 2 END AS words,
+         CASE WHEN s_acctbal < 0 THEN 'failed' ELSE 'ok' END AS status
+  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY l_suppkey, s_acctbal""")
+def fetch_blobs(spark, d):
+    # A store with a blob per customer, whom nobody asks for, and one per supplier that is not in debt.
+    root = fresh_dir(spark, "store")
+    supplier = table(spark, d, "supplier").where("s_acctbal >= 0")
+    put_blobs(supplier.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")), F.concat_ws(" ", "s_suppkey", "s_nationkey"))
+              .union(table(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), F.lit("x"))), root)
+    metadata = table(spark, d, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("blob_id"), F.lit("utf-8").alias("src_encoding"))
+    texts = blobs.fetch_enriched(metadata, root + "/{id}.gz")
+    return texts.groupBy("blob_id", "status").agg(F.count("*").alias("n_rows"), F.sum("word_count").cast("bigint").alias("words"))
+
+
 @query("write_parquet", "SELECT doc_id, text, lang FROM documents")
 def write_parquet(spark, d):
     root = fresh_dir(spark, "parquet")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gleaner.functions.retry import MILLIS
@@ -46,49 +48,51 @@ class RetryScheduler(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", "failures int, last_at long, due_at long")
-        self.waiting = handle.getListState("waiting", "ts long, seq long, status string")
+        # One value per key, so that an attempt costs one read and one write: waiting attempts are a JSON list.
+        self.state = handle.getValueState("run", "failures int, last_at long, due_at long, waiting string")
+
+    def _read(self):
+        """The run, ``(failures, last_at, due_at)`` or None, and the attempts that wait."""
+        held = self.state.get()
+        if held is None:
+            return None, []
+        return (tuple(held[:3]) if held[1] is not None else None), [tuple(x) for x in json.loads(held[3])]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        for frame in rows:
-            new = [(int(t), int(s), str(x)) for t, s, x in zip(frame["attempt_us"], frame["attempt_seq"], frame["attempt_status"])]
-            self.waiting.appendList(new)
-            for at in {t for t, _, _ in new}:
-                self._wake(at)
+        new = [(r["attempt_us"], r["attempt_seq"], r["attempt_status"]) for r in rows]
+        if new:
+            run, waiting = self._read()
+            if not waiting or min(new)[0] < waiting[0][0]:
+                self._wake(min(new)[0])
+            self.state.update((*(run or (None,) * 3), json.dumps(sorted(waiting + new))))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        import pandas as pd
-
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(x) for x in self.waiting.get()) if self.waiting.exists() else []
-        state = tuple(self.run.get()) if self.run.exists() else None
-        before, found = state, []
+        before, held = self._read()
+        run, found = before, []
         passed = [x for x in held if x[0] <= now]
         for ts, _, status in passed:
-            state = self._pass_time(key, state, ts - 1, found)
-            failures = (state[0] if state else 0) + (status == "failed")
+            run = self._pass_time(key, run, ts - 1, found)
+            failures = (run[0] if run else 0) + (status == "failed")
             if status == "completed" or failures >= self.max_tries:
                 found.append(("done" if status == "completed" else "failed", failures, ts))
-                state = None
+                run = None
             else:
-                state = (failures, ts, ts + _waiting_micros(key, failures) if failures else None)
-        state = self._pass_time(key, state, now, found)
-        if passed:
-            self.waiting.clear()
-            if len(passed) < len(held):
-                self.waiting.put(held[len(passed):])
-        if state is None:
-            self.run.clear()
-        elif state != before:
-            self.run.update(state)
-            for at in (state[2], state[1] + self.ttl):
-                if at is not None:
-                    self._wake(at)
-        if found:
-            action, failures, at = zip(*found)
-            yield pd.DataFrame({**{c: [k] * len(found) for c, k in zip(self.keys, key)}, "action": action,
-                                "failures": failures, "at": pd.to_datetime(at, unit="us")})
+                # A run begins with a failure; nothing is kept of attempts before it.
+                run = (failures, ts, ts + _waiting_micros(key, failures)) if failures else None
+        run, waiting = self._pass_time(key, run, now, found), held[len(passed):]
+        if run is None and not waiting:
+            if before or held:
+                self.state.clear()
+        elif run != before or passed:
+            self.state.update((*(run or (None,) * 3), json.dumps(waiting)))
+            times = [waiting[0][0]] if waiting else []
+            times += [x for x in (run[2], run[1] + self.ttl) if x is not None] if run else []
+            self._wake(min(times))
+        for action, failures, at in found:
+            yield Row(**dict(zip(self.keys, key)), action=action, failures=failures,
+                      at=datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=at))
 
     def _wake(self, at: int) -> None:
         self.handle.registerTimer(-(-at // 1000))
@@ -110,13 +114,15 @@ def retry_timers(attempts: DataFrame, keys: Sequence[str], max_tries: int = 5, d
 
     ``retry`` comes when its time ``at`` has passed without another attempt, ``failed`` and ``done`` when the run ends.
     Times are those of the attempts: what comes out does not depend on how attempts are cut into files, as long as none
-    comes more than ``delay`` behind the newest; such late attempts are left out and counted (:func:`run_retries`).
+    comes more than ``delay`` behind the newest; such late attempts are left out and counted (:func:`run_retries`). An
+    attempt without time is none; null keys are keys.
     """
     kinds = dict(attempts.dtypes)
-    rows = attempts.withWatermark(ts, delay).select(
-        *keys, ts, F.unix_micros(ts).alias("attempt_us"), F.col(seq).cast("bigint").alias("attempt_seq"), F.col("status").alias("attempt_status"))
+    rows = attempts.withWatermark(ts, delay).where(F.col(ts).isNotNull()).select(
+        *keys, ts, F.unix_micros(ts).alias("attempt_us"), F.coalesce(F.col(seq).cast("bigint"), F.lit(0)).alias("attempt_seq"),
+        F.coalesce("status", F.lit("")).alias("attempt_status"))
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", action string, failures int, at timestamp"
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    return rows.groupBy(*keys).transformWithState(
         RetryScheduler(keys, max_tries, ttl_seconds), schema, "append", "eventTime")
 
 

@@ -186,3 +186,56 @@ def test_cluster_needs_shared_dir(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_blobs_by_id(spark, tmp_path, monkeypatch):
+    names = [f"b{i}" for i in range(100)] + ["100%", "a b", "x/y"]
+    for name in names:
+        path = tmp_path / "store" / f"{name}.gz"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(gzip.compress(f"words of {name}".encode()))
+    (tmp_path / "store" / "large.gz").write_bytes(b"z" * 5000)
+    (tmp_path / "secret.gz").write_bytes(gzip.compress(b"outside"))
+    wanted = ["b1", "b2", "b1", "100%", "a b", "x/y", "gone", None, "large", "../secret", "", "/etc/passwd"]
+    metadata = spark.createDataFrame([(i, w, "utf-8") for i, w in enumerate(wanted)], "row int, blob_id string, src_encoding string")
+    for root in (f"{tmp_path}/store", f"file://{tmp_path}/store"):
+        found = blobs.fetch_blobs(metadata, root + "/{id}.gz", per_task=2, piece=30, most=4000)
+        rows = {r["blob_id"]: r for r in found.collect()}
+        assert len(rows) == found.count() == 10
+        assert all(gzip.decompress(rows[n]["content"]) == f"words of {n}".encode() for n in ("b1", "b2", "100%", "a b", "x/y"))
+        assert rows["gone"]["error"].startswith("FileNotFoundError") and "5000 bytes" in rows["large"]["error"]
+        assert all(rows[n]["error"] == "no name of a blob" and rows[n]["content"] is None for n in ("../secret", "", "/etc/passwd"))
+    texts = {r["row"]: r for r in blobs.fetch_enriched(metadata, f"{tmp_path}/store/{{id}}.gz").collect()}
+    assert len(texts) == len(wanted) and [texts[i]["text"] for i in (0, 2, 5)] == ["words of b1"] * 2 + ["words of x/y"]
+    assert texts[6]["status"] == "failed" and texts[6]["error"].startswith("FileNotFound") and texts[7]["error"] == "missing"
+
+
+def test_blobs_by_id_open_only_what_is_wanted(spark, tmp_path):
+    """The store's folder cannot be listed, and of its blobs only the wanted ones can be read."""
+    store = tmp_path / "store"
+    store.mkdir()
+    for i in range(60):
+        (store / f"b{i}").write_bytes(b"%d" % i)
+    seen = blobs._reader(f"{store}/{{id}}", 10, None)
+    import pyarrow as pa
+    from pyarrow import fs
+
+    opened = []
+
+    class Place:
+        def open_input_file(self, name):
+            opened.append(name)
+            return fs.LocalFileSystem().open_input_file(name)
+
+    class Systems:
+        @staticmethod
+        def from_uri(uri):
+            return Place(), "/"
+
+    own, fs.FileSystem = fs.FileSystem, Systems
+    try:
+        batches = list(seen([pa.record_batch({"blob_id": ["b3", "b41", "b41x"]})]))
+    finally:
+        fs.FileSystem = own
+    assert [b for x in batches for b in x["content"].to_pylist()] == [b"3", b"41", None]
+    assert [n.rsplit("/", 1)[1] for n in opened] == ["b3", "b41", "b41x"]
