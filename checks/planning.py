@@ -178,6 +178,21 @@ def media_number(spark, d):
     return numbered.select("host", "page_id", *_long("pos"), "number")
 
 
+@query("media_number_null_groups", """
+  SELECT g, h, o_orderkey, row_number() OVER w - 1 AS number, coalesce(sum(price) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+    AND 1 PRECEDING), 0)::DOUBLE AS before
+  FROM (SELECT CASE WHEN o_custkey < 300 THEN o_orderstatus END AS g, CASE WHEN o_orderkey < 9000 THEN o_orderpriority END AS h,
+               o_orderkey, o_totalprice::DECIMAL(12, 2) AS price FROM orders) WINDOW w AS (PARTITION BY g, h ORDER BY o_orderkey)""")
+def media_number_null_groups(spark, d):
+    orders = table(spark, d, "orders").select(
+        F.when(F.col("o_custkey") < 300, F.col("o_orderstatus")).alias("g"),
+        F.when(F.col("o_orderkey") < 9000, F.col("o_orderpriority")).alias("h"),
+        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+    numbered = numbering.running_total(orders, ["g", "h"], ["o_orderkey"], F.col("price"), "before")
+    numbered = numbering.number_rows(numbered, ["g", "h"], ["o_orderkey"], "number")
+    return numbered.select("g", "h", "o_orderkey", "number", F.col("before").cast("double").alias("before"))
+
+
 @query("cap_per_group", """
   SELECT o_custkey, o_orderkey, o_totalprice FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 3""")

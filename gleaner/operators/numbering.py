@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from gleaner.operators.skew import same
+from gleaner.operators.skew import same, spread
 from gleaner.session import stage
 
 FAN_IN = 64      # parts in which a group is capped before its rows meet
@@ -32,7 +32,9 @@ def _sort_columns(group: Sequence[str], order: Sequence) -> list:
 def _ordered(df: DataFrame, group: Sequence[str], order: Sequence, value: Column) -> DataFrame:
     """``df`` cut into pieces and sorted, with ``_g`` (the group), ``_v`` and ``_piece``."""
     by = _sort_columns(group, order)
-    marked = df.withColumns({"_g": F.xxhash64(*group) if group else F.lit(0).cast("bigint"), "_v": value})
+    # The hash passes over nulls; with a flag beside each column (null, a) and (a, null) are two groups.
+    flagged = [c for g in group for c in (F.col(g), F.col(g).isNull())]
+    marked = df.withColumns({"_g": F.xxhash64(*flagged) if group else F.lit(0).cast("bigint"), "_v": value})
     return (marked.repartitionByRange(*by).sortWithinPartitions(*by)
             .withColumn("_piece", F.spark_partition_id()))
 
@@ -56,21 +58,25 @@ def _append(batch, **columns):
 
 def _count(batches):
     """``_n``: sum of ``_v`` before the row in its group and piece; ``_lead``: in the first group of the piece."""
+    import decimal
+
     import numpy as np
     import pyarrow as pa
 
+    decimal.getcontext().prec = 38
     held, total, groups, place = None, 0, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        v = batch.column("_v").to_numpy()
+        kind = batch.schema.field("_v").type
+        v = batch.column("_v").to_numpy(zero_copy_only=False)
         g, new = _groups(batch, held)
         before = np.cumsum(v) - v
         first = np.flatnonzero(new)
         number = np.cumsum(new)                       # 0: goes on with the group of the batch before
         start = np.concatenate(([-total], before[first]))
         n = before - start[number]
-        yield _append(batch, _n=pa.array(n), _lead=pa.array(groups + number <= 1),
+        yield _append(batch, _n=pa.array(n, kind), _lead=pa.array(groups + number <= 1),
                       _place=pa.array(np.arange(place, place + len(g))))
         held, total, groups, place = g[-1], n[-1] + v[-1], groups + int(number[-1]), place + len(g)
 
@@ -104,27 +110,30 @@ def running_total(df: DataFrame, group: Sequence[str], order: Sequence, value: C
     """Add ``out``: the sum of ``value`` over the rows before this one in its group.
 
     ``order`` must name each row of a group uniquely; columns may be
-    descending. ``value`` is a whole number or a double, null counts as 0.
+    descending. ``value`` is a whole number, a decimal or a double, null
+    counts as 0. Whole numbers add up to a long, decimals to one of 38 digits.
     ``total`` adds the sum of the whole group under that name. An empty
     ``group`` orders the table. Null groups are groups, null orders sort as
     they do in Spark.
     """
-    kind = "double" if dict(df.select(value.alias("v")).dtypes)["v"] in ("double", "float") else "bigint"
+    given = df.select(value.alias("v")).schema["v"].dataType
+    kind = ("double" if isinstance(given, (T.DoubleType, T.FloatType))
+            else f"decimal(38,{given.scale})" if isinstance(given, T.DecimalType) else "bigint")
     cut = _ordered(df, group, order, F.coalesce(value.cast(kind), F.lit(0).cast(kind)))
-    local = stage(cut.mapInArrow(_count, _plus(cut, _n="double" if kind == "double" else "long", _lead="boolean", _place="long")), "numbered")
+    local = stage(cut.mapInArrow(_count, _plus(cut, _n="long" if kind == "bigint" else kind, _lead="boolean", _place="long")), "numbered")
     pieces = local.groupBy("_piece").agg(
         F.max(F.when(F.col("_lead"), F.col("_g"))).alias("_first"),
-        F.max_by(F.struct("_g", (F.col("_n") + F.col("_v")).alias("_sum")), F.col("_place")).alias("_last"))
+        F.max_by(F.struct("_g", (F.col("_n") + F.col("_v")).cast(kind).alias("_sum")), F.col("_place")).alias("_last"))
     # One row per piece; a group's pieces follow each other.
-    running = F.sum("_last._sum").over(Window.partitionBy("_last._g").orderBy("_piece"))
+    running = F.sum("_last._sum").over(Window.partitionBy("_last._g").orderBy("_piece")).cast(kind)
     before = Window.orderBy("_piece")
     carried = pieces.withColumn("_so_far", running).select(
         "_piece", F.when(F.lag("_last._g").over(before) == F.col("_first"), F.lag("_so_far").over(before)).alias("_carry"))
     # Safe broadcast: one row per partition of the exchange.
     joined = local.join(F.broadcast(carried), "_piece")
-    result = joined.withColumn(out, F.col("_n") + F.coalesce(F.when(F.col("_lead"), F.col("_carry")), F.lit(0).cast(kind)))
+    result = joined.withColumn(out, (F.col("_n") + F.coalesce(F.when(F.col("_lead"), F.col("_carry")), F.lit(0).cast(kind))).cast(kind))
     if total is not None:
-        sums = local.groupBy(*group, "_g").agg(F.sum("_v").alias(total)).withColumnsRenamed(
+        sums = local.groupBy(*group, "_g").agg(F.sum("_v").cast(kind).alias(total)).withColumnsRenamed(
             {c: f"_of_{c}" for c in (*group, "_g")})
         # Without groups this is one row.
         result = result.join(sums if group else F.broadcast(sums), same(result, sums, [*group, "_g"], "_of_"))
@@ -152,7 +161,7 @@ def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence, limit: i
     """
     if not limit:
         return df
-    parts = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(FAN_IN)))
+    parts = df.withColumn("_part", spread(df, FAN_IN))
     return _first_of(_first_of(parts, [*group, "_part"], order, limit).drop("_part"), group, order, limit)
 
 
@@ -224,9 +233,45 @@ def sorted_keys(df: DataFrame, *order) -> DataFrame:
     return df.orderBy(*order)
 
 
-def key_slice(df: DataFrame, order: Sequence, start: int, stop: int) -> DataFrame:
-    """Rows ``start`` to ``stop - 1`` of the ordered table, by number, so that no task holds more than a piece."""
-    numbered = number_rows(df, [], order, "_rank")
+def _ranges(df: DataFrame, order: Sequence[str], n: int) -> Column:
+    """Number of the key range, 0 to ``n`` at most, of a row; ranges are cut at ``n`` keys picked by a hash."""
+    key = F.struct(*order)
+    picked = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(n).distinct().orderBy("k").collect()
+    kinds = [df.schema[c].dataType for c in order]
+    above = [key >= F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r["k"], kinds, order)]) for r in picked]
+    return sum((x.cast("int") for x in above), F.lit(0))
+
+
+def key_slice(df: DataFrame, order: Sequence, start: int, stop: int, *, ranges: int = 64, small: int = 100_000) -> DataFrame:
+    """Rows ``start`` to ``stop - 1`` of the ordered table.
+
+    Rows are counted per key range, then only ranges that hold the slice are looked at, again in ranges until ``small``
+    rows are left; these are sorted. The table is read some times and neither shuffled nor written. A slice that is
+    larger, or all of whose rows share a key, is numbered, and with it only the ranges it lies in. An order with columns
+    other than plain ascending ones numbers the table.
+    """
+    rest, first = df, 0
+    while start < stop and all(isinstance(c, str) for c in order):
+        number = _ranges(rest, order, ranges)
+        # One row per range.
+        counts = sorted((r["r"], r["n"]) for r in rest.groupBy(number.alias("r")).agg(F.count(F.lit(1)).alias("n")).collect())
+        held, before = [], first
+        for r, n in counts:
+            if before < stop and before + n > start:
+                if not held:
+                    first = before
+                held.append((r, n))
+            before += n
+        if not held:
+            return df.limit(0)
+        left = sum(n for _, n in held)
+        narrower = len(held) < len(counts)
+        rest = rest.filter(number.between(held[0][0], held[-1][0])) if narrower else rest
+        if left <= small:
+            return rest.orderBy(*order).limit(stop - first).offset(start - first)
+        if not narrower:
+            break
+    numbered = number_rows(rest, [], order, "_rank", start=first)
     return numbered.filter((F.col("_rank") >= start) & (F.col("_rank") < stop)).drop("_rank")
 
 

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from gleaner.operators import aggregate, numbering
+from gleaner.operators import aggregate, numbering, skew
 
 
 @pytest.fixture(params=["false", "true"], ids=["pieces", "one"], autouse=True)
@@ -151,3 +151,55 @@ def test_one_exchange(spark):
     df = numbering._ordered(frame(spark, rows()), ["g"], ["i"], F.lit(1).cast("bigint"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange range") == 1 and "Exchange hash" not in plan
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.sampled_from([None, "a", "b"])), min_size=1, max_size=60))
+def test_nulls_in_several_group_columns(spark, groups):
+    data = [(g, h, i) for i, (g, h) in enumerate(groups)]
+    df = spark.createDataFrame(data, "g string, h string, i long").repartition(3)
+    number = {(r.i): r.number for r in numbering.number_rows(df, ["g", "h"], ["i"], "number").collect()}
+    before = {r.i: r.before for r in numbering.previous_value(df, ["g", "h"], ["i"], "i", "before").collect()}
+    lists = {(r.g, r.h): list(r["items"]) for r in aggregate.numbered_lists(df, ["g", "h"], ["i"], F.col("i")).collect()}
+    for g, h, i in data:
+        mine = [j for x, y, j in data if (x, y) == (g, h)]
+        assert number[i] == mine.index(i) and lists[g, h] == mine
+        assert before[i] == (mine[mine.index(i) - 1] if mine.index(i) else None)
+
+
+def test_decimal_totals(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), F.col("id").alias("i"),
+                                 (F.col("id") * F.lit("0.75").cast("decimal(10,2)")).cast("decimal(20,2)").alias("x"))
+    large = df.withColumn("x", F.col("x") + F.lit("123456789012345678.25").cast("decimal(20,2)"))
+    for frame_ in (df, large):
+        got = numbering.running_total(frame_.repartition(4), ["g"], ["i"], F.col("x"), "before", total="all")
+        w = Window.partitionBy("g").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+        want = frame_.withColumns({"before": F.coalesce(F.sum("x").over(w), F.lit(0)), "all": F.sum("x").over(Window.partitionBy("g"))})
+        assert sorted(map(tuple, got.select("i", "before", "all").collect())) == sorted(
+            map(tuple, want.select("i", "before", "all").collect()))
+
+
+def test_tables_with_maps(spark):
+    df = spark.range(200).select((F.col("id") % 3).alias("g"), F.col("id").alias("i"), F.create_map(F.lit("k"), "id").alias("m"),
+                                 F.array(F.create_map(F.lit("k"), "id")).alias("n"))
+    assert numbering.cap_per_group(df, ["g"], ["i"], 4).count() == 12
+    assert numbering.number_rows(df, ["g"], ["i"], "number").where("number = m['k'] div 3").count() == 200
+    left = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    assert skew.left_join(left, spark.createDataFrame([(1, "x")], "g long, v string"), "g").where("v IS NULL").count() == 133
+
+
+@pytest.mark.parametrize("start, stop, small", [(0, 5, 10), (190, 280, 10), (100, 101, 1000), (395, 900, 50), (7, 7, 10), (900, 950, 9)])
+def test_slices(spark, start, stop, small):
+    data = [(g, i if g != "a" else None, i) for g, i, _ in rows(8)]
+    df = spark.createDataFrame(data, "g string, h long, i long").repartition(4)
+    got = [r.i for r in numbering.key_slice(df, ["g", "h", "i"], start, stop, ranges=5, small=small).collect()]
+    want = [r.i for r in df.orderBy("g", "h", "i").collect()][start:stop]
+    assert sorted(got) == sorted(want)
+    down = numbering.key_slice(df, [F.col("i").desc()], start, stop)
+    assert sorted(r.i for r in down.collect()) == sorted([r.i for r in df.orderBy(F.col("i").desc()).collect()][start:stop])
+
+
+def test_a_small_slice_writes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "stage", lambda *a: pytest.fail("the table was written"))
+    df = spark.range(5000).select(F.col("id").alias("i"), F.lit(1).alias("same"))
+    assert [r.i for r in numbering.key_slice(df, ["same", "i"], 4000, 4090, small=500).collect()] == list(range(4000, 4090))
