@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from checks.inputs import (DONE, OBJECTS, REPOS, done_objects, objects, repos, table, with_sql)
 from checks.registry import query
@@ -182,6 +182,21 @@ def write_metadata_csv(spark, d):
     return spark.read.schema(first.schema).csv(root, header=True, escape='"', multiLine=True)
 
 
+@query("write_metadata_csv_again", """
+  SELECT conv_id, turn, role, text, 'first' AS run FROM conversations
+  UNION ALL SELECT item_id, -1, 'benchmark', text, 'second' FROM benchmark""")
+def write_metadata_csv_again(spark, d):
+    root = fresh_dir(spark, "metadata-runs")
+    first = table(spark, d, "conversations").select("conv_id", "turn", "text", "role")
+    more = table(spark, d, "benchmark").select(
+        F.col("item_id").alias("conv_id"), F.lit(-1).cast("bigint").alias("turn"), "text", F.lit("benchmark").alias("role"))
+    # The first run is started twice.
+    for rows, run in ((first, "first"), (more, "second"), (first, "first")):
+        sinks.write_metadata_csv(rows, root, "role", run=run)
+    schema = T.StructType([*first.drop("role").schema.fields, T.StructField("run", T.StringType()), T.StructField("role", T.StringType())])
+    return spark.read.csv(root, schema=schema, header=True, escape='"', multiLine=True).select("conv_id", "turn", "role", "text", "run")
+
+
 @query("write_catalog_csv", with_sql(REPOS, select="SELECT name || chr(10) || 'None' AS name, stars, lang FROM repos"))
 def write_catalog_csv(spark, d):
     root = fresh_dir(spark, "catalogue")

@@ -24,9 +24,19 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-def write_metadata_csv(df: DataFrame, path: str, folder: str = "folder_name", mode: str = "append") -> None:
-    """CSV with header, one folder per ``folder`` value."""
-    clustered(df, folder).write.mode(mode).partitionBy(folder).csv(path, header=True, escape='"')
+def write_metadata_csv(df: DataFrame, path: str, folder: str = "folder_name", mode: str = "append",
+                       run: str | None = None) -> None:
+    """CSV with header, one folder per ``folder`` value.
+
+    With ``run``, the rows go below ``run=<name>`` and replace what the same run has written to these folders before: a
+    job that is started again under its name appends its rows once. A folder that the repeated run has no rows for
+    keeps what it had.
+    """
+    if run is None:
+        clustered(df, folder).write.mode(mode).partitionBy(folder).csv(path, header=True, escape='"')
+    else:
+        (clustered(df.withColumn("run", F.lit(run)), "run", folder).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run", folder).csv(path, header=True, escape='"'))
 
 
 def write_catalog_csv(df: DataFrame, path: str, none_columns: Sequence[str] = ("lang",)) -> None:

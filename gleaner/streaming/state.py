@@ -12,6 +12,7 @@ the batches after it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,23 +41,43 @@ def write_partials(stream: DataFrame, reduce: Fold, target: str, checkpoint: str
     run_to_end(stream.writeStream.foreachBatch(_save(reduce, target)).option("checkpointLocation", checkpoint))
 
 
+_BASE = "upto bigint, folder string"
+
+
+def _newest_base(spark: SparkSession, target: str):
+    """The last micro-batch that a base holds, and the base's folder; None and None without a base."""
+    if not path_exists(spark, f"{target}/pointers"):
+        return None, None
+    row = spark.read.schema(_BASE).json(f"{target}/pointers").agg(
+        F.max("upto").alias("upto"), F.max_by("folder", "upto").alias("folder")).first()
+    return row["upto"], row["folder"]
+
+
 def written(spark: SparkSession, target: str) -> DataFrame:
     """The newest base and the batches after it, with ``batch_id``."""
     batches = spark.read.parquet(f"{target}/batches")
-    if not path_exists(spark, f"{target}/bases"):
+    upto, folder = _newest_base(spark, target)
+    if folder is None:
         return batches
-    bases = spark.read.parquet(f"{target}/bases")
-    upto = bases.agg(F.max("upto")).first()[0]
     # Equality on the folder columns: other bases and folded batches are not opened.
-    base = bases.filter(F.col("upto") == upto).drop("upto")
+    base = spark.read.parquet(f"{target}/bases").filter((F.col("upto") == upto) & (F.col("folder") == folder)).drop("upto", "folder")
     return base.unionByName(batches.filter(F.col("batch_id") > upto))
 
 
 def compact(spark: SparkSession, target: str, fold: Fold) -> None:
-    """Fold all that is written into a new base; older bases and folded batches may be removed then."""
+    """Fold all that is written into a new base; older bases and folded batches may be removed then.
+
+    The base is written under a name of its own and counts from the moment its pointer is there, so a run that was
+    ended in between leaves a folder that nobody reads, and the next run writes another one.
+    """
     last = spark.read.parquet(f"{target}/batches").agg(F.max("batch_id")).first()[0]
+    upto, _ = _newest_base(spark, target)
+    if upto is not None and upto >= last:
+        return
     rows = written(spark, target).filter(F.col("batch_id") <= last)
-    fold(rows).withColumn("batch_id", F.lit(last)).write.mode("errorifexists").parquet(f"{target}/bases/upto={last}")
+    folder = f"base-{uuid.uuid4().hex}"
+    fold(rows).withColumn("batch_id", F.lit(last)).write.parquet(f"{target}/bases/upto={last}/folder={folder}")
+    spark.createDataFrame([(last, folder)], _BASE).coalesce(1).write.mode("append").json(f"{target}/pointers")
 
 
 def newest(keys: Sequence[str]) -> Fold:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import ledger
-from gleaner.streaming import bounded, ingest, merge, timers
+from gleaner.streaming import bounded, ingest, merge, state, timers
 
 SCHEMA = "k string, ts timestamp, status string, seq long"
 START = 1_704_067_200_000_000
@@ -113,3 +113,23 @@ def test_merge_applies_a_batch_once(spark, tmp_path, monkeypatch):
     # Another stream's numbers are its own.
     merge._save(root, "other", ["k"], ["ts", "seq"])(again, 0)
     assert documents(spark, root) == expected and merge._last(spark, root, "changes")[0] == 4
+
+
+def test_compaction_survives_a_crash(spark, tmp_path, monkeypatch):
+    folder, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    put(spark, folder, [("a", 1, "started", 1), ("b", 2, "started", 2)])
+    put(spark, folder, [("a", 3, "completed", 3)])
+    keys, order = ["k"], ["ts", "seq"]
+    state.write_updates(state.status_updates(stream(spark, folder), keys, order), out, cp)
+    want = sorted(map(tuple, state.current(spark, out, keys).collect()))
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        state.compact(spark, out, state.newest(keys))
+    monkeypatch.undo()
+    assert sorted(map(tuple, state.current(spark, out, keys).collect())) == want
+    for _ in range(2):
+        state.compact(spark, out, state.newest(keys))
+        assert sorted(map(tuple, state.current(spark, out, keys).collect())) == want
+    put(spark, folder, [("b", 4, "failed", 4)])
+    state.write_updates(state.status_updates(stream(spark, folder), keys, order), out, cp)
+    assert {r["k"]: r["status"] for r in state.current(spark, out, keys).collect()} == {"a": "completed", "b": "failed"}
