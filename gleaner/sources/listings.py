@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleaner.functions.predicates import has_suffix
-
-_LISTING = "key string, size bigint, modified timestamp"
+from gleaner.session import stage
 
 
 def from_inventory(inventory: DataFrame, key: str = "key", size: str = "size", modified: str = "modified") -> DataFrame:
@@ -22,47 +24,72 @@ def _place(root: str):
     return place, base.rstrip("/")
 
 
-def _batch(infos, base: str):
-    import pyarrow as pa
+def _entries(place, path: str):
+    """``path, is_folder, size, modified in microseconds`` of what stands in one folder."""
     from pyarrow import fs
 
-    files = [i for i in infos if i.type == fs.FileType.File]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([i.path.removeprefix(base + "/") for i in files], pa.string()),
-         pa.array([i.size for i in files], pa.int64()),
-         pa.array([i.mtime_ns and i.mtime_ns // 1000 for i in files], pa.timestamp("us", tz="UTC"))],
-        ["key", "size", "modified"])
-
-
-def _below(root: str):
+    if isinstance(place, fs.LocalFileSystem):
+        # Read step by step, however many there are.
+        with os.scandir(path) as found:
+            for entry in found:
+                try:
+                    facts = entry.stat()
+                except FileNotFoundError:
+                    continue
+                yield entry.path, entry.is_dir(), facts.st_size, facts.st_mtime_ns // 1000
+    else:
+        for info in place.get_file_info(fs.FileSelector(path)):
+            if info.type in (fs.FileType.File, fs.FileType.Directory):
+                yield info.path, info.type == fs.FileType.Directory, info.size, info.mtime_ns and info.mtime_ns // 1000
+
+
+def _level(root: str, page: int):
+    """Entries of the folders of a batch, ``page`` to an Arrow batch."""
     def run(batches):
-        from pyarrow import fs
+        import pyarrow as pa
+
+        def batch_of(rows):
+            keys, folders, sizes, times = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(folders, pa.bool_()), pa.array(sizes, pa.int64()),
+                 pa.array(times, pa.timestamp("us", tz="UTC"))], ["key", "is_folder", "size", "modified"])
 
         place, base = _place(root)
         for batch in batches:
             for folder in batch.column(0).to_pylist():
-                yield _batch(place.get_file_info(fs.FileSelector(f"{base}/{folder}", recursive=True)), base)
+                rows = []
+                for path, is_folder, size, modified in _entries(place, f"{base}/{folder}".rstrip("/") or "/"):
+                    rows.append((path.removeprefix(base + "/"), is_folder, None if is_folder else size, modified))
+                    if len(rows) >= page:
+                        yield batch_of(rows)
+                        rows = []
+                if rows:
+                    yield batch_of(rows)
     return run
 
 
-def list_objects(spark: SparkSession, root: str, suffix: str | None = None) -> DataFrame:
+def list_objects(spark: SparkSession, root: str, suffix: str | None = None, *, page: int = 1000,
+                 tasks: int = 10_000) -> DataFrame:
     """``key`` (relative to ``root``), ``size``, ``modified`` of every object below ``root``.
 
     Objects are listed, never opened; empty ones and those whose names begin
     with ``_`` or ``.`` are objects too, and names are taken as they are. The
-    driver sees the entries of ``root`` itself; what lies below each of its
-    folders is listed by a task of its own. For a store with very many objects
-    in one folder, use :func:`from_inventory`.
+    tree is listed level by level: the folders found on one level are dealt
+    over up to ``tasks`` tasks that list the next one, the root's too, and each
+    level is written to the shared folder, so the driver sees one number per
+    level. Entries leave a task ``page`` at a time. On local file systems a
+    folder is read step by step; the clients of object stores give one folder
+    at a time, so for a store with very many objects in one folder use
+    :func:`from_inventory`.
     """
-    from pyarrow import fs
-
-    place, base = _place(root)
-    top = place.get_file_info(fs.FileSelector(base))
-    folders = [i.path.removeprefix(base + "/") for i in top if i.type == fs.FileType.Directory]
-    here = spark.createDataFrame(_batch(top, base).to_pandas().astype({"size": "int64"}), _LISTING)
-    below = (spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(len(folders), 1))
-             .mapInArrow(_below(root), _LISTING))
-    found = here.union(below)
+    levels, folders, n = [], spark.createDataFrame([("",)], "key string"), 1
+    while n:
+        level = stage(folders.repartition(min(n, tasks)).mapInArrow(
+            _level(root, page), "key string, is_folder boolean, size bigint, modified timestamp"), "listing")
+        levels.append(level.where("NOT is_folder").select("key", "size", "modified"))
+        folders = level.where("is_folder").select("key")
+        n = folders.count()
+    found = reduce(DataFrame.union, levels)
     return found.filter(F.col("key").endswith(suffix)) if suffix else found
 
 

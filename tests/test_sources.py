@@ -239,3 +239,25 @@ def test_blobs_by_id_open_only_what_is_wanted(spark, tmp_path):
         fs.FileSystem = own
     assert [b for x in batches for b in x["content"].to_pylist()] == [b"3", b"41", None]
     assert [n.rsplit("/", 1)[1] for n in opened] == ["b3", "b41", "b41x"]
+
+
+def test_listing_of_deep_and_flat_trees(spark, tmp_path):
+    root, want = tmp_path / "tree", {}
+    for depth in range(12):
+        for i in range(3):
+            name = "/".join(f"d{k}" for k in range(depth)) + f"/f{i} {depth}%.bin"
+            want[name.lstrip("/")] = depth * i
+    want |= {f"flat/{i}": i % 3 for i in range(2500)}
+    for name, size in want.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * size)
+    (root / "empty" / "folder").mkdir(parents=True)
+    found = listings.list_objects(spark, str(root), page=100)
+    assert {r["key"]: r["size"] for r in found.collect()} == want and found.count() == len(want)
+    assert listings.list_objects(spark, str(root / "empty")).count() == 0
+    # No batch is longer than a page.
+    import pyarrow as pa
+
+    sizes = [b.num_rows for b in listings._level(str(root), 100)([pa.record_batch({"key": ["flat", ""]})])]
+    assert sum(sizes) == 2500 + 3 + 3 and max(sizes) <= 100
