@@ -58,6 +58,15 @@ def read_manifest_csv(spark, d):
     return manifests.read_manifest_csv(spark, root)
 
 
+@query("read_large_csv", "SELECT doc_id, lang, text FROM documents WHERE text <> ''")
+def read_large_csv(spark, d):
+    # One file whose values hold quotes and line breaks, read in ranges of half a megabyte.
+    root = fresh_dir(spark, "large-csv")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text").where("text <> ''")
+    sinks.write_catalog_csv(docs.coalesce(1), root)
+    return manifests.read_large_csv(spark, root, docs.schema, (), suffix=".csv", range_bytes=1 << 19)
+
+
 @query("read_manifest_json", """
   SELECT p_name AS value, (row_number() OVER (ORDER BY p_partkey) - 1) % 500 AS position FROM part""")
 def read_manifest_json(spark, d):

@@ -261,3 +261,32 @@ def test_listing_of_deep_and_flat_trees(spark, tmp_path):
 
     sizes = [b.num_rows for b in listings._level(str(root), 100)([pa.record_batch({"key": ["flat", ""]})])]
     assert sum(sizes) == 2500 + 3 + 3 and max(sizes) <= 100
+
+
+CSV = ('a/b,5,"None"\n"x ""y"", z",7,Py\n\n"two\nlines, and\n""quotes""\n",1,\n,2,"é\n漢"\n"""",3,""\n"\n\n",4,None\nlast,9,"C\n"')
+
+
+def test_csv_records_at_every_cut():
+    for data in (CSV.encode(), CSV.encode() + b"\n", b"one", b"\n", b'"a\nb"\n\n"c"'):
+        whole = list(manifests.csv_records(io.BytesIO(data), len(data), 0, len(data), False))
+        assert b"".join(t for _, t in whole).replace(b"\n", b"") == data.replace(b"\n", b"").replace(b"\r", b"")
+        for width in range(1, len(data) + 1):
+            for step in (1, 3, 1 << 20):
+                found = []
+                for start in range(0, len(data), width):
+                    quoted = data[:start].count(b'"') % 2 == 1
+                    found += manifests.csv_records(io.BytesIO(data), len(data), start, min(start + width, len(data)), quoted, step)
+                assert found == whole
+
+
+@pytest.mark.parametrize("range_bytes", [1, 7, 16, 1 << 20])
+def test_large_csv_equals_the_whole_file_reader(spark, tmp_path, range_bytes):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_bytes(CSV.encode())
+    (tmp_path / "csv" / "b c.csv").write_bytes(b'm,12,Go\nbad,"x",Go\n')
+    (tmp_path / "csv" / "crlf.csv").write_bytes(b'r,1,"R"\r\n"s,""",2,S\r\n')
+    (tmp_path / "csv" / "none.csv").write_bytes(b"")
+    want = manifests.read_manifest_csv(spark, str(tmp_path / "csv"), errors=True).collect()
+    got = manifests.read_large_csv(spark, str(tmp_path / "csv"), errors=True, range_bytes=range_bytes).collect()
+    line = lambda r: (r["name"], r["stars"], r["lang"], r["error"] and r["error"].strip())
+    assert sorted(map(line, got), key=repr) == sorted(map(line, want), key=repr) and len(got) == 11
