@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import bisect
 import json
+import os
+import re
 import zlib
 from collections.abc import Mapping
 
@@ -16,6 +18,7 @@ from gleaner.llm.hashing import texts_of
 from gleaner.session import stage
 
 CAPACITY = 1024
+LONGEST = 50_000          # characters of one kind in a row that go through the ranks; longer runs go through tokenizers
 _encoders: dict[str, object] = {}
 
 
@@ -28,12 +31,22 @@ def _added(path: str) -> list[dict]:
         return []
 
 
+_RUNS = re.compile(r"\s+|[^\W\d_]+|\d+|(?:[^\w\s]|_)+")
+
+
+def _has_long_run(text: str) -> bool:
+    """A run on which the ranks' pattern would run out of stack, or merge in quadratic time."""
+    return len(text) > LONGEST and any(m.end() - m.start() > LONGEST for m in _RUNS.finditer(text))
+
+
 def encoder(path: str):
     """Ids of text by the vocabulary at ``path`` (``.tiktoken`` ranks, or a ``.json`` of ``tokenizers``).
 
     Both files of a byte-level vocabulary give the same ids, those of
     ``tokenizers`` as it is loaded: an added token that a text holds literally is
-    that token. Ranks are four times as fast.
+    that token. Ranks are four times as fast; texts with more than ``LONGEST``
+    blanks, line breaks, letters, digits or marks in a row go through
+    ``tokenizers``, which takes runs of any length, if its file is there.
     """
     if path not in _encoders:
         added = [] if path.endswith(".json") else _added(path)
@@ -52,7 +65,12 @@ def encoder(path: str):
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             ready = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={t["content"]: t["id"] for t in added})
-            _encoders[path] = lambda text: ready.encode(text, allowed_special="all")
+            ranked = lambda text: ready.encode(text, allowed_special="all")
+            whole = path.removesuffix(".tiktoken") + ".json"
+            if os.path.exists(whole):
+                _encoders[path] = lambda text: (encoder(whole) if _has_long_run(text) else ranked)(text)
+            else:
+                _encoders[path] = ranked
     return _encoders[path]
 
 

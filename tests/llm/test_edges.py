@@ -146,3 +146,14 @@ def test_stages(spark, docs, none, sf_dir, name, step):
         out.count()
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def test_packing_of_long_runs(spark):
+    ready = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    runs = [" " * 1_000_000, "\n" * 1_000_000 + "x", "a" * 1_000_000, "7" * 200_000, "=" * 200_000 + " word", "\t \n" * 400_000]
+    for text in [*runs, "some words " + " " * (packing.LONGEST + 1) + "more", "a" * packing.LONGEST, "漢" * 100_000]:
+        assert ready(text) == whole(text)
+    found = packing.pack(frame(spark, list(enumerate(runs[:2]))), public_tokenizers.path("byte_bpe_50k.tiktoken"), end_id=2)
+    total = {r["doc_id"]: r["n"] for r in found.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert total == {i: len(whole(t)) + 1 for i, t in enumerate(runs[:2])}
