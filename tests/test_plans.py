@@ -6,7 +6,7 @@ import __spark_entry__  # noqa: F401  (registration)
 from checks.registry import QUERIES
 # Queries whose operator is Python on Arrow batches by design.
 ARROW = {"scan_batched", "decode_blob", "decode_or_empty", "scan_blobs", "extract_links_scoped", "bundle_groups",
-         "list_objects"}
+         "list_objects", "fetch_blobs", "read_large_csv"}
 STREAMS = {n for n in QUERIES if n.startswith("stream_")}
 
 
