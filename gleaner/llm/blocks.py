@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 6 << 20         # text of the documents that are looked at together
 KEY_BYTES = 30 << 20          # text whose keys meet in one task
-MANY = 16                     # occurrences of a key in a block that are counted; fewer count as one less than this
 KEY_BITS = 47                 # of a key; with a flag it is sent as six bytes
 LAST = (1 << 63) - 1          # stands for a null id, after all others
 _U = np.uint64
@@ -44,12 +43,13 @@ def repeated_keys(dealt: DataFrame, total: int, keys_of, hot: int | None = None)
     ``keys_of(texts)`` yields ``text number, keys``. Keys that agree by
     accident cost a look, and nothing else, where the keys are used.
 
-    With ``hot``, a column ``hot`` has those of the keys that may occur more than
-    ``hot`` times in all texts, the same ones in every block.
+    With ``hot``, it yields ``text number, keys, contents``, and a column ``hot``
+    has those of the keys that stand with more than ``hot`` different contents,
+    counted by block and added up, the same ones in every block.
     """
     shards, more = 1 + total // KEY_BYTES, hot is not None
     return (dealt.groupBy("block").applyInArrow(_send(shards, keys_of, more), "shard bigint, block bigint, keys binary"
-                                                + ", many binary" * more)
+                                                + ", contents binary" * more)
             .groupBy("shard").applyInArrow(_repeated(hot), "block bigint, keys binary" + ", hot binary" * more))
 
 
@@ -85,16 +85,15 @@ def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _send(shards: int, keys_of, more: bool):
     """The different keys of a block by shard; the lowest bit says that two of its documents have one.
 
-    ``many`` has place and number of those that occur ``MANY`` times or more.
+    ``contents`` has the number of different contents of each.
     """
     def run(key, table):
         _, _, texts = rows_of(table)
-        found = [(i, *np.unique(short(k), return_counts=True)) for i, k in keys_of(texts)]
+        found = [(short(k), *c) for _, k, *c in keys_of(texts)]
         if not found:
             return pa.table({"shard": pa.array([], pa.int64()), "block": pa.array([], pa.int64()),
-                             "keys": pa.array([], pa.binary())} | ({"many": pa.array([], pa.binary())} if more else {}))
-        values = np.concatenate([k for _, k, _ in found])
-        every, docs = np.unique(values, return_counts=True)
+                             "keys": pa.array([], pa.binary())} | ({"contents": pa.array([], pa.binary())} if more else {}))
+        every, docs = np.unique(np.concatenate([np.unique(k) for k, *_ in found]), return_counts=True)
         shard = (every >> _U(20)) % _U(shards)
         order = np.argsort(shard, kind="stable")
         packed, shard = (every[order] << _U(1)) | (docs[order] > 1), shard[order]
@@ -103,10 +102,11 @@ def _send(shards: int, keys_of, more: bool):
         out = {"shard": pa.array(names.astype(np.int64)), "block": pa.array(np.full(len(names), key[0].as_py())),
                "keys": pa.array([x.tobytes() for x in np.split(packed, at[1:])], pa.binary())}
         if more:
-            number = np.bincount(np.searchsorted(every, values), np.concatenate([n for _, _, n in found]))[order]
-            many = [np.flatnonzero(x >= MANY) for x in np.split(number, at[1:])]
-            out["many"] = pa.array([np.stack((m, x[m])).astype("<u4").tobytes()
-                                    for m, x in zip(many, np.split(number, at[1:]))], pa.binary())
+            keys, contents = map(np.concatenate, zip(*found))
+            _, one = np.unique(contents, return_index=True)
+            number = np.bincount(np.searchsorted(every, keys[one]), minlength=len(every))[order]
+            out["contents"] = pa.array([pa.compress(x.astype("<u4").tobytes(), codec="zstd", asbytes=True)
+                                        for x in np.split(number, at[1:])], pa.binary())
         return pa.table(out)
     return run
 
@@ -131,14 +131,12 @@ def _repeated(hot: int | None):
         back = lambda rows: pa.array([x.tobytes() for x in rows][:len(names)], pa.binary())
         out = {"block": pa.array(blocks[names]), "keys": back(np.split(keys[keep] >> _U(1), at[1:]))}
         if hot is not None:
-            number, first = np.full(len(block), MANY - 1, dtype=np.int64), 0
-            for p, x in zip(parts, table["many"].to_pylist()):
-                place, n = np.frombuffer(x, "<u4").reshape(2, -1)
-                number[first + place.astype(np.int64)] = n
-                first += len(p)
+            number = np.concatenate([np.frombuffer(pa.decompress(x, 4 * len(p), codec="zstd", asbytes=True), "<u4")
+                                     for p, x in zip(parts, table["contents"].to_pylist())])
             new = np.flatnonzero(np.concatenate(([True], ~twin)))
             lots = np.empty(len(block), dtype=bool)
-            lots[order] = np.repeat(np.add.reduceat(number[order], new) > hot, np.diff(new, append=len(block)))
+            lots[order] = np.repeat(np.add.reduceat(number[order].astype(np.int64), new) > hot,
+                                    np.diff(new, append=len(block)))
             out["hot"] = back([(keys[own] >> _U(1))[lots[own]] for own in np.split(keep, at[1:])])
         return pa.table(out)
     return run

@@ -13,8 +13,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleaner.llm import (contamination, grace, hashing, language, lines, near, packing, passages, quality, substrings,
-                         suffixes, warc)
+from gleaner.llm import (blocks, contamination, grace, hashing, language, lines, near, packing, passages, quality,
+                         substrings, suffixes, warc)
 from gleaner.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -210,7 +210,7 @@ def test_strings_of_a_hot_anchor_are_spread(spark, monkeypatch):
     texts = {i: fresh(60) + rng.choice(sides) + phrase + rng.choice(sides) + fresh(60) for i in range(400)}
     raw = {i: t.encode() for i, t in texts.items()}
     found = list(substrings._anchored(list(raw.values())))
-    keys = np.concatenate([substrings.short(k) for _, _, _, k in found])
+    keys = np.concatenate([substrings.short(k) for _, _, _, k, _ in found])
     known, n = np.unique(keys, return_counts=True)
     table = pa.table({"id": pa.array(raw, pa.int64()), "th": pa.array(raw, pa.int64()), "text": pa.array(raw.values())})
     pack = lambda x: pa.array([x.astype("<u8").tobytes()], pa.binary())
@@ -233,6 +233,24 @@ def test_strings_of_a_hot_anchor_are_spread(spark, monkeypatch):
     assert {r["doc_id"]: r["kept_sha256"] for r in substrings.repeated_spans(df).collect()} == want
 
 
+def test_hot_anchors_are_those_of_many_contexts():
+    """Copies of one passage are one context; a phrase with other neighbours in every text has one per text and edge."""
+    rng = random.Random(4)
+    fresh = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n)).encode()
+    copied, framed = fresh(200), fresh(60)
+    for passage, hot in ((lambda: copied, 0), (lambda: fresh(60) + framed + fresh(60), 1)):
+        rows = []
+        for block in range(4):
+            ids = pa.array(range(50), pa.int64())
+            table = pa.table({"id": ids, "th": ids, "text": pa.array([passage() for _ in ids], pa.binary())})
+            rows.append(blocks._send(1, lambda t: substrings._per_text(substrings._anchored(t)), True)(
+                (pa.scalar(block),), table))
+        out = blocks._repeated(100)((pa.scalar(0),), pa.concat_tables(rows))
+        assert out["block"].to_pylist() == [0, 1, 2, 3]
+        found = [blocks.unpacked(out.slice(k, 1), "hot") for k in range(4)]
+        assert len(found[0]) >= hot and all((x == found[0]).all() for x in found) and bool(len(found[0])) == bool(hot)
+
+
 @given(st.dictionaries(st.integers(1, 60), st.integers(0, 40)), st.integers(60, 64))
 @settings(max_examples=200, deadline=None)
 def test_packing_plan(counts, capacity):

@@ -15,4 +15,4 @@ def test_registered():
     import __spark_entry__ as contract
 
     assert QUERIES.keys() | {"pipeline"} <= contract.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
