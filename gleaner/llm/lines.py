@@ -9,13 +9,16 @@ from gleaner.session import stage
 DEPTH = 3            # leading tokens that, with the number of tokens, lead to a leaf
 MIN_DOCS = 5         # documents in which a recurring template stands, and a constant token of a leaf
 LEAST_CONSTANT = 0.7 # share of constant tokens that a template needs
-LEAST_TOKENS = 3     # shorter lines have no template
 MOST_SHARE = 0.5     # a document with a larger share of its tokens in recurring lines is a copy, not boilerplate
+#: Scripts written without blanks (Thai, Lao, Myanmar, Khmer, Chinese, Japanese): each character is a token.
+UNSPACED = (r"([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}"
+            r"\x{20000}-\x{3FFFF}])")
 FIELD = r"(?<!\S)[^\s\d]*+\d\S*+"   # a token with a digit is a variable field
 
 
 def _tokens(line: Column) -> Column:
-    """Tokens between white space, variable fields masked; most lines need neither costly step."""
+    """Tokens between white space, or characters of ``UNSPACED``, variable fields masked; most lines need no costly step."""
+    line = F.when(line.rlike(UNSPACED), F.regexp_replace(line, UNSPACED, " $1 ")).otherwise(line)
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
     plain = F.when(masked.rlike("[\t\x0b\x0c\r]"), F.translate(masked, "\t\x0b\x0c\r", "    ")).otherwise(masked)
     return F.array_remove(F.split(plain, " "), "")
@@ -69,10 +72,10 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     """All numbered lines, and ``doc_id, th, line`` of those that are dropped."""
     docs = docs.select("doc_id", "text").where("text IS NOT NULL")
     lines = stage(numbered_lines(docs, depth), "lines")
-    long = lines.where(F.col("n") >= LEAST_TOKENS)
-    leaves = stage(long.select("leaf", "doc_id", "th").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
+    filled = lines.where(F.col("n") > 0)
+    leaves = stage(filled.select("leaf", "doc_id", "th").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
                    .where(F.col("docs") >= min_docs).select("leaf"), "line-leaves")
-    in_leaves = stage(long.join(leaves, "leaf"), "line-shared")
+    in_leaves = stage(filled.join(leaves, "leaf"), "line-shared")
     shared = in_leaves.groupBy("doc_id", "th", "leaf", "lh").agg(F.min("line").alias("line"))
     templates = stage(_templates(docs, shared, min_docs, least_constant), "line-templates")
     placed = stage(in_leaves.join(templates, ["leaf", "lh"]).select("doc_id", "th", "line", "n", "tpl"), "line-placed")
@@ -100,7 +103,8 @@ def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:
     they stay whole, for the operators that look for copies, and do not count.
 
     Null texts stay null with no line; an empty text is one empty line. Blank
-    lines and lines of fewer than three tokens stay. A document is its
+    lines stay; a line of no more than ``depth`` tokens has a leaf of its own.
+    Characters of scripts without blanks are tokens. A document is its
     ``doc_id`` and text, so rows that repeat both count once and change alike;
     rows without ``doc_id`` are told apart by text. Extra columns pass
     through; columns named ``n_lines`` or ``n_dropped`` are replaced.

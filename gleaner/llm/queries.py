@@ -109,11 +109,13 @@ WITH l AS MATERIALIZED (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
 m AS MATERIALIZED (
   SELECT doc_id, line, value, len(t) AS n, t, t[1:3] AS head FROM (SELECT *, [CASE WHEN regexp_matches(x, '[0-9]')
-    THEN '<*>' ELSE x END FOR x IN regexp_extract_all(value, '[^ 	
+    THEN '<*>' ELSE x END FOR x IN regexp_extract_all(regexp_replace(value,
+    '([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}])',
+    ' \1 ', 'g'), '[^ 	
 
 ]+')] AS t FROM l)),
 shared AS MATERIALIZED (
-  SELECT m.* FROM m JOIN (SELECT n, head FROM m WHERE n >= 3 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5)
+  SELECT m.* FROM m JOIN (SELECT n, head FROM m WHERE n > 0 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5)
   USING (n, head)),
 different AS MATERIALIZED (SELECT n, head, t, count(DISTINCT doc_id) AS docs FROM shared GROUP BY ALL),
 tok AS MATERIALIZED (SELECT n, head, t, docs, unnest(t) AS token, unnest(range(n)) AS place FROM different),

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -13,9 +14,11 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from checks.compare import compare
 from gleaner.llm import (blocks, contamination, grace, hashing, language, lines, near, packing, passages, quality,
                          substrings, suffixes, warc)
 from gleaner.llm.components import components
+from gleaner.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -387,6 +390,31 @@ def test_lines_generalise_fields(spark):
     assert all(out[200 + i]["text"] == copy for i in range(8))
 
 
+def test_short_and_blank_free_lines_recur(spark, tmp_path):
+    """Lines of one or two tokens and of characters without blanks are lines like any other, in SQL too."""
+    rng = random.Random(12)
+    own = lambda: " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(40))
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    same = "本站所有内容均受版权保护未经许可不得转载"
+    rows = [(i, f"{own()}\n{same}\n{han(60)}\nRead more\n\nShare") for i in range(8)]
+    rows += [(100 + i, f"{own()}\n发布于{2000 + i}年{i + 1}月由本站编辑\n{han(40)}") for i in range(8)]
+    rows += [(200 + i, f"{own()}\nRead mor{"ABCDEFGH"[i]}\n{han(5)}") for i in range(8)] + [(300, None), (301, "Share")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in lines.drop_recurring_lines(docs).collect()}
+    for i in range(8):
+        text = dict(rows)[i].split("\n")
+        assert out[i]["text"] == "\n".join((text[0], text[2], "")) and out[i]["n_dropped"] == 3
+        text = dict(rows)[100 + i].split("\n")
+        assert out[100 + i]["text"] == "\n".join((text[0], text[2]))
+        assert out[200 + i]["n_dropped"] == 0
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    name = "op2_template_line_dedup"
+    assert compare(spark, con, QUERIES[name], ORACLES[name], str(tmp_path)) == ""
+
+
 def test_leaks_survive_edits(spark, small):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     rng, rows = random.Random(6), []
