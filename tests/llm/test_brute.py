@@ -374,6 +374,16 @@ def test_quality_orders_grades():
     assert w[1000] < w[1001] < w[1002]
 
 
+def test_quality_does_not_depend_on_partitions(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    grades = quality.grades_of(labels)
+    count, n = grades.count(), 1 + grades.agg(F.max("grade")).first()[0]
+    for most in (count // 3, count):
+        a = quality.train(docs.repartition(1), grades.orderBy("doc_id").coalesce(1), n, most)
+        b = quality.train(docs.repartition(7), grades.repartition(5, F.rand(3)), n, most)
+        assert (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
+
+
 def test_lines_generalise_fields(spark):
     rng = random.Random(2)
     fresh = lambda n: " ".join(f"{chr(97 + rng.randrange(26))}{''.join(rng.choices('abcdefgh', k=7))}" for _ in range(n))
