@@ -63,6 +63,58 @@ def test_state_is_gone_after_the_outcome(spark, tmp_path):
     assert after["keys"] <= 4 and states["keys"] <= 4
 
 
+def test_retries_of_many_keys_share_calls(spark, tmp_path):
+    """A micro-batch costs calls by bucket, not by key; every key has its own run all the same."""
+    folder, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    put(spark, folder, [(f"k{i}" if i else None, i / 100, "failed", i) for i in range(300)])
+    put(spark, folder, [(f"k{i}", 60 + i / 100, ["failed", "completed"][i % 2], i) for i in range(100, 300)])
+    put(spark, folder, [("end", 400, "failed", 1000)])
+    due = timers.retry_timers(stream(spark, folder), ["k"], 2, "1 second", ttl_seconds=10_000, buckets=1)
+    assert timers.run_retries(due, out, cp)["keys"] == 101    # those that failed once, and the last attempt
+    rows = sorted(((r["k"] or "k0", r["action"], r["failures"]) for r in spark.read.parquet(out).collect()))
+    assert rows == sorted([(f"k{i}", "retry", 1) for i in range(300)]
+                          + [(f"k{i}", *[("failed", 2), ("done", 1)][i % 2]) for i in range(100, 300)])
+
+
+class _Calls:
+    """A state value and timers that count what is asked of them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            if name == "get":
+                return self.value
+            if name == "getValueState":
+                return self
+            if name == "update":
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+            else:
+                {"registerTimer": self.timers.add, "deleteTimer": self.timers.remove}[name](*args)
+        return call
+
+    def getCurrentWatermarkInMs(self):
+        return 2_000
+
+
+def test_a_bucket_takes_a_few_calls():
+    calls = _Calls()
+    scheduler = timers.RetryScheduler(["a", "b"], 2, 1000)
+    scheduler.init(calls)
+    values = [None, 2 ** 60 + 1, float("nan"), [1], "x"]
+    rows = [(values[i % 5], i, 1_000_000 + j * 900_000, j, "failed") for i in range(500) for j in (1, 0)]
+    list(scheduler.handleInputRows((0,), iter(rows[:500]), calls))
+    list(scheduler.handleInputRows((0,), iter(rows[500:]), calls))
+    found = [tuple(r) for r in scheduler.handleExpiredTimer((0,), calls, None)]
+    assert calls.calls < 15 and calls.value is None and not calls.timers
+    assert len(found) == 500 and {r[2:4] for r in found} == {("failed", 2)}
+    assert sorted((r[1], repr(r[0])) for r in found) == [(i, repr(values[i % 5])) for i in range(500)]
+
+
 def test_bounded_first_seen(spark, tmp_path):
     folder, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     everything = set()
