@@ -60,10 +60,10 @@ def read_manifest_csv(spark, d):
 
 @query("read_large_csv", "SELECT doc_id, lang, text FROM documents WHERE text <> ''")
 def read_large_csv(spark, d):
-    # One file whose values hold quotes and line breaks, read in ranges of half a megabyte.
+    # Files whose values hold quotes and line breaks, each written by one task and read in ranges of half a megabyte.
     root = fresh_dir(spark, "large-csv")
     docs = table(spark, d, "documents").select("doc_id", "lang", "text").where("text <> ''")
-    sinks.write_catalog_csv(docs.coalesce(1), root)
+    sinks.write_catalog_csv(docs, root)
     return manifests.read_large_csv(spark, root, docs.schema, (), suffix=".csv", range_bytes=1 << 19)
 
 

@@ -290,3 +290,17 @@ def test_large_csv_equals_the_whole_file_reader(spark, tmp_path, range_bytes):
     got = manifests.read_large_csv(spark, str(tmp_path / "csv"), errors=True, range_bytes=range_bytes).collect()
     line = lambda r: (r["name"], r["stars"], r["lang"], r["error"] and r["error"].strip())
     assert sorted(map(line, got), key=repr) == sorted(map(line, want), key=repr) and len(got) == 11
+
+
+def test_large_csv_query_writes_by_many_tasks(spark, tmp_path, monkeypatch):
+    from checks import tables as queries
+
+    rows = [(i, ["en", None][i % 2], f'say "{i}",\nthen {i}' if i % 3 else "") for i in range(40)]
+    (spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+     .write.parquet(str(tmp_path / "documents.parquet")))
+    parts, write = [], queries.sinks.write_catalog_csv
+    monkeypatch.setattr(queries.sinks, "write_catalog_csv",
+                        lambda df, root: (parts.append(df.rdd.getNumPartitions()), write(df, root)))
+    got = queries.read_large_csv(spark, str(tmp_path)).collect()
+    assert parts == [4]
+    assert sorted(map(tuple, got)) == [(i, lang or "None", text) for i, lang, text in rows if text]
