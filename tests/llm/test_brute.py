@@ -171,6 +171,62 @@ def test_passages_edited(spark):
     assert all(got[i]["class_id"] == i and not got[i]["n_dup_words"] for i in range(100, 120))
 
 
+def test_passages_of_one_key_in_other_contexts(spark):
+    """Near-duplicates are found among texts that share their rarest shingles with texts that are none."""
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    # A sentence long enough to have the smallest hashes of the passages around it, too short to be a passage.
+    common, rows, pairs = fresh(36), [], []
+    for i in range(12):
+        rows.append((i, " ".join(fresh(60) + common + fresh(60))))
+    for i in range(12, 24):
+        before, after = fresh(40), fresh(40)
+        for j in (0, 12):
+            edited = list(before)
+            edited[5 + j // 12] = f"edit{i + j}"
+            rows.append((i + j, " ".join(fresh(30) + edited + common + after + fresh(30))))
+        pairs.append((i, i + 12))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {tuple(sorted((r["x_id"], r["y_id"]))) for r in passages.near_passages(docs).collect()}
+    assert found == set(pairs)
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert all(got[i]["class_id"] == (i if i < 24 else i - 12) for i in range(36))
+
+
+def test_window_classes_lose_no_context():
+    """Every two contexts of a key meet in rows of two ids, every row of a class with several ids meets another id."""
+    rng = np.random.RandomState(4)
+    for size in (1, 2, 30, 400):
+        rows = np.zeros(size, dtype=passages._WINDOW)
+        for name, n in (("key", 5), ("context", 6), ("id", 4)):
+            rows[name] = rng.randint(0, n, size)
+        rows["ref"], rows["centre"] = np.arange(size), 7
+        rows = passages._sorted(rows)
+        classes = passages._Classes(rows)
+        ids = defaultdict(set)
+        for r in rows:
+            ids[r["key"], r["context"]].add(r["id"])
+        met = set()
+        for a, b in zip(*classes.star()):
+            assert all(rows[a][c] == rows[b][c] for c in ("key", "context")) and rows[a]["id"] != rows[b]["id"]
+            met |= {a, b}
+        assert all(i in met for i, r in enumerate(rows) if len(ids[r["key"], r["context"]]) > 1)
+        joined = set()
+        for a, b, sure in classes.across(rows["near"]):
+            assert (rows["key"][a] == rows["key"][b]).all() and (rows["id"][a] != rows["id"][b]).all()
+            for i, j, s in zip(a, b, sure):
+                p, q = ((rows[x]["key"], rows[x]["context"]) for x in (i, j))
+                assert p != q and s == (len(ids[p]) > 1 or len(ids[q]) > 1)
+                joined |= {(p if len(ids[p]) > 1 else i, q if len(ids[q]) > 1 else j)}
+        stands = lambda i: (lambda c: c if len(ids[c]) > 1 else i)((rows[i]["key"], rows[i]["context"]))
+        for i in range(size):
+            for j in range(i + 1, size):
+                p, q = ((rows[x]["key"], rows[x]["context"]) for x in (i, j))
+                if p[0] == q[0] and p != q and len(ids[p] | ids[q]) > 1:
+                    assert (stands(i), stands(j)) in joined
+
+
 def test_compact_windows_cover_each_passage_once():
     rng = np.random.RandomState(2)
     x = rng.randint(0, 60, 400).astype(np.uint64)
