@@ -180,11 +180,8 @@ def test_passages_of_one_key_in_other_contexts(spark):
     for i in range(12):
         rows.append((i, " ".join(fresh(60) + common + fresh(60))))
     for i in range(12, 24):
-        before, after = fresh(40), fresh(40)
-        for j in (0, 12):
-            edited = list(before)
-            edited[5 + j // 12] = f"edit{i + j}"
-            rows.append((i + j, " ".join(fresh(30) + edited + common + after + fresh(30))))
+        before, after = fresh(7), fresh(7)
+        rows += [(j, " ".join(fresh(60) + before + common + after + fresh(60))) for j in (i, i + 12)]
         pairs.append((i, i + 12))
     rng.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
