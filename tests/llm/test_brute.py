@@ -224,6 +224,56 @@ def test_window_classes_lose_no_context():
                     assert (stands(i), stands(j)) in joined
 
 
+def test_run_of_a_word_is_one_window():
+    rng = random.Random(12)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    text = f"{fresh(60)} {'the ' * 400}{fresh(60)}".encode()
+    windows = [w for *w, _ in passages._windows([text])]
+    assert sum(len(w[0]) for w in windows) < 400
+    for _, _, _, low, first, last, high in windows:
+        assert ((low <= first) & (first <= last) & (last <= high)).all()
+    assert sum(((low <= 100) & (high >= 400)).sum() for _, _, _, low, _, _, high in windows) == passages.HASHES
+
+
+def test_windows_of_a_frequent_key_meet_by_what_they_share():
+    """Of many windows around one sentence those that share a passage meet, the others do not."""
+    rng = np.random.RandomState(6)
+    rows = np.zeros(600, dtype=passages._WINDOW)
+    rows["id"] = rows["ref"] = rows["context"] = np.arange(600)
+    rows["near"] = rng.randint(0, 1 << 16, rows["near"].shape)
+    middle = passages.SPAN
+    rows["near"][:, middle - 15:middle + 15] = rng.randint(0, 1 << 16, 30)
+    want = set()
+    for k in range(0, 400, 2):
+        # A passage of both: 30 shingles and, on either side or both, so many that 41 are shared.
+        more = k // 2 % 12
+        rows["near"][k + 1, middle - 15 - more:middle + 26 - more] = rows["near"][k, middle - 15 - more:middle + 26 - more]
+        want.add((k, k + 1))
+    # Words with a shingle twice are compared as sets, wherever they stand.
+    rows["hash"][580:582] = passages._TWICE
+    rows["near"][580, middle + 15:middle + 30] = rows["near"][581, middle + 16:middle + 31] = rng.randint(0, 1 << 16, 15)
+    want.add((580, 581))
+    classes = passages._Classes(passages._sorted(rows))
+    met = {tuple(sorted(p)) for a, b, _ in classes.across(rows["near"]) for p in zip(a.tolist(), b.tolist())}
+    assert met == want
+
+
+def test_passages_of_repeated_shingles():
+    """Where words repeat, exactly the passages that have a partner are found on either side."""
+    rng = random.Random(1)
+    for _ in range(60):
+        sides = []
+        for _ in "ab":
+            words, length = [], rng.randint(60, 260)
+            while len(words) < length:
+                words += [rng.randint(1, 4) for _ in range(rng.randint(1, 8))] * rng.randint(1, 40)
+            sides.append(hashing.ngrams(hashing.mix(np.array(words, dtype=np.uint64)), passages.N))
+        sets = [[set(x[k:k + passages.SPAN].tolist()) for k in range(len(x) - passages.SPAN + 1)] for x in sides]
+        near = [(i, j) for i, p in enumerate(sets[0]) for j, q in enumerate(sets[1]) if 100 * len(p & q) >= 80 * len(p | q)]
+        i, j = passages.passages(*sides)
+        assert set(i.tolist()) == {p for p, _ in near} and set(j.tolist()) == {q for _, q in near}
+
+
 def test_compact_windows_cover_each_passage_once():
     rng = np.random.RandomState(2)
     x = rng.randint(0, 60, 400).astype(np.uint64)
