@@ -274,6 +274,79 @@ def test_passages_of_repeated_shingles():
         assert set(i.tolist()) == {p for p, _ in near} and set(j.tolist()) == {q for _, q in near}
 
 
+def test_passages_of_many_pairs_at_once():
+    """Pairs that are verified together, or passage by passage, give what each gives by itself."""
+    rng = random.Random(3)
+    sides = []
+    for _ in range(300):
+        most = rng.choice([3, 20, 400, 10**9])
+        fresh = lambda n: [rng.randrange(most) for _ in range(rng.randint(0, n))]  # noqa: E731,B023
+        shared = fresh(200)
+        other = list(shared)
+        for _ in range(rng.randint(0, 3) if shared else 0):
+            k = rng.randrange(len(other))
+            other[k:k + rng.randint(0, 1)] = [10**10 + rng.randrange(10**6)] * rng.randint(0, 1)
+            other = other or [1]
+        texts = fresh(90) + shared + fresh(90), fresh(60) + other * rng.choice([1, 1, 1, 2]) + fresh(60)
+        sides.append([hashing.ngrams(hashing.mix(np.array(t, dtype=np.uint64)), passages.N) for t in texts])
+    a, b = zip(*sides)
+    pair, i, j, left = passages._alike_many(np.concatenate(a), np.array([len(x) for x in a]),
+                                            np.concatenate(b), np.array([len(x) for x in b]))
+    assert 0 < len(left) < 150
+    for k, (x, y) in enumerate(sides):
+        want = [set(v.tolist()) for v in passages.passages(x, y)]
+        got = passages._every(x, y) if k in left else (i[pair == k], j[pair == k])
+        assert [set(v.tolist()) for v in got] == want
+
+
+def test_a_common_passage_makes_few_pairs():
+    """Windows of one passage in many contexts, some edited, meet some that stand for all; none is left out or cut off."""
+    rng = np.random.RandomState(7)
+    n, middle = 400, passages.SPAN
+    near = rng.randint(0, 1 << 16, (n, 2 * passages.SPAN + 1)).astype(np.uint16)
+    near[:, middle - 30:middle + 31] = rng.randint(0, 1 << 16, 61)
+    for k in range(0, 150):
+        at = rng.randint(middle - 30, middle - 5) if k % 2 else rng.randint(middle + 1, middle + 26)
+        near[k, at:at + 5] = rng.randint(0, 1 << 16, 5)
+    for k in range(150, 200):  # a family of its own, with one word that differs
+        near[k, middle - 10:middle - 5] = near[150, middle - 10:middle - 5] + 1
+        near[k, middle + 10:middle + 15] = rng.randint(0, 1 << 16, 5)
+        near[k, 1:middle - 10] = near[150, 1:middle - 10]
+    for k in range(200, 240):  # a run of one word
+        near[k, middle - 40:middle + 41] = near[200, middle]
+    rows = np.zeros(n, dtype=passages._WINDOW)
+    rows["ref"] = rows["context"] = np.arange(n)
+    rows["id"], rows["near"] = rng.permutation(n) // 2, near
+    rows["hash"][200:240] = passages._TWICE
+    rows = passages._sorted(rows)
+    met = {(i, j) for a, b, _ in passages._Classes(rows).across(rows["near"]) for i, j in zip(a.tolist(), b.tolist())}
+    assert len(met) < 12 * n and all(rows["id"][i] != rows["id"][j] for i, j in met)
+    sets = [[set(x[k:k + passages.SPAN].tolist()) for k in range(1, passages.SPAN + 1)] for x in rows["near"]]
+
+    def alike(i, j):
+        return [k for k in range(passages.SPAN) if any(len(sets[i][k] & q) * 5 >= 4 * len(sets[i][k] | q)
+                                                       for q in sets[j][max(k - 1, 0):k + 2])]
+
+    some = [i for i in range(n) if rows["ref"][i] in {*range(0, 400, 8), *range(1, 400, 40)}]
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    partners = defaultdict(set)
+    for i, j in met:
+        partners[i].add(j)
+        partners[j].add(i)
+        root[find(i)] = find(j)
+    for i in some:
+        covered = {k for j in partners[i] for k in alike(i, j)}
+        for j in some:
+            if i != j and rows["id"][i] != rows["id"][j] and (k := alike(i, j)):
+                assert covered >= set(k) and find(i) == find(j)
+
+
 def test_compact_windows_cover_each_passage_once():
     rng = np.random.RandomState(2)
     x = rng.randint(0, 60, 400).astype(np.uint64)
